@@ -431,3 +431,180 @@ def q_rfm_customer_segments_approx(spark, sf_dir):
     """The published setting (approximate cuts, relative error 0.05): no exact oracle;
     one row per customer regardless of the cuts."""
     return rfm.rfm_segments(testdata.transactions(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- C cleaning
+
+BRONZE_CTE = """dirty AS (
+  SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey END AS id,
+    CASE WHEN o_orderkey % 89 = 0 THEN 'bad'
+         WHEN o_orderkey % 83 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+         ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS "Transaction_Date",
+    CASE WHEN o_orderkey % 79 = 0 THEN 'n/a'
+         WHEN o_orderkey % 73 = 0 THEN NULL
+         ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS "Amount",
+    CASE WHEN o_orderkey % 71 = 0 THEN 'not-an-email'
+         WHEN o_orderkey % 67 = 0 THEN NULL
+         ELSE 'user' || CAST(o_custkey AS VARCHAR) || '@example.com' END AS email,
+    o_orderstatus AS "Order-Status", o_orderpriority AS "Order Priority", o_orderkey AS k
+  FROM orders),
+bronze AS (
+  SELECT * EXCLUDE (k) FROM dirty
+  UNION ALL SELECT * EXCLUDE (k) FROM dirty WHERE k % 10 = 0)"""
+
+DEDUP_CTE = "dedup AS (SELECT DISTINCT * FROM bronze)"
+KEYED_CTE = "keyed AS (SELECT * FROM dedup WHERE id IS NOT NULL)"
+NAMED_CTE = """named AS (
+  SELECT id, "Transaction_Date" AS transaction_date, "Amount" AS amount, email,
+         "Order-Status" AS order_status, "Order Priority" AS order_priority FROM keyed)"""
+EMAIL_SQL = (
+    "coalesce(regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'), false)"
+)
+CLEANED_CTE = f"""cleaned AS (
+  SELECT id, try_strptime(transaction_date, '%Y-%m-%d %H:%M:%S') AS transaction_date,
+         coalesce(TRY_CAST(amount AS DOUBLE), 0.0) AS amount, email, order_status, order_priority,
+         'bronze_layer' AS data_source, {EMAIL_SQL} AS email_valid
+  FROM named)"""
+CLEAN_CHAIN = f"WITH {BRONZE_CTE}, {DEDUP_CTE}, {KEYED_CTE}, {NAMED_CTE}"
+SILVER_CTES = f"""{BRONZE_CTE}, {DEDUP_CTE}, {KEYED_CTE}, {NAMED_CTE}, {CLEANED_CTE},
+silver AS (
+  SELECT *, DATE '{RUN_DATE.isoformat()}' AS processing_date,
+         {RUN_DATE.year} AS year, {RUN_DATE.month} AS month, {RUN_DATE.day} AS day
+  FROM cleaned)"""
+SILVER_SQL = f"WITH {SILVER_CTES} SELECT * FROM silver"
+
+CLOCK_COLUMNS = ("processed_timestamp",)
+
+
+def _bronze(spark, sf_dir):
+    return testdata.dirty_bronze_orders(spark, sf_dir)
+
+
+def _named(spark, sf_dir):
+    out = cleaning.drop_null_keys(cleaning.drop_exact_duplicates(_bronze(spark, sf_dir)))
+    return cleaning.normalize_column_names(out)
+
+
+def _silver(spark, sf_dir):
+    return cleaning.clean_for_silver(_bronze(spark, sf_dir), run_date=RUN_DATE).drop(*CLOCK_COLUMNS)
+
+
+@register("clean_dedup", f"WITH {BRONZE_CTE}, {DEDUP_CTE} SELECT * FROM dedup")
+def q_clean_dedup(spark, sf_dir):
+    return cleaning.drop_exact_duplicates(_bronze(spark, sf_dir))
+
+
+@register("clean_null_key", f"WITH {BRONZE_CTE}, {DEDUP_CTE}, {KEYED_CTE} SELECT * FROM keyed")
+def q_clean_null_key(spark, sf_dir):
+    return cleaning.drop_null_keys(cleaning.drop_exact_duplicates(_bronze(spark, sf_dir)))
+
+
+@register("clean_names", f"{CLEAN_CHAIN} SELECT * FROM named")
+def q_clean_names(spark, sf_dir):
+    return _named(spark, sf_dir)
+
+
+@register(
+    "clean_dates",
+    f"""{CLEAN_CHAIN}
+SELECT * REPLACE (try_strptime(transaction_date, '%Y-%m-%d %H:%M:%S') AS transaction_date)
+FROM named""",
+)
+def q_clean_dates(spark, sf_dir):
+    return cleaning.parse_dates(_named(spark, sf_dir))
+
+
+@register(
+    "clean_numbers",
+    f"""{CLEAN_CHAIN}
+SELECT * REPLACE (coalesce(TRY_CAST(amount AS DOUBLE), 0.0) AS amount) FROM named""",
+)
+def q_clean_numbers(spark, sf_dir):
+    return cleaning.coerce_numbers(_named(spark, sf_dir))
+
+
+@register("clean_email", f"{CLEAN_CHAIN} SELECT *, {EMAIL_SQL} AS email_valid FROM named")
+def q_clean_email(spark, sf_dir):
+    return cleaning.flag_emails(_named(spark, sf_dir))
+
+
+@register("clean_audit", f"{CLEAN_CHAIN}, {CLEANED_CTE} SELECT * FROM cleaned")
+def q_clean_audit(spark, sf_dir):
+    """C0 in full; the two clock columns (current timestamp and date) are left out."""
+    return cleaning.apply_quality_rules(_bronze(spark, sf_dir)).drop(
+        "processed_timestamp", "processing_date"
+    )
+
+
+@register("clean_partition_cols", SILVER_SQL)
+def q_clean_partition_cols(spark, sf_dir):
+    """C0 + C8 with the run date pinned."""
+    return _silver(spark, sf_dir)
+
+
+@register(
+    "clean_report",
+    f"""WITH {BRONZE_CTE},
+g AS (SELECT id, count(*) AS n FROM bronze
+      GROUP BY id, "Transaction_Date", "Amount", email, "Order-Status", "Order Priority")
+SELECT CAST(sum(n) AS BIGINT) AS input_rows,
+       CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed,
+       CAST(sum(CASE WHEN id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_keys_removed,
+       CAST(count(*) - sum(CASE WHEN id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS output_rows
+FROM g""",
+)
+def q_clean_report(spark, sf_dir):
+    return cleaning.cleaning_report(_bronze(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- Q quality
+
+def _dq_sql(source_cte: str, table: str, key: str, n_columns: int) -> str:
+    return f"""WITH {source_cte},
+g AS (SELECT {key} AS v, count(*) AS n FROM {table} GROUP BY {key}),
+s AS (SELECT CAST(sum(n) AS DOUBLE) AS total,
+             CAST(coalesce(sum(CASE WHEN v IS NOT NULL THEN n END), 0) AS DOUBLE) AS non_null,
+             CAST(coalesce(sum(CASE WHEN v IS NOT NULL AND n = 1 THEN 1 END), 0) AS DOUBLE) AS singles
+      FROM g)
+SELECT 'ColumnCount' AS rule, CAST(NULL AS VARCHAR) AS "column",
+       CAST({n_columns} AS DOUBLE) AS value, CAST(0 AS DOUBLE) AS threshold,
+       {n_columns} > 0 AS passed FROM s
+UNION ALL
+SELECT 'Completeness', '{key}', non_null / total, CAST(0.95 AS DOUBLE),
+       coalesce(non_null / total > 0.95, false) FROM s
+UNION ALL
+SELECT 'Uniqueness', '{key}', singles / non_null, CAST(0.99 AS DOUBLE),
+       coalesce(singles / non_null > 0.99, false) FROM s"""
+
+
+def _ruleset(key: str):
+    return (
+        quality.Rule("ColumnCount", None, 0.0),
+        quality.Rule("Completeness", key, 0.95),
+        quality.Rule("Uniqueness", key, 0.99),
+    )
+
+
+@register("dq_ruleset", _dq_sql(BRONZE_CTE, "bronze", "id", 6))
+def q_dq_ruleset(spark, sf_dir):
+    """Q1-Q4 on the raw table: completeness and uniqueness of ``id`` fail."""
+    return quality.evaluate_ruleset(_bronze(spark, sf_dir))
+
+
+@register("dq_ruleset_silver", _dq_sql(SILVER_CTES, "silver", "id", 13))
+def q_dq_ruleset_silver(spark, sf_dir):
+    """Q1-Q4 on the cleaned table (13 columns): every rule passes."""
+    return quality.evaluate_ruleset(
+        cleaning.clean_for_silver(_bronze(spark, sf_dir), run_date=RUN_DATE)
+    )
+
+
+@register("dq_ruleset_labels", _dq_sql("t AS (SELECT * FROM labels)", "t", "doc_id", 3))
+def q_dq_ruleset_labels(spark, sf_dir):
+    return quality.evaluate_ruleset(testdata.table(spark, sf_dir, "labels"), _ruleset("doc_id"))
+
+
+@register("dq_ruleset_events", _dq_sql("t AS (SELECT * FROM events)", "t", "user_id", 6))
+def q_dq_ruleset_events(spark, sf_dir):
+    """A repeated key: uniqueness 0, the gate would stop here."""
+    return quality.evaluate_ruleset(testdata.table(spark, sf_dir, "events"), _ruleset("user_id"))
