@@ -86,8 +86,8 @@ CUSTOMER_SEGMENTS_CTE = """cseg AS (
   FROM csum)"""
 
 
-def _customer_derived(src: str) -> str:
-    return f"""SELECT *,
+def _customer_derived(src: str, extra: str = "") -> str:
+    return f"""SELECT *,{extra}
   total_amount * CASE WHEN customer_segment = 'Premium' THEN 1.5
                       WHEN customer_segment = 'Gold' THEN 1.3
                       WHEN customer_segment = 'Silver' THEN 1.1 ELSE 1.0 END
@@ -99,7 +99,7 @@ FROM (SELECT *, CAST(date_diff('day', CAST(last_transaction_date AS DATE),
                   AS days_since_last_transaction FROM {src}) d"""
 
 
-def _customer_analytics_sql(tx: str) -> str:
+def _customer_analytics_sql(tx: str, extra: str = "") -> str:
     return f"""WITH {tx}, {CUSTOMERS_CTE}, {CUSTOMER_SUMMARY_CTE}, {CUSTOMER_SEGMENTS_CTE},
 joined AS (
   SELECT c.*, coalesce(s.total_transactions, 0) AS total_transactions,
@@ -107,7 +107,7 @@ joined AS (
          s.last_transaction_date, s.first_transaction_date, s.customer_segment,
          s.transaction_frequency
   FROM customers c LEFT JOIN cseg s ON c.customer_id = s.customer_id)
-{_customer_derived('joined')}"""
+{_customer_derived('joined', extra)}"""
 
 
 PRODUCT_SUMMARY_CTE = """psum AS (
@@ -608,3 +608,160 @@ def q_dq_ruleset_labels(spark, sf_dir):
 def q_dq_ruleset_events(spark, sf_dir):
     """A repeated key: uniqueness 0, the gate would stop here."""
     return quality.evaluate_ruleset(testdata.table(spark, sf_dir, "events"), _ruleset("user_id"))
+
+
+# --------------------------------------------------------------------------- S sinks and catalog
+
+def _fresh(spark, label):
+    from laminar.session import fresh_dir
+
+    return fresh_dir(spark, label)
+
+
+@register("silver_roundtrip", SILVER_SQL)
+def q_silver_roundtrip(spark, sf_dir):
+    """S6 then S1/S2: the cleaned table written as partitioned Parquet and read back
+    (partition columns come back from the folder names)."""
+    from laminar.sources import layers
+
+    root = _fresh(spark, "silver")
+    layers.write_layer(
+        cleaning.clean_for_silver(_bronze(spark, sf_dir), run_date=RUN_DATE), f"{root}/orders"
+    )
+    return layers.read_table(spark, f"{root}/orders").drop(*CLOCK_COLUMNS)
+
+
+GOLD_META_SQL = (
+    f" 'customer_analytics' AS dataset_name, {RUN_DATE.year} AS year,"
+    f" {RUN_DATE.month} AS month, {RUN_DATE.day} AS day,"
+)
+
+
+@register("gold_roundtrip", _customer_analytics_sql(TX, GOLD_META_SQL))
+def q_gold_roundtrip(spark, sf_dir):
+    """A gold dataset with its metadata, written for the run date and read back."""
+    from laminar.sources import layers
+
+    root = _fresh(spark, "gold")
+    df = customer.customer_analytics(
+        testdata.customers(spark, sf_dir), testdata.transactions(spark, sf_dir), as_of=AS_OF
+    )
+    layers.write_gold(df, root, "customer_analytics", run_date=RUN_DATE)
+    return layers.read_table(spark, f"{root}/customer_analytics").drop("created_timestamp")
+
+
+@register(
+    "lineage",
+    f"""WITH {SILVER_CTES}
+SELECT 'bronze_orders' AS source_table, 'silver_orders' AS target_table,
+       'bronze_to_silver' AS transformation_type, 'bronze_to_silver' AS job_name,
+       count(*) AS record_count
+FROM silver""",
+)
+def q_lineage(spark, sf_dir):
+    """Cleaning job writes silver and appends its lineage row; the lineage
+    table is read back (time columns left out)."""
+    from laminar.plans.layers import clean_to_silver
+    from laminar.sources import layers
+
+    root = _fresh(spark, "lineage")
+    clean_to_silver(
+        _bronze(spark, sf_dir), f"{root}/silver", "bronze_orders", "bronze_to_silver",
+        lineage_path=f"{root}/lineage", run_date=RUN_DATE,
+    )
+    return layers.read_table(spark, f"{root}/lineage").select(
+        "source_table", "target_table", "transformation_type", "job_name", "record_count"
+    )
+
+
+def _gold_counts_sql() -> str:
+    parts = [
+        ("customer_analytics", "SELECT count(*) FROM customer"),
+        ("product_analytics", "SELECT count(*) FROM part"),
+        ("daily_metrics", "SELECT count(DISTINCT CAST(transaction_date AS DATE)) FROM tx"),
+        ("monthly_metrics", "SELECT count(DISTINCT strftime(transaction_date, '%Y-%m')) FROM tx"),
+        (
+            "cohort_analysis",
+            f"SELECT count(*) FROM (SELECT DISTINCT strftime(f, '%Y-%m'), {MONTHS_SINCE_SQL} "
+            "FROM (SELECT t.transaction_date AS b, fp.first_purchase_date AS f FROM tx t "
+            "JOIN fp ON t.customer_id = fp.customer_id) j) c",
+        ),
+        ("rfm_customer_segments", "SELECT count(DISTINCT customer_id) FROM tx"),
+    ]
+    union = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS dataset_name, ({q}) AS record_count, 'silver_to_gold' AS job_name"
+        for name, q in parts
+    )
+    return f"WITH {TX}, {FIRST_PURCHASE_CTE}\n{union}"
+
+
+@register("job_summary", _gold_counts_sql())
+def q_job_summary(spark, sf_dir):
+    """All six gold datasets written, then summarized from the written tables
+    (processing time and timestamps left out)."""
+    from laminar.plans.layers import JOB_SUMMARY, build_gold
+    from laminar.sources import layers
+
+    root = _fresh(spark, "gold")
+    build_gold(
+        testdata.transactions(spark, sf_dir),
+        root,
+        testdata.customers(spark, sf_dir),
+        testdata.products(spark, sf_dir),
+        as_of=AS_OF,
+        run_date=RUN_DATE,
+    )
+    return layers.read_table(spark, f"{root}/{JOB_SUMMARY}").select(
+        "dataset_name", "record_count", "job_name"
+    )
+
+
+@register(
+    "catalog_sql",
+    f"""SELECT customer_segment, transaction_frequency, count(*) AS customers
+FROM ({_customer_analytics_sql(TX)}) x
+GROUP BY customer_segment, transaction_frequency""",
+)
+def q_catalog_sql(spark, sf_dir):
+    """A written gold folder registered as a catalog table (partitions
+    recovered), then queried with SQL."""
+    from laminar.sources import layers
+
+    root = _fresh(spark, "catalog")
+    df = customer.customer_analytics(
+        testdata.customers(spark, sf_dir), testdata.transactions(spark, sf_dir), as_of=AS_OF
+    )
+    layers.write_gold(df, root, "customer_analytics", run_date=RUN_DATE)
+    layers.register_table(spark, "gold_customer_analytics", f"{root}/customer_analytics")
+    return spark.sql(
+        "SELECT customer_segment, transaction_frequency, count(*) AS customers "
+        "FROM gold_customer_analytics WHERE year = 2001 AND month = 8 AND day = 2 "
+        "GROUP BY customer_segment, transaction_frequency"
+    )
+
+
+# --------------------------------------------------------------------------- S5 incremental
+
+@register(
+    "incremental_silver",
+    f"""SELECT *, 'bronze_layer' AS data_source, DATE '{RUN_DATE.isoformat()}' AS processing_date,
+       {RUN_DATE.year} AS year, {RUN_DATE.month} AS month, {RUN_DATE.day} AS day
+FROM events""",
+)
+def q_incremental_silver(spark, sf_dir):
+    """Events land in two drops (earlier half of the time range, then the later
+    half); three incremental runs (the last finds nothing new) leave every event in
+    silver exactly once."""
+    from laminar.streaming.incremental import load_increment
+
+    events = testdata.table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    midpoint = events.select(((F.min(micros) + F.max(micros)) / 2).alias("m")).scalar()
+    root = _fresh(spark, "incremental")
+    landing, silver, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint"
+    drops = [events.where(micros < midpoint), events.where(micros >= midpoint)]
+    for drop in drops + [None]:
+        if drop is not None:
+            drop.write.mode("append").parquet(landing)
+        load_increment(spark, landing, events.schema, silver, ckpt, run_date=RUN_DATE)
+    return spark.read.parquet(silver).drop("processed_timestamp", "batch_id")

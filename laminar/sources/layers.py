@@ -85,6 +85,8 @@ def add_gold_metadata(
 
     A dataset that already has ``year``/``month`` columns of its own (monthly
     metrics) keeps them; the load date then goes to ``load_year/load_month/load_day``.
+    Likewise a dataset with its own ``dataset_name`` column (the job summary) keeps
+    it, and the sink's label goes to ``gold_dataset``.
     """
     ts = F.lit(run_ts) if run_ts is not None else F.current_timestamp()
     day = F.lit(run_date) if run_date is not None else F.current_date()
@@ -93,10 +95,11 @@ def add_gold_metadata(
         if any(c in df.columns for c in PARTITION_COLUMNS)
         else PARTITION_COLUMNS
     )
+    label = "gold_dataset" if "dataset_name" in df.columns else "dataset_name"
     return df.withColumns(
         {
             "created_timestamp": ts,
-            "dataset_name": F.lit(dataset_name),
+            label: F.lit(dataset_name),
             names[0]: F.year(day),
             names[1]: F.month(day),
             names[2]: F.dayofmonth(day),
@@ -125,13 +128,12 @@ def write_gold(
     out = add_gold_metadata(df, dataset_name, run_ts, run_date).observe(
         obs, F.count(F.lit(1)).alias("rows")
     )
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _parquet_writer(out, gold_partition_columns(out)).mode("overwrite").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    (
+        _parquet_writer(out, gold_partition_columns(out))
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
     return {"path": path, "record_count": int(obs.get.get("rows", 0))}
 
 
