@@ -76,6 +76,14 @@ def evaluate_ruleset(df: DataFrame, rules=DEFAULT_RULESET) -> DataFrame:
                 F.coalesce(value > F.lit(float(r.threshold)), F.lit(False)).alias("passed"),
             )
         )
+    if not rows:  # empty ruleset: typed, empty result
+        return base.select(
+            F.lit(None).cast("string").alias("rule"),
+            F.lit(None).cast("string").alias("column"),
+            F.lit(None).cast("double").alias("value"),
+            F.lit(None).cast("double").alias("threshold"),
+            F.lit(None).cast("boolean").alias("passed"),
+        ).where(F.lit(False))
     return base.select(F.inline(F.array(*rows)))
 
 
