@@ -7,11 +7,15 @@ partitions), ranked inside each partition, and shifted by per-partition offsets.
 
 The offsets come from a statistics table with one row per range partition. Its size
 is bounded by ``n_partitions`` (not by the data), which is what makes the broadcast
-of it safe. Everything stays in one lazy plan: the range exchange is built once and
-reused by both branches (``ReusedExchange`` in the final plan; range bounds come
-from sampling, so two separate exchanges could disagree), and no value travels
-through the driver. With exchange reuse switched off, the ranked partitions are
-checkpointed to the shared checkpoint folder instead.
+of it safe. No value travels through the driver.
+
+The statistics and the rows must come from the same range partitioning. Range
+bounds are drawn from a seeded sample, so two executions of the exchange may
+disagree, and column pruning can make the statistics branch a different subtree
+that Spark does not reuse. The locally ranked partitions are therefore written once
+with a reliable ``checkpoint()`` to the shared checkpoint folder, and both branches
+read that. This costs one write of the ranked rows and runs when the function is
+called (like the sampling job of any range partitioning).
 
 Ties: a group of equal values may span several range partitions. Each partition
 reports its first and last value and the local rank of its last value; the global
@@ -31,10 +35,6 @@ _LRN = "__rk_local_rn"
 _LRK = "__rk_local_rank"
 
 
-def _exchange_reuse(spark) -> bool:
-    return spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "true"
-
-
 def _sort_key(value: str, descending: bool, tie_breakers: Sequence[str]) -> list[Column]:
     head = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     return [head] + [F.col(c).asc_nulls_last() for c in tie_breakers]
@@ -107,13 +107,15 @@ def global_rank(
     local = ranged.withColumn(_LRN, F.row_number().over(in_part)).withColumn(
         _LRK, F.rank().over(in_part_value)
     )
-    if not _exchange_reuse(df.sparkSession):
-        # Both branches must see the same range partitioning. Normally they share one
-        # exchange; without exchange reuse, pin it with a reliable checkpoint.
-        from laminar.session import shared_root
-
-        shared_root(df.sparkSession)
-        local = local.checkpoint(eager=True)
+    # Both branches below must see the same range partitioning. Range bounds come
+    # from a seeded sample, and column pruning can give the statistics branch a
+    # different subtree that is then not reused, so pin the partitions once with a
+    # reliable checkpoint in the shared checkpoint folder (also survives lost
+    # executors).
+    from laminar.session import shared_root
+
+    shared_root(df.sparkSession)
+    local = local.checkpoint(eager=True)
     stats = _partition_stats(local, value)
     joined = local.join(F.broadcast(stats), _PID, "inner")
 
