@@ -57,6 +57,39 @@ def canonical_rows(columns, rows, float_digits=None):
     return sorted(columns), sorted(out)
 
 
+_SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "smallint": "SMALLINT",
+    "tinyint": "TINYINT",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return _SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
+def type_mismatches(spark_df, con, sql: str) -> dict:
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    rel = con.sql(sql)
+    duck = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.dtypes)}
+    out = {}
+    for c, t in spark_df.dtypes:
+        want = duck.get(c)
+        if want is not None and duck_type(t).replace(" ", "") != want:
+            out[c] = (t, want)
+    return out
+
+
 def compare(spark_df, con, sql: str, float_digits: int | None = None) -> dict:
     """Run both sides and report differences (small results only: this is a test aid)."""
     s_cols = spark_df.columns
@@ -72,6 +105,10 @@ def compare(spark_df, con, sql: str, float_digits: int | None = None) -> dict:
         "columns_match": sc == dc,
         "values_match": sc == dc and sr == dr,
     }
+    bad_types = type_mismatches(spark_df, con, sql)
+    result["types_match"] = not bad_types
+    if bad_types:
+        result["type_mismatches"] = bad_types
     if sc != dc:
         result["spark_only_cols"] = sorted(set(sc) - set(dc))
         result["oracle_only_cols"] = sorted(set(dc) - set(sc))

@@ -50,23 +50,31 @@ def rfm_cuts(base: DataFrame, relative_error: float = DEFAULT_RELATIVE_ERROR) ->
     """
     if relative_error == 0:
         return {v: exact_cuts(base, v, ["customer_id"], QUINTILES) for v in RFM_VALUES}
-    # approximate: one aggregate pass computing the three sketches together
+    packed = _approx_cut_row(base, relative_error)
+    k = len(QUINTILES)
+    return {
+        v: packed.select(*packed.columns[i * k:(i + 1) * k]) for i, v in enumerate(RFM_VALUES)
+    }
+
+
+def _approx_cut_row(base: DataFrame, relative_error: float) -> DataFrame:
+    """One aggregate pass computing the three sketches; one row of twelve cuts."""
+    accuracy = max(1, int(round(1.0 / relative_error)))
     arrays = base.agg(
         *[
             F.percentile_approx(
-                F.col(v).cast("double"),
-                F.array(*[F.lit(p) for p in QUINTILES]),
-                max(1, int(round(1.0 / relative_error))),
+                F.col(v).cast("double"), F.array(*[F.lit(p) for p in QUINTILES]), accuracy
             ).alias(v)
             for v in RFM_VALUES
         ]
     )
-    return {
-        v: arrays.select(
-            *[F.col(v)[i].alias(f"{v}_q{round(p * 100):02d}") for i, p in enumerate(QUINTILES)]
-        )
-        for v in RFM_VALUES
-    }
+    return arrays.select(
+        *[
+            F.col(v)[i].alias(f"{v}_q{round(p * 100):02d}")
+            for v in RFM_VALUES
+            for i, p in enumerate(QUINTILES)
+        ]
+    )
 
 
 def rfm_cut_table(base: DataFrame, relative_error: float = DEFAULT_RELATIVE_ERROR) -> DataFrame:
@@ -107,7 +115,19 @@ def rfm_segments(
     :func:`laminar.functions.scoring.recency_score`).
     """
     base = rfm_base(tx)
-    cuts = {v: cut_columns(df) for v, df in rfm_cuts(base, relative_error).items()}
+    if relative_error == 0:
+        # exact cuts rank each measure separately; compute the per-customer base once
+        from laminar.session import shared_root
+
+        shared_root(tx.sparkSession)
+        base = base.checkpoint(eager=True)
+        cuts = {v: cut_columns(df) for v, df in rfm_cuts(base, relative_error).items()}
+    else:
+        # one sketch pass, one scalar subquery carrying all twelve cuts
+        packed = _approx_cut_row(base, relative_error)
+        cols = cut_columns(packed)
+        k = len(QUINTILES)
+        cuts = {v: cols[i * k:(i + 1) * k] for i, v in enumerate(RFM_VALUES)}
     r = recency_score(F.col("recency"), cuts["recency"], recency_mode)
     f = higher_is_better_score(F.col("frequency"), cuts["frequency"])
     m = higher_is_better_score(F.col("monetary"), cuts["monetary"])

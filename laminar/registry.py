@@ -403,12 +403,12 @@ def q_rfm_base(spark, sf_dir):
     "rfm_cuts",
     f"""WITH {TX}, {RFM_BASE_CTE}, {RFM_CUTS_CTE}
 SELECT measure, probability, cut FROM (
-  SELECT 'recency' AS measure, unnest([0.2, 0.4, 0.6, 0.8]) AS probability,
+  SELECT 'recency' AS measure, unnest(CAST([0.2, 0.4, 0.6, 0.8] AS DOUBLE[])) AS probability,
          unnest(CAST(rq AS DOUBLE[])) AS cut FROM cuts
   UNION ALL
-  SELECT 'frequency', unnest([0.2, 0.4, 0.6, 0.8]), unnest(CAST(fq AS DOUBLE[])) FROM cuts
+  SELECT 'frequency', unnest(CAST([0.2, 0.4, 0.6, 0.8] AS DOUBLE[])), unnest(CAST(fq AS DOUBLE[])) FROM cuts
   UNION ALL
-  SELECT 'monetary', unnest([0.2, 0.4, 0.6, 0.8]), unnest(CAST(mq AS DOUBLE[])) FROM cuts) u""",
+  SELECT 'monetary', unnest(CAST([0.2, 0.4, 0.6, 0.8] AS DOUBLE[])), unnest(CAST(mq AS DOUBLE[])) FROM cuts) u""",
 )
 def q_rfm_cuts(spark, sf_dir):
     return rfm.rfm_cut_table(rfm.rfm_base(testdata.transactions(spark, sf_dir)), relative_error=0.0)

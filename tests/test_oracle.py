@@ -16,6 +16,7 @@ def test_query_matches_oracle(spark, duck01, name):
         return
     res = checks.compare(df, duck01, sql)
     assert res["values_match"], res
+    assert res["types_match"], res
 
 
 def test_entry_smoke(spark):

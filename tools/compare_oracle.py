@@ -31,7 +31,7 @@ def main(argv):
                 res = {"rows_only": df.count()}
             else:
                 res = checks.compare(df, con, sql)
-                bad += not res["values_match"]
+                bad += not (res["values_match"] and res["types_match"])
         except Exception as exc:  # report and go on
             res = {"error": repr(exc)[:600]}
             bad += 1
