@@ -77,8 +77,20 @@ def _approx_cut_row(base: DataFrame, relative_error: float) -> DataFrame:
     )
 
 
+def pin_base(base: DataFrame) -> DataFrame:
+    """Exact cuts rank each measure separately: write the per-customer base once
+    (reliable checkpoint in the shared folder) instead of recomputing it from the
+    transactions for every ranking."""
+    from laminar.session import shared_root
+
+    shared_root(base.sparkSession)
+    return base.checkpoint(eager=True)
+
+
 def rfm_cut_table(base: DataFrame, relative_error: float = DEFAULT_RELATIVE_ERROR) -> DataFrame:
     """A10 as data: one row per (measure, probability, cut)."""
+    if relative_error == 0:
+        base = pin_base(base)
     cuts = rfm_cuts(base, relative_error)
     frames = []
     for v, df in cuts.items():
@@ -116,11 +128,7 @@ def rfm_segments(
     """
     base = rfm_base(tx)
     if relative_error == 0:
-        # exact cuts rank each measure separately; compute the per-customer base once
-        from laminar.session import shared_root
-
-        shared_root(tx.sparkSession)
-        base = base.checkpoint(eager=True)
+        base = pin_base(base)
         cuts = {v: cut_columns(df) for v, df in rfm_cuts(base, relative_error).items()}
     else:
         # one sketch pass, one scalar subquery carrying all twelve cuts
