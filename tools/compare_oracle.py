@@ -19,7 +19,10 @@ from laminar.session import build_session  # noqa: E402
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(registry.QUERIES)
-    spark = build_session("local[8]", shuffle_partitions=8, extra_conf={"spark.ui.showConsoleProgress": "false"})
+    extra = {"spark.ui.showConsoleProgress": "false"}
+    if os.environ.get("ORACLE_SESSION_TZ"):  # results must not depend on the session zone
+        extra["spark.sql.session.timeZone"] = os.environ["ORACLE_SESSION_TZ"]
+    spark = build_session("local[8]", shuffle_partitions=8, extra_conf=extra)
     con = checks.duckdb_connection(sf_dir)
     bad = 0
     for name in names:
