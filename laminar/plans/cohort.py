@@ -1,9 +1,10 @@
 """G5 cohort analysis: A5 -> J3 -> E8, E9 -> A6; A7 -> J4 -> E10.
 
 Transactions are first collapsed to one row per (customer, timestamp) with partial
-aggregation, so the join with first purchases moves far fewer rows and a customer
-with a huge share of the transactions arrives pre-summed. The join itself is a
-sort-merge join that AQE may split on skew; cohort sizes (one row per month) are
+aggregation, so the join with first purchases moves far fewer rows. A customer
+that still holds a large share of those rows is split over several join tasks by
+salting (:func:`laminar.operators.skew.split_hot_key_join`); the hot-key table is
+bounded by a parameter and broadcast. Cohort sizes (one row per month) are
 broadcast.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laminar.functions import month_key, months_since, retention_rate
+from laminar.operators.skew import MAX_HOT_KEYS, MIN_SPLIT_ROWS, split_hot_key_join
 
 
 def first_purchase(tx: DataFrame) -> DataFrame:
@@ -31,11 +33,10 @@ def cohort_sizes(first: DataFrame) -> DataFrame:
     )
 
 
-def cohort_cells(tx: DataFrame, first: DataFrame | None = None) -> DataFrame:
-    """A6 per (cohort month, months since first purchase): customers, revenue,
-    transactions. Null customer ids drop out (inner join, as published)."""
-    first = first if first is not None else first_purchase(tx)
-    per_ts = (
+def _per_timestamp(tx: DataFrame) -> DataFrame:
+    """Transactions summed per (customer, timestamp); null customers drop out (J3 is
+    an inner join in the published job)."""
+    return (
         tx.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", "transaction_date")
         .agg(
@@ -43,7 +44,30 @@ def cohort_cells(tx: DataFrame, first: DataFrame | None = None) -> DataFrame:
             F.count("transaction_id").alias("__cnt"),
         )
     )
-    joined = per_ts.join(first, "customer_id", "inner")
+
+
+def _first_with_counts(per_ts: DataFrame) -> DataFrame:
+    """A5 on the pre-summed rows, plus how many such rows each customer has."""
+    return per_ts.groupBy("customer_id").agg(
+        F.min("transaction_date").alias("first_purchase_date"),
+        F.count(F.lit(1)).alias("__rows"),
+    )
+
+
+def cohort_cells(
+    tx: DataFrame,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    min_split_rows: int = MIN_SPLIT_ROWS,
+) -> DataFrame:
+    """A6 per (cohort month, months since first purchase): customers, revenue,
+    transactions. J3 splits customers holding a large share of the rows (see
+    :mod:`laminar.operators.skew`)."""
+    per_ts = _per_timestamp(tx)
+    first = _first_with_counts(per_ts)
+    joined = split_hot_key_join(
+        per_ts, first, "customer_id", "__rows", F.col("transaction_date"),
+        max_hot_keys, min_split_rows,
+    )
     return (
         joined.groupBy(
             month_key(F.col("first_purchase_date")).alias("cohort_month"),
@@ -66,11 +90,14 @@ def cohort_cells(tx: DataFrame, first: DataFrame | None = None) -> DataFrame:
     )
 
 
-def cohort_analysis(tx: DataFrame) -> DataFrame:
+def cohort_analysis(
+    tx: DataFrame,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    min_split_rows: int = MIN_SPLIT_ROWS,
+) -> DataFrame:
     """Cohort cells with cohort size and retention rate (decimal(5,2) percent)."""
-    first = first_purchase(tx)
-    cells = cohort_cells(tx, first)
-    sizes = cohort_sizes(first)
+    cells = cohort_cells(tx, max_hot_keys, min_split_rows)
+    sizes = cohort_sizes(_first_with_counts(_per_timestamp(tx)))
     return cells.join(F.broadcast(sizes), "cohort_month", "inner").withColumn(
         "retention_rate", retention_rate(F.col("customers"), F.col("cohort_size"))
     )

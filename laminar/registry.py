@@ -43,11 +43,11 @@ def register(name: str, sql: str | None = None):
 
 # --------------------------------------------------------------------------- SQL parts
 
-def _tx_cte(where: str = "") -> str:
+def _tx_cte(where: str = "", customer: str = "o_custkey") -> str:
     return f"""tx AS (
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
                    CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS transaction_id,
-         o_custkey AS customer_id,
+         {customer} AS customer_id,
          l_partkey AS product_id,
          CAST(l_quantity AS DECIMAL(12,2)) AS quantity,
          CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
@@ -58,6 +58,7 @@ def _tx_cte(where: str = "") -> str:
 
 TX = _tx_cte()
 TX_RECENT = _tx_cte("WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'")
+TX_HOT = _tx_cte(customer="CASE WHEN o_orderstatus = 'O' THEN CAST(0 AS BIGINT) ELSE o_custkey END")
 
 CUSTOMERS_CTE = """customers AS (
   SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment,
@@ -197,7 +198,8 @@ MONTHS_SINCE_SQL = """CAST(CASE
     ELSE trunc((year(b) - year(f)) * 12 + month(b) - month(f) + (day(b) - day(f)) / 31.0)
   END AS INTEGER)"""
 
-COHORT_SQL = f"""WITH {TX}, {FIRST_PURCHASE_CTE}, {COHORT_SIZES_CTE},
+def _cohort_sql(tx: str) -> str:
+    return f"""WITH {tx}, {FIRST_PURCHASE_CTE}, {COHORT_SIZES_CTE},
 j AS (SELECT tx.customer_id, tx.amount, tx.transaction_id, tx.transaction_date AS b,
              fp.first_purchase_date AS f
       FROM tx JOIN fp ON tx.customer_id = fp.customer_id),
@@ -210,6 +212,9 @@ SELECT c.*, s.cohort_size,
        CAST(c.customers / s.cohort_size * 100 AS DECIMAL(5,2)) AS retention_rate
 FROM cells c JOIN sizes s ON c.cohort_month = s.cohort_month"""
 
+
+COHORT_SQL = _cohort_sql(TX)
+
 RFM_BASE_CTE = """base AS (
   SELECT customer_id,
          CAST(date_diff('day', CAST(max(transaction_date) AS DATE),
@@ -225,12 +230,12 @@ RFM_CUTS_CTE = """cuts AS (
   FROM base)"""
 
 
-def _rfm_sql(recency_case: str) -> str:
+def _rfm_sql(recency_case: str, tx: str = TX) -> str:
     hi = lambda c, q: (
         f"CASE WHEN {c} >= {q}[4] THEN 5 WHEN {c} >= {q}[3] THEN 4 WHEN {c} >= {q}[2] THEN 3 "
         f"WHEN {c} >= {q}[1] THEN 2 ELSE 1 END"
     )
-    return f"""WITH {TX}, {RFM_BASE_CTE}, {RFM_CUTS_CTE},
+    return f"""WITH {tx}, {RFM_BASE_CTE}, {RFM_CUTS_CTE},
 scored AS (
   SELECT b.*, {recency_case} AS r_score, {hi('frequency', 'fq')} AS f_score,
          {hi('monetary', 'mq')} AS m_score
@@ -765,3 +770,28 @@ def q_incremental_silver(spark, sf_dir):
             drop.write.mode("append").parquet(landing)
         load_increment(spark, landing, events.schema, silver, ckpt, run_date=RUN_DATE)
     return spark.read.parquet(silver).drop("processed_timestamp", "batch_id")
+
+
+
+# --------------------------------------------------------------------------- hot key
+
+@register("customer_analytics_hot_customer", _customer_analytics_sql(TX_HOT))
+def q_customer_analytics_hot_customer(spark, sf_dir):
+    """G1 when one customer holds a third of all transactions."""
+    return customer.customer_analytics(
+        testdata.customers(spark, sf_dir),
+        testdata.hot_customer_transactions(spark, sf_dir),
+        as_of=AS_OF,
+    )
+
+
+@register("cohort_analysis_hot_customer", _cohort_sql(TX_HOT))
+def q_cohort_analysis_hot_customer(spark, sf_dir):
+    """G5 when one customer holds a third of all transactions."""
+    return cohort.cohort_analysis(testdata.hot_customer_transactions(spark, sf_dir))
+
+
+@register("rfm_customer_segments_hot_customer", _rfm_sql(RECENCY_STANDARD_SQL, TX_HOT))
+def q_rfm_customer_segments_hot_customer(spark, sf_dir):
+    """G6 (exact cuts) when one customer holds a third of all transactions."""
+    return rfm.rfm_segments(testdata.hot_customer_transactions(spark, sf_dir), relative_error=0.0)

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 AMOUNT_SCALE = "0.004"
 # Fixed value: first day of the "recent" transactions variant (leaves customers unmatched).
 RECENT_SINCE = _dt.datetime(2001, 1, 1)
+# The skewed variant books every order of this status to one customer.
+HOT_STATUS = "O"
+HOT_CUSTOMER = 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,16 +28,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions(
-    spark: SparkSession, sf_dir: str, since: _dt.datetime | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    since: _dt.datetime | None = None,
+    hot_customer: int | None = None,
 ) -> DataFrame:
-    """lineitem joined with orders on the order key: one row per line item."""
+    """lineitem joined with orders on the order key: one row per line item.
+
+    ``hot_customer``: every open order (status 'O', a third of the line items) is
+    booked to that one customer, to exercise a key holding a third of all rows.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_discount",
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
+    )
     if since is not None:
         orders = orders.where(F.col("o_orderdate") >= F.lit(since))
+    if hot_customer is not None:
+        orders = orders.withColumn(
+            "o_custkey",
+            F.when(F.col("o_orderstatus") == HOT_STATUS, F.lit(hot_customer).cast("bigint"))
+            .otherwise(F.col("o_custkey")),
+        )
     tx = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
     amount = (
         F.col("l_extendedprice").cast("decimal(12,2)")
@@ -62,6 +80,11 @@ def recent_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir, since=RECENT_SINCE)
 
 
+def hot_customer_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skewed variant: one customer holds a third of all transactions."""
+    return transactions(spark, sf_dir, hot_customer=HOT_CUSTOMER)
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
