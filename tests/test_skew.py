@@ -33,6 +33,14 @@ def test_split_join_equals_plain_join(spark):
 def test_hot_key_spread_over_tasks(spark):
     big, small = _frames(spark)
     joined = split_hot_key_join(big, small, "k", "n", F.col("t"), max_hot_keys=100, min_split_rows=10)
-    per_task = joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    tagged = joined.withColumn("p", F.spark_partition_id())  # task of the join output
+    # measure the shuffled join, as on large inputs (no whole-side broadcast)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        per_task = tagged.where("k = 7").groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(per_task) > 1
     assert max(r["count"] for r in per_task) < 20_000  # the key holds 20,000 rows
