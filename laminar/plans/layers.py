@@ -32,6 +32,18 @@ GOLD_DATASETS = (
 JOB_SUMMARY = "job_summary"
 
 
+def run_partition(df: DataFrame, run_date: _dt.date | None = None):
+    """Predicate selecting the partition a run wrote (``load_*`` columns when the
+    dataset keeps its own year/month); pruned at the scan."""
+    day = F.lit(run_date) if run_date is not None else F.current_date()
+    names = layers.gold_partition_columns(df)
+    return (
+        (F.col(names[0]) == F.year(day))
+        & (F.col(names[1]) == F.month(day))
+        & (F.col(names[2]) == F.dayofmonth(day))
+    )
+
+
 def silver_name(bronze_table: str) -> str:
     """``bronze_x`` -> ``silver_x``; other names get the prefix."""
     base = bronze_table[len("bronze_"):] if bronze_table.startswith("bronze_") else bronze_table
@@ -93,12 +105,14 @@ def job_summary(
     job_name: str = "silver_to_gold",
     processing_time: float | None = None,
     run_ts: _dt.datetime | None = None,
+    run_date: _dt.date | None = None,
 ) -> DataFrame:
-    """G7 from the written tables: one grouping over their ``dataset_name`` column
-    (Parquet reads only that column)."""
-    frames = [
-        spark.read.parquet(f"{gold_root.rstrip('/')}/{d}").select("dataset_name") for d in datasets
-    ]
+    """G7 from the written tables: one grouping over their ``dataset_name`` column,
+    this run's partition only (Parquet reads only that column of that partition)."""
+    frames = []
+    for d in datasets:
+        df = spark.read.parquet(f"{gold_root.rstrip('/')}/{d}")
+        frames.append(df.where(run_partition(df, run_date)).select("dataset_name"))
     counts = layers.union_all(frames).groupBy("dataset_name").agg(
         F.count(F.lit(1)).alias("record_count")
     )
@@ -128,12 +142,24 @@ def build_gold(
     for name, df in gold_frames(tx, customers, products, as_of, relative_error).items():
         counts[name] = layers.write_gold(df, gold_root, name, run_ts, run_date)["record_count"]
     summary = job_summary(
-        tx.sparkSession, gold_root, tuple(counts), job_name, timer.seconds(), run_ts
+        tx.sparkSession, gold_root, tuple(counts), job_name, timer.seconds(), run_ts, run_date
     )
     layers.write_gold(summary, gold_root, JOB_SUMMARY, run_ts, run_date)
     return counts
 
 
+def default_rules(df: DataFrame, key: str = KEY_COLUMN) -> tuple:
+    """The published ruleset on ``key`` when the table has that column; otherwise only
+    the column count (the published rules name an ``id`` most tables lack)."""
+    if key in df.columns:
+        return (
+            quality.Rule("ColumnCount", None, 0.0),
+            quality.Rule("Completeness", key, 0.95),
+            quality.Rule("Uniqueness", key, 0.99),
+        )
+    return (quality.Rule("ColumnCount", None, 0.0),)
+
+
 @dataclass
 class LayerConfig:
     """What the scheduled flow needs, named explicitly (no discovery by name)."""
@@ -148,7 +174,8 @@ class LayerConfig:
     cleaning_job: str = "bronze_to_silver"
     gold_job: str = "silver_to_gold"
     key_column: str = KEY_COLUMN
-    rules: tuple = field(default_factory=lambda: quality.DEFAULT_RULESET)
+    # rules per silver table name; tables not listed get ``default_rules(key_column)``
+    rules: dict = field(default_factory=dict)
     relative_error: float = DEFAULT_RELATIVE_ERROR
     as_of: object = None
     run_date: _dt.date | None = None
@@ -169,8 +196,11 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
                 key=cfg.key_column,
             )
         )
-        silver = spark.read.parquet(f"{cfg.silver_root.rstrip('/')}/{silver_name(name)}")
-        quality.quality_gate(quality.evaluate_ruleset(silver, cfg.rules))
+        target = silver_name(name)
+        silver = spark.read.parquet(f"{cfg.silver_root.rstrip('/')}/{target}")
+        silver = silver.where(run_partition(silver, cfg.run_date))  # this run's rows
+        rules = cfg.rules.get(target, default_rules(silver, cfg.key_column))
+        quality.quality_gate(quality.evaluate_ruleset(silver, rules))
 
     def silver(table):
         return None if table is None else layers.read_table(

@@ -77,7 +77,6 @@ def test_run_layers_end_to_end(spark, tmp_path):
         transactions_table="silver_transactions",
         customers_table="silver_customers",
         lineage_path=f"{root}/lineage",
-        rules=(),
         as_of="2001-08-02",
         run_date=dt.date(2024, 1, 1),
     )
@@ -89,3 +88,32 @@ def test_run_layers_end_to_end(spark, tmp_path):
     got = {r.dataset_name: r.record_count for r in summary.collect()}
     assert got == out["gold"]
     assert spark.read.parquet(f"{root}/lineage").count() == 2
+
+
+def test_jobs_cli(spark, tmp_path):
+    from laminar import jobs
+
+    root = str(tmp_path)
+    testdata.transactions(spark, SF).write.parquet(f"{root}/bronze/bronze_transactions")
+    testdata.dirty_bronze_orders(spark, SF).write.parquet(f"{root}/bronze/bronze_orders")
+    assert jobs.list_tables(spark, f"{root}/bronze") == ["bronze_orders", "bronze_transactions"]
+    jobs.main(["bronze-to-silver", "--bronze-root", f"{root}/bronze", "--silver-root",
+               f"{root}/silver", "--lineage-path", f"{root}/lineage", "--run-date", "2024-01-01"])
+    assert spark.read.parquet(f"{root}/lineage").count() == 2
+    jobs.main(["silver-to-gold", "--silver-root", f"{root}/silver", "--gold-root", f"{root}/gold",
+               "--transactions", "silver_transactions", "--run-date", "2024-01-01",
+               "--as-of", "2001-08-02"])
+    got = {r.dataset_name: r.record_count for r in spark.read.parquet(f"{root}/gold/job_summary").collect()}
+    assert len(got) == 6 and all(v > 0 for v in got.values())
+
+
+def test_job_summary_counts_this_run_only(spark, tmp_path):
+    from laminar.plans.layers import build_gold
+
+    root = str(tmp_path / "gold")
+    tx = testdata.transactions(spark, SF)
+    first = build_gold(tx, root, run_date=dt.date(2024, 1, 1), as_of="2001-08-02")
+    second = build_gold(tx, root, run_date=dt.date(2024, 1, 2), as_of="2001-08-02")
+    assert first == second
+    summary = spark.read.parquet(f"{root}/job_summary").where("day = 2")
+    assert {r.dataset_name: r.record_count for r in summary.collect()} == second
