@@ -59,13 +59,20 @@ def clean_to_silver(
     run_ts: _dt.datetime | None = None,
     run_date: _dt.date | None = None,
     key: str = KEY_COLUMN,
+    mode: str = "overwrite",
 ) -> dict:
-    """Clean one bronze table and append it to silver; counts are observed during the
-    single write, then one lineage row is appended."""
+    """Clean one bronze table into silver; counts are observed during the single
+    write, then one lineage row is appended.
+
+    The batch job reads the whole bronze table, so it replaces the silver table
+    (``mode="overwrite"``): a re-run or a retried job gives the same silver table
+    instead of a second copy. New files only, appended run after run, is the
+    streaming loader's job (:mod:`laminar.streaming.incremental`).
+    """
     timer = layers.Timer()
     target = silver_name(table_name)
     observed = ObservedCleaning(bronze, run_ts, run_date, key)
-    layers.write_layer(observed.frame, f"{silver_root.rstrip('/')}/{target}")
+    layers.write_layer(observed.frame, f"{silver_root.rstrip('/')}/{target}", mode=mode)
     report = observed.report()
     report.update({"source_table": table_name, "target_table": target})
     if lineage_path:

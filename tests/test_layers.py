@@ -117,3 +117,11 @@ def test_job_summary_counts_this_run_only(spark, tmp_path):
     assert first == second
     summary = spark.read.parquet(f"{root}/job_summary").where("day = 2")
     assert {r.dataset_name: r.record_count for r in summary.collect()} == second
+
+
+def test_cleaning_rerun_is_idempotent(spark, tmp_path):
+    root = str(tmp_path)
+    bronze = testdata.dirty_bronze_orders(spark, SF)
+    a = clean_to_silver(bronze, f"{root}/silver", "bronze_orders", "job", run_date=dt.date(2024, 1, 1))
+    clean_to_silver(bronze, f"{root}/silver", "bronze_orders", "job", run_date=dt.date(2024, 1, 1))
+    assert spark.read.parquet(f"{root}/silver/silver_orders").count() == a["output_rows"]
