@@ -73,7 +73,9 @@ def shared_root(spark: SparkSession) -> str:
             root = current
         else:
             root = tempfile.mkdtemp(prefix="laminar-")
-            spark.sparkContext.setCheckpointDir(root)
+    if not spark.sparkContext.getCheckpointDir():
+        # DataFrame.checkpoint() writes to the context's folder: make it the shared one
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
