@@ -83,3 +83,14 @@ def test_months_between_month_ends(spark):
     from laminar.functions import months_since
 
     assert [r[0] for r in df.select(months_since(F.col("b"), F.col("f"))).collect()] == [1, 0, 1]
+
+
+def test_null_period_keeps_distinct_counts(spark):
+    rows = [("a", 1, 10, 1.0, 2.0, None), ("b", 2, 10, 1.0, 3.0, None),
+            ("c", 1, 11, 1.0, 4.0, dt.datetime(2001, 1, 5)), ("d", None, None, 1.0, 1.0, dt.datetime(2001, 1, 5))]
+    tx = spark.createDataFrame(
+        rows, "transaction_id string, customer_id long, product_id long, quantity double, "
+              "amount double, transaction_date timestamp_ntz")
+    got = {r.transaction_date: (r.daily_transaction_count, r.daily_unique_customers, r.daily_unique_products)
+           for r in timeseries.daily_metrics(tx).collect()}
+    assert got == {None: (2, 2, 1), dt.date(2001, 1, 5): (2, 1, 1)}
