@@ -12,6 +12,7 @@ an append log and gold is recomputed from it in full.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -30,12 +31,20 @@ def load_increment(
     key: str = KEY_COLUMN,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[dict]:
     """Process every new file under ``source_dir`` and stop; returns one cleaning
-    report per micro-batch (empty when nothing new arrived)."""
+    report per micro-batch (empty when nothing new arrived).
+
+    ``transform`` runs on each raw batch before the cleaning rules. If a batch fails,
+    the query stops with the error and the checkpoint stays before that batch, so
+    the next run processes the same files again.
+    """
     reports: list[dict] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if transform is not None:
+            batch = transform(batch)
         observed = ObservedCleaning(batch, run_date=run_date, key=key)
         write_layer(
             observed.frame, f"{silver_dir.rstrip('/')}/batch_id={batch_id}", mode="overwrite"

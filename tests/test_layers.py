@@ -125,3 +125,30 @@ def test_cleaning_rerun_is_idempotent(spark, tmp_path):
     a = clean_to_silver(bronze, f"{root}/silver", "bronze_orders", "job", run_date=dt.date(2024, 1, 1))
     clean_to_silver(bronze, f"{root}/silver", "bronze_orders", "job", run_date=dt.date(2024, 1, 1))
     assert spark.read.parquet(f"{root}/silver/silver_orders").count() == a["output_rows"]
+
+
+def test_failed_batch_is_processed_again(spark, tmp_path):
+    import pytest
+
+    root = str(tmp_path)
+    ev = testdata.table(spark, SF, "events")
+    ev.write.parquet(f"{root}/landing")
+
+    def broken(df):
+        raise RuntimeError("writer failed")
+
+    with pytest.raises(Exception):
+        load_increment(spark, f"{root}/landing", ev.schema, f"{root}/silver", f"{root}/ck",
+                       transform=broken)
+    reports = load_increment(spark, f"{root}/landing", ev.schema, f"{root}/silver", f"{root}/ck")
+    assert sum(r["output_rows"] for r in reports) == ev.count()
+    assert spark.read.parquet(f"{root}/silver").count() == ev.count()
+
+
+def test_read_with_merged_schema(spark, tmp_path):
+    root = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(f"{root}/day=1")
+    spark.createDataFrame([(2, "b", 3.0)], "id long, v string, extra double").write.parquet(f"{root}/day=2")
+    df = layers.read_table(spark, root, merge_schema=True)
+    assert set(df.columns) == {"id", "v", "extra", "day"}
+    assert df.where("extra IS NULL").count() == 1
