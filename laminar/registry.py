@@ -455,7 +455,7 @@ BRONZE_CTE = """dirty AS (
   FROM orders),
 bronze AS (
   SELECT * EXCLUDE (k) FROM dirty
-  UNION ALL SELECT * EXCLUDE (k) FROM dirty WHERE k % 10 = 0)"""
+  UNION ALL SELECT * EXCLUDE (k) FROM dirty WHERE "Order Priority" = '1-URGENT')"""
 
 DEDUP_CTE = "dedup AS (SELECT DISTINCT * FROM bronze)"
 KEYED_CTE = "keyed AS (SELECT * FROM dedup WHERE id IS NOT NULL)"

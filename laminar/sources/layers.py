@@ -46,8 +46,8 @@ LINEAGE_SCHEMA = T.StructType(
 def read_table(spark: SparkSession, name_or_path: str, merge_schema: bool = False) -> DataFrame:
     """A catalog table by name, or a Parquet folder by path.
 
-    ``merge_schema`` unions the file schemas (columns added over time), as a crawler
-    would; partition columns come from the ``name=value`` folders either way.
+    ``merge_schema`` unions the file schemas (columns added over time), as schema
+    discovery would; partition columns come from the ``name=value`` folders either way.
     """
     if "/" in name_or_path or ":" in name_or_path:
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(name_or_path)
