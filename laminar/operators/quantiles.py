@@ -5,8 +5,8 @@
   ``approxQuantile(..., 0.05)``, the same Greenwald-Khanna summary).
 * ``exact``: the value at 1-based position ``max(1, ceil(p * n))`` in ascending
   order, which is what an exact ``approxQuantile`` and SQL ``quantile_disc`` return.
-  Positions come from :func:`laminar.operators.ranking.global_rank`, so no task
-  ever holds more than one range partition.
+  Positions come from :func:`laminar.operators.ranking.global_row_number`, so no
+  task ever holds more than one range partition.
 
 Cuts never reach the driver: :func:`cut_columns` turns the one-row result into
 scalar-subquery Columns that Spark evaluates once (identical subqueries are reused).
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminar.operators.ranking import global_rank
+from laminar.operators.ranking import global_row_number
 
 # Quintile probabilities and the published relative error.
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
@@ -66,16 +66,9 @@ def exact_cuts(
     base = df.select(F.col(value).cast("double").alias(value), *key).where(
         F.col(value).isNotNull()
     )
-    ranked = global_rank(
-        base,
-        value,
-        key,
-        descending=False,
-        n_partitions=n_partitions,
-        row_number_col="__rn",
-        rank_col=None,
-        percent_rank_col=None,
-        count_col="__n",
+    order = [F.col(value).asc()] + [F.col(k).asc_nulls_last() for k in key]
+    ranked = global_row_number(
+        base, order, n_partitions=n_partitions, row_number_col="__rn", count_col="__n"
     )
     targets = [
         F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__n")).cast("long"))

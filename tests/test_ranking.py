@@ -104,3 +104,18 @@ def test_without_exchange_reuse_still_correct(spark):
     want = sorted(tuple(r) for r in window_rank(df, "v", ["k"])
                   .select("k", "row_number", "rank", "percent_rank").collect())
     assert got == want
+
+
+@pytest.mark.parametrize("n_parts", [1, 5, 16])
+def test_global_row_number_matches_window(spark, n_parts):
+    from laminar.operators.ranking import global_row_number
+
+    rnd = random.Random(n_parts)
+    rows = [(i, float(rnd.randrange(7)), f"p{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, v double, payload string")
+    order = [F.col("v").desc(), F.col("k").asc()]
+    got = global_row_number(df, order, n_partitions=n_parts, count_col="n")
+    want = window_rank(df, "v", ["k"], rank_col=None, percent_rank_col=None)
+    g = sorted((r.k, r.row_number, r.n, r.payload) for r in got.collect())
+    w = sorted((r.k, r.row_number, 3000, r.payload) for r in want.collect())
+    assert g == w
