@@ -320,6 +320,17 @@ def q_product_rank(spark, sf_dir):
     return product.rank_products(summary.select("product_id", "total_revenue"))
 
 
+@register(
+    "product_rank_distributed",
+    f"""WITH {TX}, {PRODUCT_SUMMARY_CTE}, {PRODUCT_PERF_CTE}
+SELECT product_id, total_revenue, revenue_rank, revenue_percentile FROM prank""",
+)
+def q_product_rank_distributed(spark, sf_dir):
+    """W1/W2 spread over 64 range partitions: offsets across many partitions."""
+    summary = product.product_summary(testdata.transactions(spark, sf_dir))
+    return product.rank_products(summary.select("product_id", "total_revenue"), n_partitions=64)
+
+
 @register(
     "product_rank_ties",
     f"""WITH {TX}, {PRODUCT_SUMMARY_CTE}
