@@ -92,12 +92,11 @@ def gold_frames(
     products: DataFrame | None = None,
     as_of=None,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
-    rank_method: str = "distributed",
 ) -> dict[str, DataFrame]:
     """The six gold datasets as lazy DataFrames."""
     return {
         "customer_analytics": customer.customer_analytics(customers, tx, as_of=as_of),
-        "product_analytics": product.product_analytics(products, tx, method=rank_method),
+        "product_analytics": product.product_analytics(products, tx),
         "daily_metrics": timeseries.daily_metrics(tx),
         "monthly_metrics": timeseries.monthly_metrics(tx),
         "cohort_analysis": cohort.cohort_analysis(tx),

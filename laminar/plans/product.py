@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laminar.functions import performance_category, safe_mean
-from laminar.operators.ranking import global_rank, window_rank
-
-RANK_METHODS = ("distributed", "window")
+from laminar.operators.ranking import global_rank
 
 
 def product_summary(tx: DataFrame) -> DataFrame:
@@ -33,31 +31,22 @@ def product_summary(tx: DataFrame) -> DataFrame:
 def rank_products(
     summary: DataFrame,
     by: str = "total_revenue",
-    method: str = "distributed",
     n_partitions: int | None = None,
     rank_col: str = "revenue_rank",
     percentile_col: str = "revenue_percentile",
 ) -> DataFrame:
     """W1 row number and W2 percent rank x 100, best first; ties in the row number
-    are broken by product id. ``distributed`` never puts all products in one task."""
-    if method == "distributed":
-        ranked = global_rank(
-            summary, by, ["product_id"], descending=True, n_partitions=n_partitions,
-            row_number_col=rank_col, rank_col=None, percent_rank_col="__pr",
-        )
-    elif method == "window":
-        ranked = window_rank(
-            summary, by, ["product_id"], descending=True,
-            row_number_col=rank_col, rank_col=None, percent_rank_col="__pr",
-        )
-    else:
-        raise ValueError(f"method must be one of {RANK_METHODS}")
+    are broken by product id. Distributed: no step holds all products in one task."""
+    ranked = global_rank(
+        summary, by, ["product_id"], descending=True, n_partitions=n_partitions,
+        row_number_col=rank_col, rank_col=None, percent_rank_col="__pr",
+    )
     return ranked.withColumn(percentile_col, F.col("__pr") * 100).drop("__pr")
 
 
-def product_performance(summary: DataFrame, method: str = "distributed", n_partitions=None) -> DataFrame:
+def product_performance(summary: DataFrame, n_partitions: int | None = None) -> DataFrame:
     """W1, W2 then E6 (percentile measured from the best seller, as published)."""
-    ranked = rank_products(summary, method=method, n_partitions=n_partitions)
+    ranked = rank_products(summary, n_partitions=n_partitions)
     return ranked.withColumn(
         "performance_category", performance_category(F.col("revenue_percentile"))
     )
@@ -66,12 +55,11 @@ def product_performance(summary: DataFrame, method: str = "distributed", n_parti
 def product_analytics(
     products: DataFrame | None,
     tx: DataFrame,
-    method: str = "distributed",
     n_partitions: int | None = None,
 ) -> DataFrame:
     """G2. With a product master, unsold products are kept with 0 sales and 0.0
     revenue (rank, percentile and category stay null)."""
-    perf = product_performance(product_summary(tx), method, n_partitions)
+    perf = product_performance(product_summary(tx), n_partitions)
     if products is None:
         return perf
     return products.join(perf, "product_id", "left").fillna(0, ["total_sales", "total_revenue"])
