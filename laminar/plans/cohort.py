@@ -25,11 +25,12 @@ def first_purchase(tx: DataFrame) -> DataFrame:
 
 
 def cohort_sizes(first: DataFrame) -> DataFrame:
-    """A7 distinct customers per first-purchase month."""
+    """A7 distinct customers per first-purchase month. ``first`` has one row per
+    customer, so a count is the distinct count (no second shuffle)."""
     return (
         first.where(F.col("customer_id").isNotNull())
         .groupBy(month_key(F.col("first_purchase_date")).alias("cohort_month"))
-        .agg(F.count_distinct("customer_id").alias("cohort_size"))
+        .agg(F.count("customer_id").alias("cohort_size"))
     )
 
 
@@ -58,12 +59,16 @@ def cohort_cells(
     tx: DataFrame,
     max_hot_keys: int = MAX_HOT_KEYS,
     min_split_rows: int = MIN_SPLIT_ROWS,
+    _pre: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """A6 per (cohort month, months since first purchase): customers, revenue,
     transactions. J3 splits customers holding a large share of the rows (see
     :mod:`laminar.operators.skew`)."""
-    per_ts = _per_timestamp(tx)
-    first = _first_with_counts(per_ts)
+    if _pre is None:
+        per_ts = _per_timestamp(tx)
+        first = _first_with_counts(per_ts)
+    else:
+        per_ts, first = _pre
     joined = split_hot_key_join(
         per_ts, first, "customer_id", "__rows", F.col("transaction_date"),
         max_hot_keys, min_split_rows,
@@ -96,8 +101,10 @@ def cohort_analysis(
     min_split_rows: int = MIN_SPLIT_ROWS,
 ) -> DataFrame:
     """Cohort cells with cohort size and retention rate (decimal(5,2) percent)."""
-    cells = cohort_cells(tx, max_hot_keys, min_split_rows)
-    sizes = cohort_sizes(_first_with_counts(_per_timestamp(tx)))
+    per_ts = _per_timestamp(tx)
+    first = _first_with_counts(per_ts)
+    cells = cohort_cells(tx, max_hot_keys, min_split_rows, _pre=(per_ts, first))
+    sizes = cohort_sizes(first)
     return cells.join(F.broadcast(sizes), "cohort_month", "inner").withColumn(
         "retention_rate", retention_rate(F.col("customers"), F.col("cohort_size"))
     )
