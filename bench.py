@@ -3,7 +3,9 @@
 Silver transactions are written once (lineitem x orders, as the silver layer would
 hold them); each gold dataset and the cleaning / quality jobs are then timed with a
 ``noop`` sink, which runs the whole plan without output cost. Median of
-``BENCH_REPEAT`` runs after one warm-up. Prints one JSON line.
+``BENCH_REPEAT`` runs after one warm-up. Prints one JSON line; ``spark_jobs`` counts
+the Spark jobs of one run per step (a hardware-free measure; with AQE every shuffle
+stage and broadcast is its own job).
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
      BENCH_REPEAT (default 3)
@@ -33,6 +35,18 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def count_jobs(spark, name: str, fn) -> int:
+    """Spark jobs one run of ``fn`` starts (hardware-free cost measure)."""
+    sc = spark.sparkContext
+    group = f"bench-{name}"
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
 def timed(fn, repeat: int) -> float:
     fn()  # warm-up
     times = []
@@ -81,8 +95,10 @@ def main() -> None:
         ),
     }
     results = {"build_silver_transactions": round(build_silver, 3)}
+    job_counts = {}
     for name, fn in jobs.items():
         results[name] = round(timed(fn, repeat), 3)
+        job_counts[name] = count_jobs(spark, name, fn)
     gold = [k for k in results if k in {
         "customer_analytics", "product_analytics", "daily_metrics", "monthly_metrics",
         "cohort_analysis", "rfm_customer_segments",
@@ -95,6 +111,7 @@ def main() -> None:
         "queries": results,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
+        "spark_jobs": job_counts,
     }
     print(json.dumps(out))
     spark.stop()
