@@ -17,6 +17,7 @@ import sys
 
 from laminar.operators import quality
 from laminar.plans.layers import (
+    bind_roles,
     build_gold,
     clean_to_silver,
     default_rules,
@@ -64,12 +65,16 @@ def silver_to_gold(args) -> dict:
     def read(name):
         return spark.read.parquet(f"{root}/{name}") if name else None
 
-    tx = read(args.transactions)
+    names = {"transactions": args.transactions, "customers": args.customers,
+             "products": args.products}
+    if args.auto_bind:
+        names.update(bind_roles(list_tables(spark, root)))
+    tx = read(names["transactions"])
     if tx is None:
         raise ValueError("no transaction data in the silver layer")
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     counts = build_gold(
-        tx, args.gold_root, read(args.customers), read(args.products), args.job_name,
+        tx, args.gold_root, read(names["customers"]), read(names["products"]), args.job_name,
         as_of=args.as_of, run_date=run_date, relative_error=args.relative_error,
     )
     return {"gold": counts}
@@ -89,7 +94,9 @@ def main(argv=None) -> None:
     g = sub.add_parser("silver-to-gold")
     g.add_argument("--silver-root", required=True)
     g.add_argument("--gold-root", required=True)
-    g.add_argument("--transactions", required=True)
+    g.add_argument("--transactions")
+    g.add_argument("--auto-bind", action="store_true",
+                   help="bind silver tables to roles by name, as the published job does")
     g.add_argument("--customers")
     g.add_argument("--products")
     g.add_argument("--job-name", default="silver_to_gold")

@@ -45,9 +45,27 @@ def run_partition(df: DataFrame, run_date: _dt.date | None = None):
 
 
 def silver_name(bronze_table: str) -> str:
-    """``bronze_x`` -> ``silver_x``; other names get the prefix."""
-    base = bronze_table[len("bronze_"):] if bronze_table.startswith("bronze_") else bronze_table
-    return f"silver_{base}"
+    """``silver_`` + the name with every ``bronze_`` removed (the published rule)."""
+    return f"silver_{bronze_table.replace('bronze_', '')}"
+
+
+# Role binding by name substring, checked in this order per table.
+ROLE_SUBSTRINGS = (("customers", "customer"), ("transactions", "transaction"), ("products", "product"))
+
+
+def bind_roles(table_names) -> dict[str, str]:
+    """The published binding of silver tables to roles: for each table in order, the
+    first role whose word occurs in the lower-cased name; a later table of the same
+    role replaces an earlier one. (A name like ``customer_transactions`` binds as
+    customers; explicit names avoid that.)"""
+    roles: dict[str, str] = {}
+    for name in table_names:
+        low = name.lower()
+        for role, word in ROLE_SUBSTRINGS:
+            if word in low:
+                roles[role] = name
+                break
+    return roles
 
 
 def clean_to_silver(

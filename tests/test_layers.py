@@ -152,3 +152,14 @@ def test_read_with_merged_schema(spark, tmp_path):
     df = layers.read_table(spark, root, merge_schema=True)
     assert set(df.columns) == {"id", "v", "extra", "day"}
     assert df.where("extra IS NULL").count() == 1
+
+
+def test_names_and_role_binding():
+    from laminar.plans.layers import bind_roles, silver_name
+
+    assert silver_name("bronze_orders") == "silver_orders"
+    assert silver_name("raw_bronze_orders") == "silver_raw_orders"
+    assert bind_roles(["silver_customers", "silver_transactions", "silver_products"]) == {
+        "customers": "silver_customers", "transactions": "silver_transactions",
+        "products": "silver_products"}
+    assert bind_roles(["silver_customer_transactions"]) == {"customers": "silver_customer_transactions"}
