@@ -29,3 +29,22 @@ def test_missing_column_fails_without_error(spark):
 def test_gate_passes_clean_keys(spark):
     df = spark.createDataFrame([(i,) for i in range(100)], "id long")
     assert len(quality.quality_gate(quality.evaluate_ruleset(df))) == 3
+
+
+def test_rules_on_two_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id long, code string")
+    rules = (
+        quality.Rule("ColumnCount", None, 0.0),
+        quality.Rule("Uniqueness", "id", 0.99),
+        quality.Rule("Completeness", "code", 0.5),
+        quality.Rule("Uniqueness", "code", 0.5),
+        quality.Rule("Completeness", "absent", 0.5),
+    )
+    got = {(r.rule, r.column): (r.value, r.passed) for r in quality.evaluate_ruleset(df, rules).collect()}
+    assert got == {
+        ("ColumnCount", None): (2.0, True),
+        ("Uniqueness", "id"): (1.0, True),
+        ("Completeness", "code"): (2 / 3, True),
+        ("Uniqueness", "code"): (0.0, False),
+        ("Completeness", "absent"): (None, False),
+    }
