@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laminar.operators.ranking import global_row_number
@@ -86,6 +86,52 @@ def exact_cuts(
     )
 
 
+def exact_cuts_many(
+    df: DataFrame,
+    values: Sequence[str],
+    key: Sequence[str],
+    probs: Sequence[float] = QUINTILES,
+    n_partitions: int | None = None,
+) -> DataFrame:
+    """Exact cuts for several columns with one ranking: the columns are stacked into
+    (measure, value, key) rows and numbered once in (measure, value, key) order; a
+    measure's positions start after the rows of the measures before it. One row with
+    ``<value>_qNN`` columns, in ``values`` then ``probs`` order."""
+    parts = F.array(
+        *[
+            F.struct(F.lit(i).alias("__m"), F.col(v).cast("double").alias("__x"))
+            for i, v in enumerate(values)
+        ]
+    )
+    stacked = (
+        df.select(*key, F.explode(parts).alias("__s"))
+        .select(*key, "__s.__m", "__s.__x")
+        .where(F.col("__x").isNotNull())
+    )
+    order = [F.col("__m").asc(), F.col("__x").asc()] + [F.col(k).asc_nulls_last() for k in key]
+    ranked = global_row_number(stacked, order, n_partitions=n_partitions, row_number_col="__rn")
+    # rows per measure and where each measure starts: one row per measure (bounded)
+    counts = stacked.groupBy("__m").agg(F.count(F.lit(1)).alias("__nm"))
+    counts = counts.withColumn(
+        "__start",
+        F.coalesce(
+            F.sum("__nm").over(Window.orderBy("__m").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ),
+    )
+    pos = F.col("__rn") - F.col("__start")
+    targets = [F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("__nm")).cast("long")) for p in probs]
+    hit = None
+    for t in targets:
+        hit = (pos == t) if hit is None else hit | (pos == t)
+    picked = ranked.join(F.broadcast(counts), "__m", "inner").where(hit)
+    cols = []
+    for i, v in enumerate(values):
+        for t, name in zip(targets, cut_names(v, probs)):
+            cols.append(F.max(F.when((F.col("__m") == i) & (pos == t), F.col("__x"))).alias(name))
+    return picked.agg(*cols)
+
+
 def quantile_cuts(
     df: DataFrame,
     value: str,

@@ -19,7 +19,7 @@ from laminar.operators.quantiles import (
     DEFAULT_RELATIVE_ERROR,
     QUINTILES,
     cut_columns,
-    exact_cuts,
+    exact_cuts_many,
 )
 
 RFM_VALUES = ("recency", "frequency", "monetary")
@@ -43,20 +43,23 @@ def rfm_base(tx: DataFrame) -> DataFrame:
 
 
 def rfm_cuts(base: DataFrame, relative_error: float = DEFAULT_RELATIVE_ERROR) -> dict[str, DataFrame]:
-    """A10 quintile cuts per measure, one single-row DataFrame each.
-
-    ``relative_error`` 0 gives exact cuts (distributed); otherwise one approximate
-    sketch pass computes all three measures at once.
-    """
-    if relative_error == 0:
-        return {v: exact_cuts(base, v, ["customer_id"], QUINTILES) for v in RFM_VALUES}
-    packed = _approx_cut_row(base, relative_error)
+    """A10 quintile cuts per measure, one single-row DataFrame each (all three come
+    from one computation: a stacked ranking when ``relative_error`` is 0, otherwise
+    one pass of three sketches)."""
+    packed = _cut_row(base, relative_error)
     k = len(QUINTILES)
     return {
         v: packed.select(*packed.columns[i * k:(i + 1) * k]) for i, v in enumerate(RFM_VALUES)
     }
 
 
+def _cut_row(base: DataFrame, relative_error: float) -> DataFrame:
+    """One row of twelve cuts: exact (one stacked ranking) or approximate (sketches)."""
+    if relative_error == 0:
+        return exact_cuts_many(base, RFM_VALUES, ["customer_id"], QUINTILES)
+    return _approx_cut_row(base, relative_error)
+
+
 def _approx_cut_row(base: DataFrame, relative_error: float) -> DataFrame:
     """One aggregate pass computing the three sketches; one row of twelve cuts."""
     accuracy = max(1, int(round(1.0 / relative_error)))
@@ -129,13 +132,10 @@ def rfm_segments(
     base = rfm_base(tx)
     if relative_error == 0:
         base = pin_base(base)
-        cuts = {v: cut_columns(df) for v, df in rfm_cuts(base, relative_error).items()}
-    else:
-        # one sketch pass, one scalar subquery carrying all twelve cuts
-        packed = _approx_cut_row(base, relative_error)
-        cols = cut_columns(packed)
-        k = len(QUINTILES)
-        cuts = {v: cols[i * k:(i + 1) * k] for i, v in enumerate(RFM_VALUES)}
+    # one scalar subquery carrying all twelve cuts
+    cols = cut_columns(_cut_row(base, relative_error))
+    k = len(QUINTILES)
+    cuts = {v: cols[i * k:(i + 1) * k] for i, v in enumerate(RFM_VALUES)}
     r = recency_score(F.col("recency"), cuts["recency"], recency_mode)
     f = higher_is_better_score(F.col("frequency"), cuts["frequency"])
     m = higher_is_better_score(F.col("monetary"), cuts["monetary"])

@@ -121,3 +121,15 @@ def test_global_row_number_matches_window(spark, n_parts):
     g = sorted((r.k, r.row_number, r.n, r.payload) for r in got.collect())
     w = sorted((r.k, r.row_number, 3000, r.payload) for r in want.collect())
     assert g == w
+
+
+def test_exact_cuts_many_match_single(spark):
+    from laminar.operators.quantiles import exact_cuts_many
+
+    rnd = random.Random(5)
+    rows = [(i, float(rnd.randrange(40)), None if i % 7 == 0 else float(rnd.randrange(9))) for i in range(333)]
+    df = spark.createDataFrame(rows, "k long, a double, b double")
+    many = exact_cuts_many(df, ["a", "b"], ["k"], n_partitions=6).collect()[0].asDict()
+    one_a = exact_cuts(df, "a", ["k"], n_partitions=3).collect()[0].asDict()
+    one_b = exact_cuts(df, "b", ["k"], n_partitions=4).collect()[0].asDict()
+    assert many == {**one_a, **one_b}
