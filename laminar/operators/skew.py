@@ -17,8 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Split keys holding more than 1/1000 of the rows, never below 1000 rows.
-MAX_HOT_KEYS = 1000
+# Split keys holding more than 1/100,000 of the rows (so a salt piece
+# never exceeds that share; the hot-key table stays under 100,000 rows, about 1-2 MB
+# to broadcast), and never keys below 1000 rows.
+MAX_HOT_KEYS = 100_000
 MIN_SPLIT_ROWS = 1000
 
 _SALTS = "__salts"
