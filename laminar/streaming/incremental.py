@@ -24,7 +24,7 @@ from laminar.sources.layers import write_layer
 def load_increment(
     spark: SparkSession,
     source_dir: str,
-    schema: StructType,
+    schema: StructType | None,
     silver_dir: str,
     checkpoint_dir: str,
     run_date: _dt.date | None = None,
@@ -32,6 +32,7 @@ def load_increment(
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    archive_dir: str | None = None,
 ) -> list[dict]:
     """Process every new file under ``source_dir`` and stop; returns one cleaning
     report per micro-batch (empty when nothing new arrived).
@@ -39,7 +40,13 @@ def load_increment(
     ``transform`` runs on each raw batch before the cleaning rules. If a batch fails,
     the query stops with the error and the checkpoint stays before that batch, so
     the next run processes the same files again.
+
+    ``schema=None`` takes the schema from the Parquet footers already in
+    ``source_dir`` (metadata only). ``archive_dir`` moves processed files there
+    (``cleanSource=archive``), so later runs do not list an ever-growing folder.
     """
+    if schema is None:
+        schema = spark.read.format(fmt).load(source_dir).schema
     reports: list[dict] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -56,6 +63,8 @@ def load_increment(
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     query = (
         reader.load(source_dir)
         .writeStream.foreachBatch(write_batch)

@@ -163,3 +163,18 @@ def test_names_and_role_binding():
         "customers": "silver_customers", "transactions": "silver_transactions",
         "products": "silver_products"}
     assert bind_roles(["silver_customer_transactions"]) == {"customers": "silver_customer_transactions"}
+
+
+def test_incremental_inferred_schema_batches_and_archive(spark, tmp_path):
+    import os
+
+    root = str(tmp_path)
+    ev = testdata.table(spark, SF, "events")
+    ev.repartition(4).write.parquet(f"{root}/landing")
+    reports = load_increment(spark, f"{root}/landing", None, f"{root}/silver", f"{root}/ck",
+                             max_files_per_trigger=1, archive_dir=f"{root}/archive")
+    assert len(reports) >= 4
+    assert spark.read.parquet(f"{root}/silver").count() == ev.count()
+    again = load_increment(spark, f"{root}/landing", ev.schema, f"{root}/silver", f"{root}/ck")
+    assert again == [] and spark.read.parquet(f"{root}/silver").count() == ev.count()
+    assert os.path.isdir(f"{root}/archive")
