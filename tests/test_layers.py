@@ -178,3 +178,16 @@ def test_incremental_inferred_schema_batches_and_archive(spark, tmp_path):
     again = load_increment(spark, f"{root}/landing", ev.schema, f"{root}/silver", f"{root}/ck")
     assert again == [] and spark.read.parquet(f"{root}/silver").count() == ev.count()
     assert os.path.isdir(f"{root}/archive")
+
+
+def test_jobs_incremental(spark, tmp_path):
+    from laminar import jobs
+
+    root = str(tmp_path)
+    ev = testdata.table(spark, SF, "events")
+    ev.write.parquet(f"{root}/landing")
+    args = ["incremental", "--source", f"{root}/landing", "--silver-dir", f"{root}/silver",
+            "--checkpoint", f"{root}/ck"]
+    jobs.main(args)
+    jobs.main(args)  # nothing new
+    assert spark.read.parquet(f"{root}/silver").count() == ev.count()
