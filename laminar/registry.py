@@ -775,7 +775,8 @@ def q_incremental_silver(spark, sf_dir):
     midpoint = events.select(((F.min(micros) + F.max(micros)) / 2).alias("m")).scalar()
     root = _fresh(spark, "incremental")
     landing, silver, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint"
-    drops = [events.where(micros < midpoint), events.where(micros >= midpoint)]
+    early = F.coalesce(micros < midpoint, F.lit(False))  # a null time lands in the second drop
+    drops = [events.where(early), events.where(~early)]
     for drop in drops + [None]:
         if drop is not None:
             drop.write.mode("append").parquet(landing)
