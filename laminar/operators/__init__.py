@@ -1,5 +1,6 @@
-"""Operators the gold and silver layers compose: cleaning, quality, ranking, quantiles."""
+"""Operators the gold and silver layers compose: cleaning, quality, ranking, quantiles,
+hot-key splitting."""
 
-from laminar.operators import cleaning, quality, quantiles, ranking
+from laminar.operators import cleaning, quality, quantiles, ranking, skew
 
-__all__ = ["cleaning", "quality", "quantiles", "ranking"]
+__all__ = ["cleaning", "quality", "quantiles", "ranking", "skew"]
