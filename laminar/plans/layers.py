@@ -9,6 +9,7 @@ straight to its folder; the only values on the driver are row counts.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ GOLD_DATASETS = (
 )
 JOB_SUMMARY = "job_summary"
 
+log = logging.getLogger("laminar")
+
 
 def run_partition(df: DataFrame, run_date: _dt.date | None = None):
     """Predicate selecting the partition a run wrote (``load_*`` columns when the
@@ -93,6 +96,7 @@ def clean_to_silver(
     layers.write_layer(observed.frame, f"{silver_root.rstrip('/')}/{target}", mode=mode)
     report = observed.report()
     report.update({"source_table": table_name, "target_table": target})
+    log.info("cleaned %s -> %s: %s", table_name, target, report)
     if lineage_path:
         spark = bronze.sparkSession
         layers.append_lineage(
@@ -165,6 +169,7 @@ def build_gold(
     counts = {}
     for name, df in gold_frames(tx, customers, products, as_of, relative_error).items():
         counts[name] = layers.write_gold(df, gold_root, name, run_ts, run_date)["record_count"]
+        log.info("gold %s: %d rows", name, counts[name])
     summary = job_summary(
         tx.sparkSession, gold_root, tuple(counts), job_name, timer.seconds(), run_ts, run_date
     )
@@ -224,7 +229,8 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         silver = spark.read.parquet(f"{cfg.silver_root.rstrip('/')}/{target}")
         silver = silver.where(run_partition(silver, cfg.run_date))  # this run's rows
         rules = cfg.rules.get(target, default_rules(silver, cfg.key_column))
-        quality.quality_gate(quality.evaluate_ruleset(silver, rules))
+        verdicts = quality.quality_gate(quality.evaluate_ruleset(silver, rules))
+        log.info("quality %s: %s", target, verdicts)
 
     def silver(table):
         return None if table is None else layers.read_table(
