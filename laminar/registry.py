@@ -807,3 +807,38 @@ def q_cohort_analysis_hot_customer(spark, sf_dir):
 def q_rfm_customer_segments_hot_customer(spark, sf_dir):
     """G6 (exact cuts) when one customer holds a third of all transactions."""
     return rfm.rfm_segments(testdata.hot_customer_transactions(spark, sf_dir), relative_error=0.0)
+
+
+# --------------------------------------------------------------------------- whole flow
+
+@register("layers_end_to_end", _gold_counts_sql())
+def q_layers_end_to_end(spark, sf_dir):
+    """Bronze tables -> cleaning -> silver (quality gate) -> six gold datasets -> job
+    summary, as one run; the summary counts are compared."""
+    from laminar.plans.layers import LayerConfig, run_layers
+
+    root = _fresh(spark, "layers")
+    bronze = {
+        "bronze_transactions": testdata.transactions(spark, sf_dir),
+        "bronze_customers": testdata.customers(spark, sf_dir),
+        "bronze_products": testdata.products(spark, sf_dir),
+    }
+    for name, df in bronze.items():
+        df.write.parquet(f"{root}/bronze/{name}")
+    run_layers(
+        spark,
+        LayerConfig(
+            bronze_tables={name: f"{root}/bronze/{name}" for name in bronze},
+            silver_root=f"{root}/silver",
+            gold_root=f"{root}/gold",
+            transactions_table="silver_transactions",
+            customers_table="silver_customers",
+            products_table="silver_products",
+            lineage_path=f"{root}/lineage",
+            as_of=AS_OF,
+            run_date=RUN_DATE,
+        ),
+    )
+    return spark.read.parquet(f"{root}/gold/job_summary").select(
+        "dataset_name", "record_count", "job_name"
+    )
