@@ -8,6 +8,7 @@ functions, so the rules also hold with ANSI mode on (the Spark 4 default).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -175,9 +176,10 @@ class ObservedCleaning:
     with no extra pass. Read :meth:`report` after the action has run."""
 
     def __init__(self, df: DataFrame, run_ts=None, run_date=None, key: str = KEY_COLUMN):
-        self._in = Observation("clean_in")
-        self._dedup = Observation("clean_dedup")
-        self._out = Observation("clean_out")
+        tag = uuid.uuid4().hex[:8]  # observation names must not clash between queries
+        self._in = Observation(f"clean_in_{tag}")
+        self._dedup = Observation(f"clean_dedup_{tag}")
+        self._out = Observation(f"clean_out_{tag}")
         src = df.observe(self._in, F.count(F.lit(1)).alias("n"))
         dedup = drop_exact_duplicates(src).observe(self._dedup, F.count(F.lit(1)).alias("n"))
         rest = drop_null_keys(dedup, key)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +110,25 @@ def clean_to_silver(
     return report
 
 
+def gold_builders(
+    tx: DataFrame,
+    customers: DataFrame | None = None,
+    products: DataFrame | None = None,
+    as_of=None,
+    relative_error: float = DEFAULT_RELATIVE_ERROR,
+) -> dict[str, Callable[[], DataFrame]]:
+    """The six gold datasets (G1-G6), each as a function building its DataFrame (some
+    run a pinning job while they are built, see :mod:`laminar.operators.ranking`)."""
+    return {
+        "customer_analytics": lambda: customer.customer_analytics(customers, tx, as_of=as_of),
+        "product_analytics": lambda: product.product_analytics(products, tx),
+        "daily_metrics": lambda: timeseries.daily_metrics(tx),
+        "monthly_metrics": lambda: timeseries.monthly_metrics(tx),
+        "cohort_analysis": lambda: cohort.cohort_analysis(tx),
+        "rfm_customer_segments": lambda: rfm.rfm_segments(tx, relative_error=relative_error),
+    }
+
+
 def gold_frames(
     tx: DataFrame,
     customers: DataFrame | None = None,
@@ -115,14 +136,10 @@ def gold_frames(
     as_of=None,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
 ) -> dict[str, DataFrame]:
-    """The six gold datasets as lazy DataFrames."""
+    """The six gold datasets as DataFrames."""
     return {
-        "customer_analytics": customer.customer_analytics(customers, tx, as_of=as_of),
-        "product_analytics": product.product_analytics(products, tx),
-        "daily_metrics": timeseries.daily_metrics(tx),
-        "monthly_metrics": timeseries.monthly_metrics(tx),
-        "cohort_analysis": cohort.cohort_analysis(tx),
-        "rfm_customer_segments": rfm.rfm_segments(tx, relative_error=relative_error),
+        name: build()
+        for name, build in gold_builders(tx, customers, products, as_of, relative_error).items()
     }
 
 
@@ -163,13 +180,29 @@ def build_gold(
     run_ts: _dt.datetime | None = None,
     run_date: _dt.date | None = None,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
+    parallel: int = 3,
 ) -> dict[str, int]:
-    """Write G1-G6 and the G7 summary; returns the observed row count per dataset."""
+    """Write G1-G6 and the G7 summary; returns the observed row count per dataset.
+
+    The six datasets are independent Spark jobs; up to ``parallel`` of them are
+    submitted at once from driver threads, so the small serial stages of one job
+    overlap with the wide stages of another (use the FAIR scheduler, as
+    :func:`laminar.session.build_session` does).
+    """
     timer = layers.Timer()
-    counts = {}
-    for name, df in gold_frames(tx, customers, products, as_of, relative_error).items():
-        counts[name] = layers.write_gold(df, gold_root, name, run_ts, run_date)["record_count"]
-        log.info("gold %s: %d rows", name, counts[name])
+    builders = gold_builders(tx, customers, products, as_of, relative_error)
+
+    def write(name: str) -> int:
+        n = layers.write_gold(builders[name](), gold_root, name, run_ts, run_date)["record_count"]
+        log.info("gold %s: %d rows", name, n)
+        return n
+
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
+            futures = {name: pool.submit(write, name) for name in builders}
+            counts = {name: f.result() for name, f in futures.items()}
+    else:
+        counts = {name: write(name) for name in builders}
     summary = job_summary(
         tx.sparkSession, gold_root, tuple(counts), job_name, timer.seconds(), run_ts, run_date
     )
@@ -208,22 +241,22 @@ class LayerConfig:
     relative_error: float = DEFAULT_RELATIVE_ERROR
     as_of: object = None
     run_date: _dt.date | None = None
+    parallel: int = 3  # concurrent Spark jobs (bronze tables, gold datasets)
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
-    """Clean -> quality gate -> gold -> summary."""
-    reports = []
-    for name, source in cfg.bronze_tables.items():
-        reports.append(
-            clean_to_silver(
-                layers.read_table(spark, source),
-                cfg.silver_root,
-                name,
-                cfg.cleaning_job,
-                cfg.lineage_path,
-                run_date=cfg.run_date,
-                key=cfg.key_column,
-            )
+    """Clean -> quality gate -> gold -> summary. Bronze tables are cleaned (and gated)
+    as concurrent jobs, up to ``cfg.parallel`` at once, and so are the gold datasets."""
+
+    def clean_and_gate(name: str, source: str) -> dict:
+        report = clean_to_silver(
+            layers.read_table(spark, source),
+            cfg.silver_root,
+            name,
+            cfg.cleaning_job,
+            cfg.lineage_path,
+            run_date=cfg.run_date,
+            key=cfg.key_column,
         )
         target = silver_name(name)
         silver = spark.read.parquet(f"{cfg.silver_root.rstrip('/')}/{target}")
@@ -231,6 +264,11 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         rules = cfg.rules.get(target, default_rules(silver, cfg.key_column))
         verdicts = quality.quality_gate(quality.evaluate_ruleset(silver, rules))
         log.info("quality %s: %s", target, verdicts)
+        return report
+
+    with ThreadPoolExecutor(max_workers=max(1, cfg.parallel), thread_name_prefix="clean") as pool:
+        futures = [pool.submit(clean_and_gate, n, src) for n, src in cfg.bronze_tables.items()]
+        reports = [f.result() for f in futures]  # raises the first failure (gate included)
 
     def silver(table):
         return None if table is None else layers.read_table(
@@ -249,5 +287,6 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         cfg.as_of,
         run_date=cfg.run_date,
         relative_error=cfg.relative_error,
+        parallel=cfg.parallel,
     )
     return {"cleaning": reports, "gold": counts}

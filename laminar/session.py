@@ -27,6 +27,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # gold datasets are written as concurrent jobs; share executors fairly among them
+    "spark.scheduler.mode": "FAIR",
     # ranking pins its range partitions with reliable checkpoints; drop them once unused
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -128,7 +129,7 @@ def write_gold(
     (no second pass over the data).
     """
     path = f"{gold_root.rstrip('/')}/{dataset_name}"
-    obs = Observation(f"gold_{dataset_name}")
+    obs = Observation(f"gold_{dataset_name}_{uuid.uuid4().hex[:8]}")  # unique per query
     out = add_gold_metadata(df, dataset_name, run_ts, run_date).observe(
         obs, F.count(F.lit(1)).alias("rows")
     )
@@ -165,8 +166,14 @@ def lineage_record(
 
 
 def append_lineage(lineage_df: DataFrame, lineage_path: str) -> None:
-    """Append to the external Parquet lineage table."""
-    lineage_df.write.mode("append").option("compression", "snappy").parquet(lineage_path)
+    """Add records to the external Parquet lineage table.
+
+    Each call writes its own ``record_id=<uuid>`` folder: concurrent writers (jobs in
+    one driver, or several drivers) never share the committer's temporary folder, as
+    they would when appending to one path. Readers see ``record_id`` as a column.
+    """
+    path = f"{lineage_path.rstrip('/')}/record_id={uuid.uuid4().hex}"
+    lineage_df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
 
 
 def register_table(

@@ -191,3 +191,17 @@ def test_jobs_incremental(spark, tmp_path):
     jobs.main(args)
     jobs.main(args)  # nothing new
     assert spark.read.parquet(f"{root}/silver").count() == ev.count()
+
+
+def test_concurrent_lineage_writes(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "lineage")
+
+    def one(i):
+        layers.append_lineage(layers.lineage_record(spark, "job", f"t{i}", f"s{i}", i, 0.1), path)
+
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(one, range(12)))
+    got = sorted(r.record_count for r in spark.read.parquet(path).collect())
+    assert got == list(range(12))
