@@ -16,6 +16,7 @@ import argparse
 import datetime as _dt
 import json
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 from laminar.operators import quality
 from laminar.plans.layers import (
@@ -45,8 +46,7 @@ def bronze_to_silver(args) -> dict:
     spark = build_session(app_name=args.job_name)
     tables = args.table or list_tables(spark, args.bronze_root)
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
-    reports = []
-    for t in tables:
+    def one(t: str) -> dict:
         rep = clean_to_silver(
             spark.read.parquet(f"{args.bronze_root.rstrip('/')}/{t}"),
             args.silver_root, t, args.job_name, args.lineage_path, run_date=run_date,
@@ -56,7 +56,11 @@ def bronze_to_silver(args) -> dict:
         rep["quality"] = quality.quality_gate(
             quality.evaluate_ruleset(silver, default_rules(silver))
         ) if args.gate else None
-        reports.append(rep)
+        return rep
+
+    # tables are independent jobs: run up to --parallel of them at once
+    with ThreadPoolExecutor(max_workers=max(1, args.parallel)) as pool:
+        reports = list(pool.map(one, tables))
     return {"tables": reports}
 
 
@@ -78,6 +82,7 @@ def silver_to_gold(args) -> dict:
     counts = build_gold(
         tx, args.gold_root, read(names["customers"]), read(names["products"]), args.job_name,
         as_of=args.as_of, run_date=run_date, relative_error=args.relative_error,
+        parallel=args.parallel,
     )
     return {"gold": counts}
 
@@ -107,6 +112,7 @@ def main(argv=None) -> None:
     b.add_argument("--job-name", default="bronze_to_silver")
     b.add_argument("--run-date")
     b.add_argument("--gate", action="store_true", help="stop on a failed quality rule")
+    b.add_argument("--parallel", type=int, default=3, help="tables cleaned at once")
     g = sub.add_parser("silver-to-gold")
     g.add_argument("--silver-root", required=True)
     g.add_argument("--gold-root", required=True)
@@ -119,6 +125,7 @@ def main(argv=None) -> None:
     g.add_argument("--as-of")
     g.add_argument("--run-date")
     g.add_argument("--relative-error", type=float, default=0.05)
+    g.add_argument("--parallel", type=int, default=3, help="gold datasets written at once")
     i = sub.add_parser("incremental")
     i.add_argument("--source", required=True)
     i.add_argument("--silver-dir", required=True)
