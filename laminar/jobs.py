@@ -1,13 +1,16 @@
-"""Command-line jobs, one per layer step (for ``spark-submit``).
-
-    spark-submit -m laminar.jobs bronze-to-silver --bronze-root R --silver-root S [--table T ...]
-    spark-submit -m laminar.jobs silver-to-gold --silver-root S --gold-root G \\
-        --transactions silver_transactions [--customers ...] [--products ...]
-    spark-submit -m laminar.jobs incremental --source LANDING --silver-dir S \\
-        [--checkpoint C] [--max-files-per-trigger N] [--archive-dir A]
-
-Tables are named explicitly, or every sub-folder of the bronze root is one table
-(a listing of folder names on the driver, no data).
+"""Command-line jobs, one per layer step.
+
+    spark-submit --py-files laminar.zip laminar/jobs.py bronze-to-silver \
+        --bronze-root R --silver-root S [--table T ...] [--gate]
+    spark-submit --py-files laminar.zip laminar/jobs.py silver-to-gold \
+        --silver-root S --gold-root G --transactions silver_transactions \
+        [--customers ...] [--products ...] [--auto-bind]
+    spark-submit --py-files laminar.zip laminar/jobs.py incremental \
+        --source LANDING --silver-dir S [--checkpoint C] [--archive-dir A]
+
+(``python -m laminar.jobs ...`` locally.) Tables are named explicitly, or every
+sub-folder of the bronze root is one table (a listing of folder names on the
+driver, no data).
 """
 
 from __future__ import annotations
