@@ -30,7 +30,7 @@ from laminar.plans.layers import (
     run_partition,
     silver_name,
 )
-from laminar.session import build_session
+from laminar.session import build_session, input_bytes, size_shuffle_partitions
 
 
 def list_tables(spark, root: str) -> list[str]:
@@ -48,6 +48,9 @@ def list_tables(spark, root: str) -> list[str]:
 def bronze_to_silver(args) -> dict:
     spark = build_session(app_name=args.job_name)
     tables = args.table or list_tables(spark, args.bronze_root)
+    # tables run concurrently, so size shuffles for the largest one
+    sizes = [input_bytes(spark, [f"{args.bronze_root.rstrip('/')}/{t}"]) for t in tables]
+    size_shuffle_partitions(spark, max(sizes, default=0))
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     def one(t: str) -> dict:
         rep = clean_to_silver(
@@ -81,6 +84,7 @@ def silver_to_gold(args) -> dict:
     tx = read(names["transactions"])
     if tx is None:
         raise ValueError("no transaction data in the silver layer")
+    size_shuffle_partitions(spark, input_bytes(spark, [f"{root}/{names['transactions']}"]))
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     counts = build_gold(
         tx, args.gold_root, read(names["customers"]), read(names["products"]), args.job_name,

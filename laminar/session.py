@@ -6,6 +6,7 @@ cannot be changed on a running session in Spark 4.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -89,3 +90,31 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def default_partitions(spark: SparkSession) -> int:
     """Partition count for operators that must fix one (range partitioning)."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+# Fixed value: target input bytes per shuffle partition when sizing from the input.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (file-system metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(
+    spark: SparkSession, total_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES
+) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to about one partition per ``target_bytes``
+    of input, never lowering it. AQE coalesces partitions that turn out small, but it
+    cannot split a shuffle that was planned with too few."""
+    current = default_partitions(spark)
+    wanted = max(current, math.ceil(total_bytes / target_bytes))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted

@@ -251,3 +251,18 @@ def test_gold_values_through_the_whole_flow(spark, tmp_path):
             if want[c].dtype != got[c].dtype and "datetime" in str(want[c].dtype) + str(got[c].dtype):
                 want[c], got[c] = want[c].astype(str), got[c].astype(str)
         pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=1e-9)
+
+
+def test_shuffle_partitions_sized_from_input(spark, tmp_path):
+    from laminar.session import input_bytes, size_shuffle_partitions
+
+    path = str(tmp_path / "t")
+    testdata.transactions(spark, SF).write.parquet(path)
+    n_bytes = input_bytes(spark, [path])
+    assert n_bytes > 0
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert size_shuffle_partitions(spark, n_bytes) == before  # small input: unchanged
+        assert size_shuffle_partitions(spark, n_bytes, target_bytes=max(1, n_bytes // 50)) >= 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
