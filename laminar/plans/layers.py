@@ -242,6 +242,7 @@ class LayerConfig:
     as_of: object = None
     run_date: _dt.date | None = None
     parallel: int = 3  # concurrent Spark jobs (bronze tables, gold datasets)
+    size_partitions: bool = True  # raise shuffle partitions to ~1 per 256 MB of input
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
@@ -266,6 +267,11 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         log.info("quality %s: %s", target, verdicts)
         return report
 
+    paths = [src for src in cfg.bronze_tables.values() if "/" in src or ":" in src]
+    if cfg.size_partitions and paths:
+        from laminar.session import input_bytes, size_shuffle_partitions
+
+        size_shuffle_partitions(spark, max(input_bytes(spark, [p]) for p in paths))
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel), thread_name_prefix="clean") as pool:
         futures = [pool.submit(clean_and_gate, n, src) for n, src in cfg.bronze_tables.items()]
         reports = [f.result() for f in futures]  # raises the first failure (gate included)
