@@ -20,6 +20,8 @@ PARQUET_PAGE_SIZE = 1048576  # 1 MB pages
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # post-shuffle partitions (and so written files) of about one 128 MB row group
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": SKEW_PARTITION_THRESHOLD,
