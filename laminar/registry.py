@@ -266,6 +266,7 @@ RECENCY_AS_WRITTEN_SQL = (
 
 @register("customer_summary", f"""WITH {TX}, {CUSTOMER_SUMMARY_CTE} SELECT * FROM csum""")
 def q_customer_summary(spark, sf_dir):
+    """A1 per-customer summary."""
     return customer.customer_summary(testdata.transactions(spark, sf_dir))
 
 
@@ -274,6 +275,7 @@ def q_customer_summary(spark, sf_dir):
     f"""WITH {TX}, {CUSTOMER_SUMMARY_CTE}, {CUSTOMER_SEGMENTS_CTE} SELECT * FROM cseg""",
 )
 def q_customer_segments(spark, sf_dir):
+    """A1 then E1, E2 (spend tier, frequency band)."""
     return customer.customer_segments(
         customer.customer_summary(testdata.transactions(spark, sf_dir))
     )
@@ -281,6 +283,7 @@ def q_customer_segments(spark, sf_dir):
 
 @register("customer_analytics", _customer_analytics_sql(TX))
 def q_customer_analytics(spark, sf_dir):
+    """G1 with the customer master (J1 left join, E3-E5)."""
     return customer.customer_analytics(
         testdata.customers(spark, sf_dir), testdata.transactions(spark, sf_dir), as_of=AS_OF
     )
@@ -288,6 +291,7 @@ def q_customer_analytics(spark, sf_dir):
 
 @register("customer_analytics_recent", _customer_analytics_sql(TX_RECENT))
 def q_customer_analytics_recent(spark, sf_dir):
+    """G1 on recent transactions only: unmatched customers get 0 / 0.0 / Low."""
     return customer.customer_analytics(
         testdata.customers(spark, sf_dir),
         testdata.recent_transactions(spark, sf_dir),
@@ -300,6 +304,7 @@ def q_customer_analytics_recent(spark, sf_dir):
     f"""WITH {TX}, {CUSTOMER_SUMMARY_CTE}, {CUSTOMER_SEGMENTS_CTE} {_customer_derived('cseg')}""",
 )
 def q_customer_analytics_no_master(spark, sf_dir):
+    """G1 without a customer master."""
     return customer.customer_analytics(None, testdata.transactions(spark, sf_dir), as_of=AS_OF)
 
 
@@ -307,6 +312,7 @@ def q_customer_analytics_no_master(spark, sf_dir):
 
 @register("product_summary", f"""WITH {TX}, {PRODUCT_SUMMARY_CTE} SELECT * FROM psum""")
 def q_product_summary(spark, sf_dir):
+    """A2 per-product summary (one distinct count)."""
     return product.product_summary(testdata.transactions(spark, sf_dir))
 
 
@@ -316,6 +322,7 @@ def q_product_summary(spark, sf_dir):
 SELECT product_id, total_revenue, revenue_rank, revenue_percentile FROM prank""",
 )
 def q_product_rank(spark, sf_dir):
+    """W1 row number and W2 percent rank by revenue, distributed."""
     summary = product.product_summary(testdata.transactions(spark, sf_dir))
     return product.rank_products(summary.select("product_id", "total_revenue"))
 
@@ -357,6 +364,7 @@ def q_product_rank_ties(spark, sf_dir):
 
 @register("product_analytics", _product_analytics_sql(TX))
 def q_product_analytics(spark, sf_dir):
+    """G2 with the product master (J2 left join, E6)."""
     return product.product_analytics(
         testdata.products(spark, sf_dir), testdata.transactions(spark, sf_dir)
     )
@@ -364,6 +372,7 @@ def q_product_analytics(spark, sf_dir):
 
 @register("product_analytics_recent", _product_analytics_sql(TX_RECENT))
 def q_product_analytics_recent(spark, sf_dir):
+    """G2 on recent transactions only: unsold products keep null ranks."""
     return product.product_analytics(
         testdata.products(spark, sf_dir), testdata.recent_transactions(spark, sf_dir)
     )
@@ -374,6 +383,7 @@ def q_product_analytics_recent(spark, sf_dir):
     f"""WITH {TX}, {PRODUCT_SUMMARY_CTE}, {PRODUCT_PERF_CTE} SELECT * FROM pperf""",
 )
 def q_product_analytics_no_master(spark, sf_dir):
+    """G2 without a product master."""
     return product.product_analytics(None, testdata.transactions(spark, sf_dir))
 
 
@@ -381,11 +391,13 @@ def q_product_analytics_no_master(spark, sf_dir):
 
 @register("daily_metrics", DAILY_SQL)
 def q_daily_metrics(spark, sf_dir):
+    """A3 per day, W3 trailing 7 / 30 present-day averages."""
     return timeseries.daily_metrics(testdata.transactions(spark, sf_dir))
 
 
 @register("monthly_metrics", MONTHLY_SQL)
 def q_monthly_metrics(spark, sf_dir):
+    """A4 per month, W4 previous month, E7 growth."""
     return timeseries.monthly_metrics(testdata.transactions(spark, sf_dir))
 
 
@@ -393,6 +405,7 @@ def q_monthly_metrics(spark, sf_dir):
 
 @register("first_purchase", f"""WITH {TX}, {FIRST_PURCHASE_CTE} SELECT * FROM fp""")
 def q_first_purchase(spark, sf_dir):
+    """A5 first purchase per customer."""
     return cohort.first_purchase(testdata.transactions(spark, sf_dir))
 
 
@@ -400,11 +413,13 @@ def q_first_purchase(spark, sf_dir):
     "cohort_sizes", f"""WITH {TX}, {FIRST_PURCHASE_CTE}, {COHORT_SIZES_CTE} SELECT * FROM sizes"""
 )
 def q_cohort_sizes(spark, sf_dir):
+    """A7 customers per first-purchase month."""
     return cohort.cohort_sizes(cohort.first_purchase(testdata.transactions(spark, sf_dir)))
 
 
 @register("cohort_analysis", COHORT_SQL)
 def q_cohort_analysis(spark, sf_dir):
+    """J3 (hot customers split), E8, E9, A6, J4, E10."""
     return cohort.cohort_analysis(testdata.transactions(spark, sf_dir))
 
 
@@ -412,6 +427,7 @@ def q_cohort_analysis(spark, sf_dir):
 
 @register("rfm_base", f"""WITH {TX}, {RFM_BASE_CTE} SELECT * FROM base""")
 def q_rfm_base(spark, sf_dir):
+    """A8 reference date (scalar subquery) and A9 recency, frequency, monetary."""
     return rfm.rfm_base(testdata.transactions(spark, sf_dir))
 
 
@@ -427,16 +443,19 @@ SELECT measure, probability, cut FROM (
   SELECT 'monetary', unnest(CAST([0.2, 0.4, 0.6, 0.8] AS DOUBLE[])), unnest(CAST(mq AS DOUBLE[])) FROM cuts) u""",
 )
 def q_rfm_cuts(spark, sf_dir):
+    """A10 exact quintile cuts of the three measures, one row per cut."""
     return rfm.rfm_cut_table(rfm.rfm_base(testdata.transactions(spark, sf_dir)), relative_error=0.0)
 
 
 @register("rfm_customer_segments", _rfm_sql(RECENCY_STANDARD_SQL))
 def q_rfm_customer_segments(spark, sf_dir):
+    """G6 with exact cuts: E11 scores, E12 code, E13 segment."""
     return rfm.rfm_segments(testdata.transactions(spark, sf_dir), relative_error=0.0)
 
 
 @register("rfm_as_written", _rfm_sql(RECENCY_AS_WRITTEN_SQL))
 def q_rfm_as_written(spark, sf_dir):
+    """G6 with the published recency chain."""
     return rfm.rfm_segments(
         testdata.transactions(spark, sf_dir), relative_error=0.0, recency_mode="as_written"
     )
@@ -507,16 +526,19 @@ def _silver(spark, sf_dir):
 
 @register("clean_dedup", f"WITH {BRONZE_CTE}, {DEDUP_CTE} SELECT * FROM dedup")
 def q_clean_dedup(spark, sf_dir):
+    """C1 exact duplicates removed."""
     return cleaning.drop_exact_duplicates(_bronze(spark, sf_dir))
 
 
 @register("clean_null_key", f"WITH {BRONZE_CTE}, {DEDUP_CTE}, {KEYED_CTE} SELECT * FROM keyed")
 def q_clean_null_key(spark, sf_dir):
+    """C1 then C2 (null id removed)."""
     return cleaning.drop_null_keys(cleaning.drop_exact_duplicates(_bronze(spark, sf_dir)))
 
 
 @register("clean_names", f"{CLEAN_CHAIN} SELECT * FROM named")
 def q_clean_names(spark, sf_dir):
+    """C1, C2, then C3 name normalization."""
     return _named(spark, sf_dir)
 
 
@@ -527,6 +549,7 @@ SELECT * REPLACE (try_strptime(transaction_date, '%Y-%m-%d %H:%M:%S') AS transac
 FROM named""",
 )
 def q_clean_dates(spark, sf_dir):
+    """C1-C3 then C5 date parsing (bad and date-only text become null)."""
     return cleaning.parse_dates(_named(spark, sf_dir))
 
 
@@ -536,11 +559,13 @@ def q_clean_dates(spark, sf_dir):
 SELECT * REPLACE (coalesce(TRY_CAST(amount AS DOUBLE), 0.0) AS amount) FROM named""",
 )
 def q_clean_numbers(spark, sf_dir):
+    """C1-C3 then C6 numbers (bad or null become 0.0)."""
     return cleaning.coerce_numbers(_named(spark, sf_dir))
 
 
 @register("clean_email", f"{CLEAN_CHAIN} SELECT *, {EMAIL_SQL} AS email_valid FROM named")
 def q_clean_email(spark, sf_dir):
+    """C1-C3 then C7 e-mail flag."""
     return cleaning.flag_emails(_named(spark, sf_dir))
 
 
@@ -570,6 +595,7 @@ SELECT CAST(sum(n) AS BIGINT) AS input_rows,
 FROM g""",
 )
 def q_clean_report(spark, sf_dir):
+    """C9 counts from one grouping of the raw rows."""
     return cleaning.cleaning_report(_bronze(spark, sf_dir))
 
 
@@ -617,6 +643,7 @@ def q_dq_ruleset_silver(spark, sf_dir):
 
 @register("dq_ruleset_labels", _dq_sql("t AS (SELECT * FROM labels)", "t", "doc_id", 3))
 def q_dq_ruleset_labels(spark, sf_dir):
+    """Q1-Q4 keyed on doc_id: every rule passes."""
     return quality.evaluate_ruleset(testdata.table(spark, sf_dir, "labels"), _ruleset("doc_id"))
 
 
