@@ -34,6 +34,16 @@ GOLD_DATASETS = (
 )
 JOB_SUMMARY = "job_summary"
 
+# The key each gold dataset must have complete and unique (cohort cells
+# have a two-column key, so only their column count is checked).
+GOLD_KEYS = {
+    "customer_analytics": "customer_id",
+    "product_analytics": "product_id",
+    "daily_metrics": "transaction_date",
+    "monthly_metrics": "year_month",
+    "rfm_customer_segments": "customer_id",
+}
+
 log = logging.getLogger("laminar")
 
 
@@ -181,6 +191,7 @@ def build_gold(
     run_date: _dt.date | None = None,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
     parallel: int = 3,
+    gate: bool = False,
 ) -> dict[str, int]:
     """Write G1-G6 and the G7 summary; returns the observed row count per dataset.
 
@@ -207,6 +218,14 @@ def build_gold(
         tx.sparkSession, gold_root, tuple(counts), job_name, timer.seconds(), run_ts, run_date
     )
     layers.write_gold(summary, gold_root, JOB_SUMMARY, run_ts, run_date)
+    if gate:
+        for name in counts:
+            df = tx.sparkSession.read.parquet(f"{gold_root.rstrip('/')}/{name}")
+            df = df.where(run_partition(df, run_date))  # this run's rows
+            verdicts = quality.quality_gate(
+                quality.evaluate_ruleset(df, default_rules(df, GOLD_KEYS.get(name, KEY_COLUMN)))
+            )
+            log.info("quality gold %s: %s", name, verdicts)
     return counts
 
 
@@ -243,6 +262,7 @@ class LayerConfig:
     run_date: _dt.date | None = None
     parallel: int = 3  # concurrent Spark jobs (bronze tables, gold datasets)
     size_partitions: bool = True  # raise shuffle partitions to ~1 per 256 MB of input
+    gate_gold: bool = True  # each gold dataset's key complete and unique
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
@@ -294,5 +314,6 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         run_date=cfg.run_date,
         relative_error=cfg.relative_error,
         parallel=cfg.parallel,
+        gate=cfg.gate_gold,
     )
     return {"cleaning": reports, "gold": counts}

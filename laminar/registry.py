@@ -100,15 +100,21 @@ FROM (SELECT *, CAST(date_diff('day', CAST(last_transaction_date AS DATE),
                   AS days_since_last_transaction FROM {src}) d"""
 
 
-def _customer_analytics_sql(tx: str, extra: str = "") -> str:
-    return f"""WITH {tx}, {CUSTOMERS_CTE}, {CUSTOMER_SUMMARY_CTE}, {CUSTOMER_SEGMENTS_CTE},
+def _customer_analytics_parts(tx: str, extra: str = "") -> tuple[str, str]:
+    """(CTE list, final SELECT) of the G1 oracle."""
+    ctes = f"""{tx}, {CUSTOMERS_CTE}, {CUSTOMER_SUMMARY_CTE}, {CUSTOMER_SEGMENTS_CTE},
 joined AS (
   SELECT c.*, coalesce(s.total_transactions, 0) AS total_transactions,
          coalesce(s.total_amount, 0.0) AS total_amount, s.avg_transaction_amount,
          s.last_transaction_date, s.first_transaction_date, s.customer_segment,
          s.transaction_frequency
-  FROM customers c LEFT JOIN cseg s ON c.customer_id = s.customer_id)
-{_customer_derived('joined', extra)}"""
+  FROM customers c LEFT JOIN cseg s ON c.customer_id = s.customer_id)"""
+    return ctes, _customer_derived("joined", extra)
+
+
+def _customer_analytics_sql(tx: str, extra: str = "") -> str:
+    ctes, select = _customer_analytics_parts(tx, extra)
+    return f"WITH {ctes}\n{select}"
 
 
 PRODUCT_SUMMARY_CTE = """psum AS (
@@ -869,3 +875,17 @@ def q_layers_end_to_end(spark, sf_dir):
     return spark.read.parquet(f"{root}/gold/job_summary").select(
         "dataset_name", "record_count", "job_name"
     )
+
+
+_GOLD_CTES, _GOLD_SELECT = _customer_analytics_parts(TX)
+
+
+@register("dq_ruleset_gold", _dq_sql(f"{_GOLD_CTES}, ca AS ({_GOLD_SELECT})", "ca", "customer_id", 15))
+def q_dq_ruleset_gold(spark, sf_dir):
+    """Q1-Q4 on a gold dataset, keyed on its own key (customer_id): every rule passes."""
+    from laminar.plans.layers import default_rules
+
+    df = customer.customer_analytics(
+        testdata.customers(spark, sf_dir), testdata.transactions(spark, sf_dir), as_of=AS_OF
+    )
+    return quality.evaluate_ruleset(df, default_rules(df, "customer_id"))
