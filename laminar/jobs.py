@@ -89,7 +89,7 @@ def silver_to_gold(args) -> dict:
     counts = build_gold(
         tx, args.gold_root, read(names["customers"]), read(names["products"]), args.job_name,
         as_of=args.as_of, run_date=run_date, relative_error=args.relative_error,
-        parallel=args.parallel,
+        parallel=args.parallel, gate=args.gate,
     )
     return {"gold": counts}
 
@@ -133,6 +133,7 @@ def main(argv=None) -> None:
     g.add_argument("--run-date")
     g.add_argument("--relative-error", type=float, default=0.05)
     g.add_argument("--parallel", type=int, default=3, help="gold datasets written at once")
+    g.add_argument("--gate", action="store_true", help="fail if a gold key is incomplete or repeated")
     i = sub.add_parser("incremental")
     i.add_argument("--source", required=True)
     i.add_argument("--silver-dir", required=True)

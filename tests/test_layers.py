@@ -102,7 +102,7 @@ def test_jobs_cli(spark, tmp_path):
     assert spark.read.parquet(f"{root}/lineage").count() == 2
     jobs.main(["silver-to-gold", "--silver-root", f"{root}/silver", "--gold-root", f"{root}/gold",
                "--transactions", "silver_transactions", "--run-date", "2024-01-01",
-               "--as-of", "2001-08-02"])
+               "--as-of", "2001-08-02", "--gate"])
     got = {r.dataset_name: r.record_count for r in spark.read.parquet(f"{root}/gold/job_summary").collect()}
     assert len(got) == 6 and all(v > 0 for v in got.values())
 
