@@ -17,9 +17,19 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Rule:
     kind: str  # "ColumnCount" | "Completeness" | "Uniqueness"
-    column: str | None
+    column: str | tuple[str, ...] | None  # a tuple is a composite key
     threshold: float
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        if self.column is None:
+            return ()
+        return (self.column,) if isinstance(self.column, str) else tuple(self.column)
+
+    @property
+    def label(self) -> str | None:
+        return None if self.column is None else ",".join(self.columns)
+
 
 # The ruleset every layer declares.
 DEFAULT_RULESET = (
@@ -29,9 +39,15 @@ DEFAULT_RULESET = (
 )
 
 
-def _key_stats(df: DataFrame, name: str) -> DataFrame:
-    """One row: total rows, non-null values, values occurring exactly once."""
-    g = df.groupBy(F.col(f"`{name}`").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+def _key_stats(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """One row: total rows, non-null keys, keys occurring exactly once. A composite
+    key counts as present only when all its columns are."""
+    keys = [F.col(f"`{n}`").alias(f"__v{i}") for i, n in enumerate(names)]
+    present = None
+    for i in range(len(names)):
+        c = F.col(f"__v{i}").isNotNull()
+        present = c if present is None else present & c
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__v", F.when(present, 1))
     return g.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total"),
         F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("__n"))), F.lit(0))
@@ -56,7 +72,7 @@ def _rule_row(r: Rule, n_columns: int, has_stats: bool):
         value = F.try_divide(F.col("singles").cast("double"), F.col("non_null").cast("double"))
     return F.struct(
         F.lit(r.kind).alias("rule"),
-        F.lit(r.column).cast("string").alias("column"),
+        F.lit(r.label).cast("string").alias("column"),
         value.alias("value"),
         F.lit(float(r.threshold)).alias("threshold"),
         F.coalesce(value > F.lit(float(r.threshold)), F.lit(False)).alias("passed"),
@@ -78,17 +94,17 @@ def evaluate_ruleset(df: DataFrame, rules=DEFAULT_RULESET) -> DataFrame:
             F.lit(None).cast("double").alias("threshold"),
             F.lit(None).cast("boolean").alias("passed"),
         ).where(F.lit(False))
-    groups: dict[str | None, list[Rule]] = {}
+    groups: dict[tuple[str, ...] | None, list[Rule]] = {}
     for r in rules:
-        needs = r.column if r.kind != "ColumnCount" and r.column in df.columns else None
-        groups.setdefault(needs, []).append(r)
-    columns = [c for c in groups if c is not None]
-    if columns and None in groups:
-        groups[columns[0]] = groups.pop(None) + groups[columns[0]]
+        usable = r.kind != "ColumnCount" and r.columns and all(c in df.columns for c in r.columns)
+        groups.setdefault(r.columns if usable else None, []).append(r)
+    keyed = [k for k in groups if k is not None]
+    if keyed and None in groups:
+        groups[keyed[0]] = groups.pop(None) + groups[keyed[0]]
     frames = []
-    for col, rs in groups.items():
-        base = _key_stats(df, col) if col else df.agg(F.count(F.lit(1)).alias("total"))
-        rows = [_rule_row(r, len(df.columns), col is not None and r.column == col) for r in rs]
+    for key, rs in groups.items():
+        base = _key_stats(df, key) if key else df.agg(F.count(F.lit(1)).alias("total"))
+        rows = [_rule_row(r, len(df.columns), key is not None and r.columns == key) for r in rs]
         frames.append(base.select(F.inline(F.array(*rows))))
     out = frames[0]
     for f in frames[1:]:

@@ -34,13 +34,13 @@ GOLD_DATASETS = (
 )
 JOB_SUMMARY = "job_summary"
 
-# The key each gold dataset must have complete and unique (cohort cells
-# have a two-column key, so only their column count is checked).
+# The key each gold dataset must have complete and unique.
 GOLD_KEYS = {
     "customer_analytics": "customer_id",
     "product_analytics": "product_id",
     "daily_metrics": "transaction_date",
     "monthly_metrics": "year_month",
+    "cohort_analysis": ("cohort_month", "months_since_first_purchase"),
     "rfm_customer_segments": "customer_id",
 }
 
@@ -229,10 +229,12 @@ def build_gold(
     return counts
 
 
-def default_rules(df: DataFrame, key: str = KEY_COLUMN) -> tuple:
-    """The published ruleset on ``key`` when the table has that column; otherwise only
-    the column count (the published rules name an ``id`` most tables lack)."""
-    if key in df.columns:
+def default_rules(df: DataFrame, key: str | tuple[str, ...] = KEY_COLUMN) -> tuple:
+    """The published ruleset on ``key`` (a column or a tuple of columns) when the table
+    has it; otherwise only the column count (the published rules name an ``id`` most
+    tables lack)."""
+    cols = (key,) if isinstance(key, str) else tuple(key)
+    if all(c in df.columns for c in cols):
         return (
             quality.Rule("ColumnCount", None, 0.0),
             quality.Rule("Completeness", key, 0.95),

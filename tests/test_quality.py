@@ -48,3 +48,10 @@ def test_rules_on_two_columns(spark):
         ("Uniqueness", "code"): (0.0, False),
         ("Completeness", "absent"): (None, False),
     }
+
+
+def test_composite_key(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 3)], "m string, n int")
+    rules = (quality.Rule("Completeness", ("m", "n"), 0.5), quality.Rule("Uniqueness", ("m", "n"), 0.5))
+    got = {(r.rule, r.column): round(r.value, 6) for r in quality.evaluate_ruleset(df, rules).collect()}
+    assert got == {("Completeness", "m,n"): 0.8, ("Uniqueness", "m,n"): 0.5}
