@@ -94,3 +94,21 @@ def test_null_period_keeps_distinct_counts(spark):
     got = {r.transaction_date: (r.daily_transaction_count, r.daily_unique_customers, r.daily_unique_products)
            for r in timeseries.daily_metrics(tx).collect()}
     assert got == {None: (2, 2, 1), dt.date(2001, 1, 5): (2, 1, 1)}
+
+
+def test_approx_cuts_within_rank_error(spark):
+    """Default (approximate) cuts: each cut's rank is within relative_error * n of the
+    target rank p * n, the sketch's guarantee."""
+    import bisect
+
+    base = rfm.rfm_base(testdata.transactions(spark, "/root/testdata/sf0.01"))
+    cuts = rfm.rfm_cut_table(base, relative_error=0.05).collect()
+    values = {m: sorted(r[m] for r in base.select(m).collect() if r[m] is not None)
+              for m in rfm.RFM_VALUES}
+    for r in cuts:
+        vals = values[r.measure]
+        n = len(vals)
+        lo, hi = bisect.bisect_left(vals, r.cut), bisect.bisect_right(vals, r.cut)
+        target = r.probability * n
+        # some rank in [lo+1, hi] held by the cut value must be close to the target
+        assert lo + 1 - 0.05 * n - 1 <= target <= hi + 0.05 * n + 1, (r, lo, hi, n)
