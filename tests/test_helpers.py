@@ -1,0 +1,32 @@
+"""Small public helpers."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from laminar.functions import days_since
+from laminar.operators.quantiles import quantile_cuts
+from laminar.sources import layers
+
+
+def test_days_since_accepts_date_string_and_column(spark):
+    df = spark.createDataFrame([(dt.datetime(2001, 7, 31, 12, 0),)], "t timestamp_ntz")
+    got = df.select(
+        days_since(dt.date(2001, 8, 2), F.col("t")).alias("a"),
+        days_since("2001-08-02", F.col("t")).alias("b"),
+        days_since(F.lit("2001-08-02"), F.col("t")).alias("c"),
+    ).collect()[0]
+    assert tuple(got) == (2, 2, 2)
+
+
+def test_quantile_cuts_dispatch(spark):
+    df = spark.range(1, 101).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v"))
+    exact = quantile_cuts(df, "v", ["k"], relative_error=0).collect()[0]
+    assert list(exact) == [20.0, 40.0, 60.0, 80.0]
+    approx = quantile_cuts(df, "v", ["k"], relative_error=0.05).collect()[0]
+    assert all(abs(a - e) <= 6 for a, e in zip(approx, exact))
+
+
+def test_register_views(spark):
+    layers.register_views({"t_small": spark.range(3)})
+    assert spark.sql("SELECT count(*) FROM t_small").collect()[0][0] == 3
