@@ -15,19 +15,26 @@ from laminar.functions import (
 )
 
 
-def customer_summary(tx: DataFrame) -> DataFrame:
-    """A1 per customer: count of transaction ids, sum and mean amount, first and last date.
-
-    A null customer id forms its own group. The sum keeps the input's exact type
-    until the final cast, so totals do not depend on summation order.
-    """
-    agg = tx.groupBy("customer_id").agg(
+def customer_base(tx: DataFrame) -> DataFrame:
+    """Per-customer aggregates shared by A1 (customer summary) and A9 (RFM): count of
+    transaction ids, exact sum and count of amounts, last and first date. A null
+    customer id forms its own group."""
+    return tx.groupBy("customer_id").agg(
         F.count("transaction_id").alias("total_transactions"),
         F.sum("amount").alias("__sum"),
         F.count("amount").alias("__n"),
         F.max("transaction_date").alias("last_transaction_date"),
         F.min("transaction_date").alias("first_transaction_date"),
     )
+
+
+def customer_summary(tx: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """A1 per customer: count of transaction ids, sum and mean amount, first and last date.
+
+    The sum keeps the input's exact type until the final cast, so totals do not depend
+    on summation order. ``base`` (from :func:`customer_base`) skips the aggregation.
+    """
+    agg = base if base is not None else customer_base(tx)
     return agg.select(
         "customer_id",
         "total_transactions",
@@ -52,11 +59,13 @@ def customer_analytics(
     customers: DataFrame | None,
     tx: DataFrame,
     as_of=None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """G1. With a customer master, every customer is kept (left join) and customers
     without transactions get 0 transactions and 0.0 amount; without one, the segments
-    alone. ``as_of`` (date, ISO string or Column; default today) anchors E3."""
-    seg = customer_segments(customer_summary(tx))
+    alone. ``as_of`` (date, ISO string or Column; default today) anchors E3.
+    ``base`` (from :func:`customer_base`) reuses precomputed per-customer aggregates."""
+    seg = customer_segments(customer_summary(tx, base))
     if customers is not None:
         out = customers.join(seg, "customer_id", "left").fillna(
             0, ["total_transactions", "total_amount"]

@@ -126,16 +126,26 @@ def gold_builders(
     products: DataFrame | None = None,
     as_of=None,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
+    customers_base: DataFrame | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """The six gold datasets (G1-G6), each as a function building its DataFrame (some
-    run a pinning job while they are built, see :mod:`laminar.operators.ranking`)."""
+    run a pinning job while they are built, see :mod:`laminar.operators.ranking`).
+
+    ``customers_base`` (per-customer aggregates, see
+    :func:`laminar.plans.customer.customer_base`) lets G1 and G6 share one
+    aggregation of the transactions instead of scanning them twice.
+    """
     return {
-        "customer_analytics": lambda: customer.customer_analytics(customers, tx, as_of=as_of),
+        "customer_analytics": lambda: customer.customer_analytics(
+            customers, tx, as_of=as_of, base=customers_base
+        ),
         "product_analytics": lambda: product.product_analytics(products, tx),
         "daily_metrics": lambda: timeseries.daily_metrics(tx),
         "monthly_metrics": lambda: timeseries.monthly_metrics(tx),
         "cohort_analysis": lambda: cohort.cohort_analysis(tx),
-        "rfm_customer_segments": lambda: rfm.rfm_segments(tx, relative_error=relative_error),
+        "rfm_customer_segments": lambda: rfm.rfm_segments(
+            tx, relative_error=relative_error, customers_base=customers_base
+        ),
     }
 
 
@@ -201,7 +211,13 @@ def build_gold(
     :func:`laminar.session.build_session` does).
     """
     timer = layers.Timer()
-    builders = gold_builders(tx, customers, products, as_of, relative_error)
+    # G1 and G6 aggregate the transactions by customer alike: do it once, pinned in
+    # the shared checkpoint folder (one row per customer), and derive both from it
+    from laminar.session import shared_root
+
+    shared_root(tx.sparkSession)
+    base = customer.customer_base(tx).checkpoint(eager=True)
+    builders = gold_builders(tx, customers, products, as_of, relative_error, base)
 
     def write(name: str) -> int:
         n = layers.write_gold(builders[name](), gold_root, name, run_ts, run_date)["record_count"]

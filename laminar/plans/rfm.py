@@ -25,15 +25,29 @@ from laminar.operators.quantiles import (
 RFM_VALUES = ("recency", "frequency", "monetary")
 
 
-def rfm_base(tx: DataFrame) -> DataFrame:
+def rfm_base(tx: DataFrame, customers_base: DataFrame | None = None) -> DataFrame:
     """A8 + A9 per customer: days from the latest transaction overall to the customer's
-    latest, number of transaction ids, total amount."""
-    reference_date = tx.select(F.max("transaction_date")).scalar()
-    agg = tx.groupBy("customer_id").agg(
-        F.max("transaction_date").alias("__last"),
-        F.count("transaction_id").alias("frequency"),
-        F.sum("amount").alias("__sum"),
-    )
+    latest, number of transaction ids, total amount.
+
+    ``customers_base`` (from :func:`laminar.plans.customer.customer_base`) reuses the
+    per-customer aggregates; the reference date is then the latest of the customers'
+    last dates, which is the latest transaction date.
+    """
+    if customers_base is not None:
+        agg = customers_base.select(
+            "customer_id",
+            F.col("last_transaction_date").alias("__last"),
+            F.col("total_transactions").alias("frequency"),
+            "__sum",
+        )
+        reference_date = customers_base.select(F.max("last_transaction_date")).scalar()
+    else:
+        agg = tx.groupBy("customer_id").agg(
+            F.max("transaction_date").alias("__last"),
+            F.count("transaction_id").alias("frequency"),
+            F.sum("amount").alias("__sum"),
+        )
+        reference_date = tx.select(F.max("transaction_date")).scalar()
     return agg.select(
         "customer_id",
         F.datediff(reference_date, F.col("__last")).alias("recency"),
@@ -123,13 +137,15 @@ def rfm_segments(
     tx: DataFrame,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
     recency_mode: str = "standard",
+    customers_base: DataFrame | None = None,
 ) -> DataFrame:
     """Scores 1..5 from quintile cuts, the three-digit code and the segment.
 
     ``recency_mode="as_written"`` reproduces the published recency chain (see
-    :func:`laminar.functions.scoring.recency_score`).
+    :func:`laminar.functions.scoring.recency_score`). ``customers_base`` reuses
+    precomputed per-customer aggregates (see :func:`rfm_base`).
     """
-    base = rfm_base(tx)
+    base = rfm_base(tx, customers_base)
     if relative_error == 0:
         base = pin_base(base)
     # one scalar subquery carrying all twelve cuts

@@ -112,3 +112,15 @@ def test_approx_cuts_within_rank_error(spark):
         target = r.probability * n
         # some rank in [lo+1, hi] held by the cut value must be close to the target
         assert lo + 1 - 0.05 * n - 1 <= target <= hi + 0.05 * n + 1, (r, lo, hi, n)
+
+
+def test_shared_customer_base_gives_same_results(spark):
+    tx = testdata.hot_customer_transactions(spark, SF)
+    base = customer.customer_base(tx)
+    for err in (0.0,):
+        a = rfm.rfm_segments(tx, relative_error=err)
+        b = rfm.rfm_segments(tx, relative_error=err, customers_base=base)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a = customer.customer_analytics(None, tx, as_of="2001-08-02")
+    b = customer.customer_analytics(None, tx, as_of="2001-08-02", base=base)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
