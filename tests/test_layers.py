@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from laminar.plans.layers import LayerConfig, clean_to_silver, run_layers
 from laminar.sources import layers, testdata
