@@ -1,6 +1,8 @@
 """Run registered queries against their DuckDB oracles (as the correctness gate does).
 
 usage: python tools/compare_oracle.py [sf_dir] [name ...]
+env: ORACLE_JSON=<file> also writes the per-query results there;
+     ORACLE_SESSION_TZ=<zone> runs Spark in that session time zone.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ def main(argv):
     spark = build_session("local[8]", shuffle_partitions=8, extra_conf=extra)
     con = checks.duckdb_connection(sf_dir)
     bad = 0
+    results = {}
     for name in names:
         t0 = time.time()
         try:
@@ -39,8 +42,13 @@ def main(argv):
             res = {"error": repr(exc)[:600]}
             bad += 1
         res["sec"] = round(time.time() - t0, 2)
+        results[name] = res
         print(name, json.dumps(res, default=str), flush=True)
     print("MISMATCHES", bad)
+    if os.environ.get("ORACLE_JSON"):
+        with open(os.environ["ORACLE_JSON"], "w") as fh:
+            json.dump({"sf_dir": sf_dir, "mismatches": bad, "queries": results}, fh,
+                      indent=1, default=str)
     spark.stop()
 
 
