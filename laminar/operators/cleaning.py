@@ -189,9 +189,11 @@ class ObservedCleaning:
         self.frame = rest.observe(self._out, F.count(F.lit(1)).alias("n"))
 
     def report(self) -> dict[str, int]:
-        n_in = int(self._in.get["n"])
-        n_dedup = int(self._dedup.get["n"])
-        n_out = int(self._out.get["n"])
+        from laminar.sources.layers import observed_count
+
+        n_in = observed_count(self._in, "n")
+        n_dedup = observed_count(self._dedup, "n")
+        n_out = observed_count(self._out, "n")
         return {
             "input_rows": n_in,
             "duplicates_removed": n_in - n_dedup,

@@ -44,6 +44,17 @@ LINEAGE_SCHEMA = T.StructType(
 )
 
 
+def observed_count(obs: Observation, name: str = "rows") -> int:
+    """The count an Observation collected during an action that has run. A frame
+    with no partitions reports no metrics at all (PySpark then fails to build the
+    row); that is zero rows."""
+    try:
+        value = obs.get.get(name)
+    except Exception:  # empty input: no task produced metrics
+        return 0
+    return int(value or 0)
+
+
 def read_table(spark: SparkSession, name_or_path: str, merge_schema: bool = False) -> DataFrame:
     """A catalog table by name, or a Parquet folder by path.
 
@@ -139,7 +150,7 @@ def write_gold(
         .mode("overwrite")
         .parquet(path)
     )
-    return {"path": path, "record_count": int(obs.get.get("rows", 0))}
+    return {"path": path, "record_count": observed_count(obs)}
 
 
 def lineage_record(

@@ -265,3 +265,9 @@ def test_shuffle_partitions_sized_from_input(spark, tmp_path):
         assert size_shuffle_partitions(spark, n_bytes, target_bytes=max(1, n_bytes // 50)) >= 50
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_write_gold_empty_dataset(spark, tmp_path):
+    empty = spark.createDataFrame([], "k long, v string")
+    res = layers.write_gold(empty, str(tmp_path / "gold"), "ds", run_date=dt.date(2024, 1, 1))
+    assert res["record_count"] == 0

@@ -37,3 +37,30 @@ def test_split_join_equals_join(spark, keys, max_hot):
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(
         tuple(r) for r in want.select(*cols).collect()
     )
+
+
+rows_st = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.sampled_from(["a", "b", None])),
+    min_size=0, max_size=60,
+)
+
+
+@SETTINGS
+@given(rows=rows_st)
+def test_cleaning_counts_equal_brute_force(spark, tmp_path_factory, rows):
+    import datetime as dt
+
+    from laminar.operators import cleaning
+
+    df = spark.createDataFrame(rows, "id long, v string")
+    distinct = set(rows)
+    want = {
+        "input_rows": len(rows),
+        "duplicates_removed": len(rows) - len(distinct),
+        "null_keys_removed": sum(1 for r in distinct if r[0] is None),
+        "output_rows": sum(1 for r in distinct if r[0] is not None),
+    }
+    assert cleaning.cleaning_report(df).collect()[0].asDict() == want
+    observed = cleaning.ObservedCleaning(df, run_date=dt.date(2024, 1, 1))
+    observed.frame.write.mode("overwrite").parquet(str(tmp_path_factory.mktemp("clean")))
+    assert observed.report() == want
