@@ -64,3 +64,37 @@ def test_cleaning_counts_equal_brute_force(spark, tmp_path_factory, rows):
     observed = cleaning.ObservedCleaning(df, run_date=dt.date(2024, 1, 1))
     observed.frame.write.mode("overwrite").parquet(str(tmp_path_factory.mktemp("clean")))
     assert observed.report() == want
+
+
+@SETTINGS
+@given(keys=st.lists(st.one_of(st.none(), st.integers(0, 8)), min_size=0, max_size=80))
+def test_quality_values_equal_brute_force(spark, keys):
+    from laminar.operators import quality
+
+    df = spark.createDataFrame([(k,) for k in keys], "id long")
+    got = {r.rule: r.value for r in quality.evaluate_ruleset(df).collect()}
+    non_null = [k for k in keys if k is not None]
+    singles = sum(1 for k in set(non_null) if non_null.count(k) == 1)
+    assert got["ColumnCount"] == 1.0
+    assert got["Completeness"] == (len(non_null) / len(keys) if keys else None)
+    assert got["Uniqueness"] == (singles / len(non_null) if non_null else None)
+
+
+@SETTINGS
+@given(
+    a=st.lists(st.one_of(st.none(), st.integers(0, 20)), min_size=1, max_size=70),
+    n_parts=st.integers(1, 7),
+)
+def test_exact_cuts_many_equal_brute_force(spark, a, n_parts):
+    import math
+
+    from laminar.operators.quantiles import exact_cuts_many
+
+    rows = [(i, None if v is None else float(v), None if v is None else float(-v)) for i, v in enumerate(a)]
+    df = spark.createDataFrame(rows, "k long, x double, y double")
+    got = exact_cuts_many(df, ["x", "y"], ["k"], n_partitions=n_parts).collect()[0].asDict()
+    for col, idx in (("x", 1), ("y", 2)):
+        vals = sorted(r[idx] for r in rows if r[idx] is not None)
+        for p in (0.2, 0.4, 0.6, 0.8):
+            want = vals[max(1, math.ceil(p * len(vals))) - 1] if vals else None
+            assert got[f"{col}_q{round(p * 100):02d}"] == want
