@@ -27,8 +27,8 @@ DATA_SOURCE_LABEL = "bronze_layer"
 
 
 def _c(name: str) -> Column:
-    """Column by exact name (names may hold spaces or dashes)."""
-    return F.col(f"`{name}`")
+    """Column by exact name (raw names may hold spaces, dashes, dots or backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:

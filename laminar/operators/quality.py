@@ -42,7 +42,7 @@ DEFAULT_RULESET = (
 def _key_stats(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """One row: total rows, non-null keys, keys occurring exactly once. A composite
     key counts as present only when all its columns are."""
-    keys = [F.col(f"`{n}`").alias(f"__v{i}") for i, n in enumerate(names)]
+    keys = [F.col("`" + n.replace("`", "``") + "`").alias(f"__v{i}") for i, n in enumerate(names)]
     present = None
     for i in range(len(names)):
         c = F.col(f"__v{i}").isNotNull()

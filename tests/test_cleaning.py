@@ -75,3 +75,14 @@ def test_cleaning_twice_equals_once(spark):
     once = cleaning.apply_quality_rules(bronze).drop("processed_timestamp", "processing_date")
     twice = cleaning.apply_quality_rules(once).drop("processed_timestamp", "processing_date")
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_odd_raw_column_names(spark):
+    df = spark.createDataFrame([(1, 2, 3), (1, 2, 3)], "`a.b` int, `c``d` int, `Id` int")
+    out = cleaning.apply_quality_rules(df)
+    assert out.count() == 1
+    assert out.columns[:3] == ["a.b", "c`d", "id"]
+    from laminar.operators import quality
+
+    rows = {r.rule: r.value for r in quality.evaluate_ruleset(out, (quality.Rule("Uniqueness", "c`d", 0.5),)).collect()}
+    assert rows == {"Uniqueness": 1.0}
