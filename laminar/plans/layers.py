@@ -2,8 +2,9 @@
 
 ``run_layers`` is the plain-function form of the scheduled flow: clean every bronze
 table, gate on data quality, build the six gold datasets from the silver
-transactions, then write the job summary. Each dataset is one Spark job writing
-straight to its folder; the only values on the driver are row counts.
+transactions, write the job summary, and gate the gold keys. Each dataset is one
+Spark job writing straight to its folder (independent ones run concurrently); the
+only values on the driver are row counts and rule verdicts.
 """
 
 from __future__ import annotations
@@ -284,8 +285,12 @@ class LayerConfig:
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
-    """Clean -> quality gate -> gold -> summary. Bronze tables are cleaned (and gated)
-    as concurrent jobs, up to ``cfg.parallel`` at once, and so are the gold datasets."""
+    """Clean -> silver quality gate -> gold -> summary -> gold quality gate.
+
+    Bronze tables are cleaned (and gated) as concurrent jobs, up to ``cfg.parallel`` at
+    once, and so are the gold datasets. Shuffle partitions are first raised to suit
+    the largest bronze input (``cfg.size_partitions``). Any failed gate raises.
+    """
 
     def clean_and_gate(name: str, source: str) -> dict:
         report = clean_to_silver(
