@@ -28,6 +28,7 @@ from laminar.plans.layers import (
     clean_to_silver,
     default_rules,
     run_partition,
+    scheduler_pool,
     silver_name,
 )
 from laminar.session import build_session, input_bytes, size_shuffle_partitions
@@ -53,6 +54,10 @@ def bronze_to_silver(args) -> dict:
     size_shuffle_partitions(spark, max(sizes, default=0))
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     def one(t: str) -> dict:
+        with scheduler_pool(spark, f"clean_{t}"):
+            return _one(t)
+
+    def _one(t: str) -> dict:
         rep = clean_to_silver(
             spark.read.parquet(f"{args.bronze_root.rstrip('/')}/{t}"),
             args.silver_root, t, args.job_name, args.lineage_path, run_date=run_date,

@@ -13,6 +13,7 @@ import datetime as _dt
 import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,18 @@ GOLD_KEYS = {
 log = logging.getLogger("laminar")
 
 
+@contextmanager
+def scheduler_pool(spark: SparkSession, pool: str):
+    """Run this thread's jobs in their own FAIR scheduler pool, then restore."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.scheduler.pool")
+    sc.setLocalProperty("spark.scheduler.pool", pool)
+    try:
+        yield
+    finally:
+        sc.setLocalProperty("spark.scheduler.pool", previous)
+
+
 def run_partition(df: DataFrame, run_date: _dt.date | None = None):
     """Predicate selecting the partition a run wrote (``load_*`` columns when the
     dataset keeps its own year/month); pruned at the scan."""
@@ -221,9 +234,12 @@ def build_gold(
     builders = gold_builders(tx, customers, products, as_of, relative_error, base)
 
     def write(name: str) -> int:
-        n = layers.write_gold(builders[name](), gold_root, name, run_ts, run_date)["record_count"]
-        log.info("gold %s: %d rows", name, n)
-        return n
+        # own scheduler pool per dataset: FAIR shares executors between pools, while
+        # jobs inside one pool (the default) still run first-in first-out
+        with scheduler_pool(tx.sparkSession, f"gold_{name}"):
+            n = layers.write_gold(builders[name](), gold_root, name, run_ts, run_date)
+        log.info("gold %s: %d rows", name, n["record_count"])
+        return n["record_count"]
 
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
@@ -293,6 +309,10 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
     """
 
     def clean_and_gate(name: str, source: str) -> dict:
+        with scheduler_pool(spark, f"clean_{name}"):
+            return _clean_and_gate(name, source)
+
+    def _clean_and_gate(name: str, source: str) -> dict:
         report = clean_to_silver(
             layers.read_table(spark, source),
             cfg.silver_root,

@@ -271,3 +271,13 @@ def test_write_gold_empty_dataset(spark, tmp_path):
     empty = spark.createDataFrame([], "k long, v string")
     res = layers.write_gold(empty, str(tmp_path / "gold"), "ds", run_date=dt.date(2024, 1, 1))
     assert res["record_count"] == 0
+
+
+def test_scheduler_pool_is_restored(spark):
+    from laminar.plans.layers import scheduler_pool
+
+    sc = spark.sparkContext
+    before = sc.getLocalProperty("spark.scheduler.pool")
+    with scheduler_pool(spark, "p1"):
+        assert sc.getLocalProperty("spark.scheduler.pool") == "p1"
+    assert sc.getLocalProperty("spark.scheduler.pool") == before
