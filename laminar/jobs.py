@@ -21,16 +21,7 @@ import json
 import sys
 from concurrent.futures import ThreadPoolExecutor
 
-from laminar.operators import quality
-from laminar.plans.layers import (
-    bind_roles,
-    build_gold,
-    clean_to_silver,
-    default_rules,
-    run_partition,
-    scheduler_pool,
-    silver_name,
-)
+from laminar.plans.layers import bind_roles, build_gold, clean_and_gate
 from laminar.session import build_session, input_bytes, size_shuffle_partitions
 
 
@@ -54,20 +45,11 @@ def bronze_to_silver(args) -> dict:
     size_shuffle_partitions(spark, max(sizes, default=0))
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     def one(t: str) -> dict:
-        with scheduler_pool(spark, f"clean_{t}"):
-            return _one(t)
-
-    def _one(t: str) -> dict:
-        rep = clean_to_silver(
-            spark.read.parquet(f"{args.bronze_root.rstrip('/')}/{t}"),
-            args.silver_root, t, args.job_name, args.lineage_path, run_date=run_date,
+        bronze = spark.read.parquet(f"{args.bronze_root.rstrip('/')}/{t}")
+        return clean_and_gate(
+            bronze, args.silver_root, t, args.job_name, args.lineage_path, run_date,
+            gate=args.gate,
         )
-        silver = spark.read.parquet(f"{args.silver_root.rstrip('/')}/{silver_name(t)}")
-        silver = silver.where(run_partition(silver, run_date))  # this run's rows
-        rep["quality"] = quality.quality_gate(
-            quality.evaluate_ruleset(silver, default_rules(silver))
-        ) if args.gate else None
-        return rep
 
     # tables are independent jobs: run up to --parallel of them at once
     with ThreadPoolExecutor(max_workers=max(1, args.parallel)) as pool:

@@ -134,6 +134,34 @@ def clean_to_silver(
     return report
 
 
+def clean_and_gate(
+    bronze: DataFrame,
+    silver_root: str,
+    table_name: str,
+    job_name: str,
+    lineage_path: str | None = None,
+    run_date: _dt.date | None = None,
+    key: str = KEY_COLUMN,
+    rules: tuple | None = None,
+    gate: bool = True,
+) -> dict:
+    """Clean one bronze table into silver (its own FAIR pool), then evaluate the
+    ruleset on the rows this run wrote; raise on a failed rule when ``gate``."""
+    spark = bronze.sparkSession
+    with scheduler_pool(spark, f"clean_{table_name}"):
+        report = clean_to_silver(
+            bronze, silver_root, table_name, job_name, lineage_path, run_date=run_date, key=key
+        )
+        target = silver_name(table_name)
+        silver = spark.read.parquet(f"{silver_root.rstrip('/')}/{target}")
+        silver = silver.where(run_partition(silver, run_date))  # this run's rows
+        results = quality.evaluate_ruleset(silver, rules if rules is not None else default_rules(silver, key))
+        verdicts = quality.quality_gate(results) if gate else [r.asDict() for r in results.collect()]
+    log.info("quality %s: %s", target, verdicts)
+    report["quality"] = verdicts
+    return report
+
+
 def gold_builders(
     tx: DataFrame,
     customers: DataFrame | None = None,
@@ -308,27 +336,11 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
     the largest bronze input (``cfg.size_partitions``). Any failed gate raises.
     """
 
-    def clean_and_gate(name: str, source: str) -> dict:
-        with scheduler_pool(spark, f"clean_{name}"):
-            return _clean_and_gate(name, source)
-
-    def _clean_and_gate(name: str, source: str) -> dict:
-        report = clean_to_silver(
-            layers.read_table(spark, source),
-            cfg.silver_root,
-            name,
-            cfg.cleaning_job,
-            cfg.lineage_path,
-            run_date=cfg.run_date,
-            key=cfg.key_column,
+    def one(name: str, source: str) -> dict:
+        return clean_and_gate(
+            layers.read_table(spark, source), cfg.silver_root, name, cfg.cleaning_job,
+            cfg.lineage_path, cfg.run_date, cfg.key_column, cfg.rules.get(silver_name(name)),
         )
-        target = silver_name(name)
-        silver = spark.read.parquet(f"{cfg.silver_root.rstrip('/')}/{target}")
-        silver = silver.where(run_partition(silver, cfg.run_date))  # this run's rows
-        rules = cfg.rules.get(target, default_rules(silver, cfg.key_column))
-        verdicts = quality.quality_gate(quality.evaluate_ruleset(silver, rules))
-        log.info("quality %s: %s", target, verdicts)
-        return report
 
     paths = [src for src in cfg.bronze_tables.values() if "/" in src or ":" in src]
     if cfg.size_partitions and paths:
@@ -336,7 +348,7 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
 
         size_shuffle_partitions(spark, max(input_bytes(spark, [p]) for p in paths))
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel), thread_name_prefix="clean") as pool:
-        futures = [pool.submit(clean_and_gate, n, src) for n, src in cfg.bronze_tables.items()]
+        futures = [pool.submit(one, n, src) for n, src in cfg.bronze_tables.items()]
         reports = [f.result() for f in futures]  # raises the first failure (gate included)
 
     def silver(table):
