@@ -281,3 +281,15 @@ def test_scheduler_pool_is_restored(spark):
     with scheduler_pool(spark, "p1"):
         assert sc.getLocalProperty("spark.scheduler.pool") == "p1"
     assert sc.getLocalProperty("spark.scheduler.pool") == before
+
+
+def test_gold_job_needs_transactions(spark, tmp_path):
+    import pytest
+
+    from laminar import jobs
+
+    root = str(tmp_path)
+    testdata.customers(spark, SF).write.parquet(f"{root}/silver/silver_customers")
+    with pytest.raises(ValueError, match="no transaction data"):
+        jobs.main(["silver-to-gold", "--silver-root", f"{root}/silver", "--gold-root",
+                   f"{root}/gold", "--auto-bind"])
