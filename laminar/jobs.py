@@ -21,6 +21,8 @@ import json
 import sys
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.util import inheritable_thread_target
+
 from laminar.plans.layers import bind_roles, build_gold, clean_and_gate
 from laminar.session import build_session, input_bytes, size_shuffle_partitions
 
@@ -53,7 +55,7 @@ def bronze_to_silver(args) -> dict:
 
     # tables are independent jobs: run up to --parallel of them at once
     with ThreadPoolExecutor(max_workers=max(1, args.parallel)) as pool:
-        reports = list(pool.map(one, tables))
+        reports = list(pool.map(inheritable_thread_target(spark)(one), tables))
     return {"tables": reports}
 
 

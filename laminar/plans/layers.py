@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from laminar.operators import quality
 from laminar.operators.cleaning import KEY_COLUMN, ObservedCleaning
@@ -271,7 +272,9 @@ def build_gold(
 
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
-            futures = {name: pool.submit(write, name) for name in builders}
+            # inheritable: the caller's job group and other local properties follow
+            inherit = inheritable_thread_target(tx.sparkSession)
+            futures = {name: pool.submit(inherit(write), name) for name in builders}
             counts = {name: f.result() for name, f in futures.items()}
     else:
         counts = {name: write(name) for name in builders}
@@ -348,7 +351,10 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
 
         size_shuffle_partitions(spark, max(input_bytes(spark, [p]) for p in paths))
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel), thread_name_prefix="clean") as pool:
-        futures = [pool.submit(one, n, src) for n, src in cfg.bronze_tables.items()]
+        futures = [
+            pool.submit(inheritable_thread_target(spark)(one), n, src)
+            for n, src in cfg.bronze_tables.items()
+        ]
         reports = [f.result() for f in futures]  # raises the first failure (gate included)
 
     def silver(table):
