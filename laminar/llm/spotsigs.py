@@ -3,7 +3,9 @@
 A spot is a content word that directly follows a common word (the anchor). Its signature
 is the anchor with the next ``CHAIN`` content words, common words between them skipped;
 a text's fingerprint is its set of signatures, so menus and lists without running text
-hardly count. Texts are alike as the Jaccard measure of their sets.
+hardly count. Where ``GAP`` content words and more go by without an anchor (lists, tables),
+each further content word is a spot with an empty anchor, so that such texts, too, have
+signatures all along. Texts are alike as the Jaccard measure of their sets.
 
 ``near_pairs`` finds all pairs at or above a threshold: sets are partitioned by length so
 that similar ones lie in the same or the next partition, meet by their rarest signatures
@@ -31,10 +33,11 @@ COMMON_WORDS = (
     "al como con del el ella esta este las lo los más no para pero por si sin su sus una uno y ya"
 ).split()
 CHAIN = 2
+GAP = 4
 THRESHOLD = 0.8
 
 
-def signatures(text: Column, chain: int = CHAIN) -> Column:
+def signatures(text: Column, chain: int = CHAIN, gap: int = GAP) -> Column:
     """Sorted distinct signatures (64-bit hashes) of a text; null counts as empty.
 
     A text without any spot has one signature, the hash of the whole text: equal texts are
@@ -56,8 +59,10 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     def chains(cs):
         def one(c, i):
             tail = [F.get(cs, i + k)["word"] for k in range(1, chain)]
-            whole = (c["anchor"] != "") & F.get(cs, i + chain - 1).isNotNull()
-            return F.when(whole, F.xxhash64(c["anchor"], c["word"], *tail))
+            whole = F.get(cs, i + chain - 1).isNotNull()
+            near = F.slice(cs, F.greatest(i - gap, F.lit(0)) + 1, F.least(i, F.lit(gap)))
+            spot = (c["anchor"] != "") | ~F.exists(near, lambda x: x["anchor"] != "")
+            return F.when(whole & spot, F.xxhash64(c["anchor"], c["word"], *tail))
 
         return F.filter(F.transform(cs, one), lambda h: h.isNotNull())
 
