@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import laminar
 from laminar.session import shared_root
 
 # Fixed value: what separates words (space and the controls 9 to 13), and a word.
@@ -45,3 +48,13 @@ def pinned(df: DataFrame) -> DataFrame:
     read it again, and it is computed once."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def workers_import_package() -> None:
+    """Let Python workers started from now on find this package where the driver found it (a
+    cluster that gets it by --py-files, or has it installed, needs nothing more)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(laminar.__file__)))
+    env = SparkSession.active().sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if os.path.isdir(root) and root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import line_dedup, mixing, spotsigs, successor, url_filter
+from laminar.llm import bpe, line_dedup, mixing, simhash, spotsigs, successor, url_filter
 from laminar.llm.common import read_table
 
 QUERIES: dict = {}
@@ -71,6 +71,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op5_bpe_encoding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text and what they decode to, as digests."""
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "bpe.*")
+
+
+@register("op7_simhash_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.components(docs).select("doc_id", "fingerprint", "component_id")
+
+
 @register("op8_line_dedup", line_dedup.ORACLE_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text without the lines of repeated passages of 50 words or more."""
