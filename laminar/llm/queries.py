@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, line_dedup, mixing, simhash, spotsigs, successor, url_filter
+from laminar.llm import bpe, html_text, line_dedup, mixing, simhash, spotsigs, successor, url_filter
 from laminar.llm.common import read_table
 
 QUERIES: dict = {}
@@ -71,6 +71,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_texts(pages).select(
+        "page_id",
+        "url",
+        F.col("main_text").alias("text"),
+        F.char_length("main_text").cast("long").alias("n_chars"),
+    )
+
+
 @register("op5_bpe_encoding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text and what they decode to, as digests."""
