@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, html_text, line_dedup, mixing, simhash, spotsigs, successor, url_filter
-from laminar.llm.common import read_table
+from laminar.llm import bpe, html_text, line_dedup, mixing, simhash, spotsigs, successor, toxicity, url_filter
+from laminar.llm.common import fold, read_table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; rows of fold 0 are held out from learning."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, toxicity.training_labels(labels))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @register("op3_url_filters")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, then host reputation learnt from the labels of the documents that urls name."""
