@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, html_text, line_dedup, mixing, simhash, spotsigs, successor, toxicity, url_filter
+from laminar.llm import bpe, html_text, language_model, line_dedup, mixing, simhash, spotsigs, successor, toxicity, url_filter
 from laminar.llm.common import fold, read_table
 
 QUERIES: dict = {}
@@ -106,6 +106,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "bpe.*")
 
 
+@register("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every text under a model learnt outside fold 1."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = language_model.score(docs, language_model.outside_fold(docs))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "lm.*")
+
+
 @register("op7_simhash_near_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every text."""
