@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, html_text, language_model, line_dedup, mixing, simhash, spotsigs, successor, toxicity, url_filter
+from laminar.llm import bpe, html_text, language_model, line_dedup, mixing, neighbours, simhash, spotsigs, successor, toxicity, url_filter
 from laminar.llm.common import fold, read_table
 
 QUERIES: dict = {}
@@ -132,6 +132,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op9_nearest_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    rows = read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vec")
+    )
+    return neighbours.nearest(rows, F.col("id") % 20 == 0, 20)
+
+
 @register("op10_mixing", mixing.ORACLE_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
