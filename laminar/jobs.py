@@ -6,7 +6,7 @@
         --silver-root S --gold-root G --transactions silver_transactions \
         [--customers ...] [--products ...] [--auto-bind]
     spark-submit --py-files laminar.zip laminar/jobs.py incremental \
-        --source LANDING --silver-dir S [--checkpoint C] [--archive-dir A]
+        --source LANDING --silver-dir S --checkpoint C [--archive-dir A]
 
 (``python -m laminar.jobs ...`` locally.) Tables are named explicitly, or every
 sub-folder of the bronze root is one table (a listing of folder names on the
@@ -84,11 +84,10 @@ def silver_to_gold(args) -> dict:
 
 
 def incremental(args) -> dict:
-    from laminar.session import fresh_dir
     from laminar.streaming.incremental import load_increment
 
     spark = build_session(app_name=args.job_name)
-    checkpoint = args.checkpoint or fresh_dir(spark, "incremental-checkpoint")
+    checkpoint = args.checkpoint
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     reports = load_increment(
         spark, args.source, None, args.silver_dir, checkpoint, run_date=run_date,
@@ -126,7 +125,7 @@ def main(argv=None) -> None:
     i = sub.add_parser("incremental")
     i.add_argument("--source", required=True)
     i.add_argument("--silver-dir", required=True)
-    i.add_argument("--checkpoint", help="keep the same folder from run to run")
+    i.add_argument("--checkpoint", required=True, help="keep the same folder from run to run")
     i.add_argument("--max-files-per-trigger", type=int)
     i.add_argument("--archive-dir")
     i.add_argument("--job-name", default="bronze_to_silver_incremental")

@@ -108,24 +108,38 @@ def clean_to_silver(
     run_date: _dt.date | None = None,
     key: str = KEY_COLUMN,
     mode: str = "overwrite",
+    check: Callable[[DataFrame], None] | None = None,
 ) -> dict:
     """Clean one bronze table into silver; counts are observed during the single
     write, then one lineage row is appended.
 
-    The batch job reads the whole bronze table, so it replaces the silver table
-    (``mode="overwrite"``): a re-run or a retried job gives the same silver table
-    instead of a second copy. New files only, appended run after run, is the
+    The batch job reads the whole bronze table, so it replaces the whole silver table
+    (``mode="overwrite"``), on the same or any later date: a re-run or a retried job
+    gives the same silver table instead of a second copy. The new table is written
+    beside the old one and takes its place when it is complete and ``check`` (called
+    with the new rows) has not raised; until then the old one stays. New files only, appended run after run, is the
     streaming loader's job (:mod:`laminar.streaming.incremental`).
     """
     timer = layers.Timer()
     target = silver_name(table_name)
     observed = ObservedCleaning(bronze, run_ts, run_date, key)
-    layers.write_layer(observed.frame, f"{silver_root.rstrip('/')}/{target}", mode=mode)
+    spark, path = bronze.sparkSession, f"{silver_root.rstrip('/')}/{target}"
+    if mode == "overwrite":
+        staging = layers.staging_path(path)
+        try:
+            layers.write_layer(observed.frame, staging, mode="errorifexists")
+            if check is not None:
+                schema = spark.createDataFrame([], observed.frame.schema).schema
+                check(spark.read.schema(schema).parquet(staging))
+            layers.publish(spark, staging, path)
+        finally:
+            layers.remove_folder(spark, staging)
+    else:
+        layers.write_layer(observed.frame, path, mode=mode)
     report = observed.report()
     report.update({"source_table": table_name, "target_table": target})
     log.info("cleaned %s -> %s: %s", table_name, target, report)
     if lineage_path:
-        spark = bronze.sparkSession
         layers.append_lineage(
             layers.lineage_record(
                 spark, job_name, table_name, target, report["output_rows"], timer.seconds()
@@ -146,19 +160,25 @@ def clean_and_gate(
     rules: tuple | None = None,
     gate: bool = True,
 ) -> dict:
-    """Clean one bronze table into silver (its own FAIR pool), then evaluate the
-    ruleset on the rows this run wrote; raise on a failed rule when ``gate``."""
-    spark = bronze.sparkSession
-    with scheduler_pool(spark, f"clean_{table_name}"):
+    """Clean one bronze table into silver (its own FAIR pool); the ruleset is evaluated
+    on the new rows before they replace the table. A failed rule raises when ``gate``, and
+    the table stays as it was."""
+    verdicts: list = []
+
+    def check(silver: DataFrame) -> None:
+        results = quality.evaluate_ruleset(
+            silver, rules if rules is not None else default_rules(silver, key)
+        )
+        verdicts.extend(
+            quality.quality_gate(results) if gate else [r.asDict() for r in results.collect()]
+        )
+
+    with scheduler_pool(bronze.sparkSession, f"clean_{table_name}"):
         report = clean_to_silver(
-            bronze, silver_root, table_name, job_name, lineage_path, run_date=run_date, key=key
+            bronze, silver_root, table_name, job_name, lineage_path, run_date=run_date, key=key,
+            check=check,
         )
-        target = silver_name(table_name)
-        silver = spark.read.parquet(f"{silver_root.rstrip('/')}/{target}")
-        silver = silver.where(run_partition(silver, run_date))  # this run's rows
-        results = quality.evaluate_ruleset(silver, rules if rules is not None else default_rules(silver, key))
-        verdicts = quality.quality_gate(results) if gate else [r.asDict() for r in results.collect()]
-    log.info("quality %s: %s", target, verdicts)
+    log.info("quality %s: %s", report["target_table"], verdicts)
     report["quality"] = verdicts
     return report
 
@@ -208,23 +228,15 @@ def gold_frames(
 
 def job_summary(
     spark: SparkSession,
-    gold_root: str,
-    datasets=GOLD_DATASETS,
+    counts: dict[str, int],
     job_name: str = "silver_to_gold",
     processing_time: float | None = None,
     run_ts: _dt.datetime | None = None,
-    run_date: _dt.date | None = None,
 ) -> DataFrame:
-    """G7 from the written tables: one grouping over their ``dataset_name`` column,
-    this run's partition only (Parquet reads only that column of that partition)."""
-    frames = []
-    for d in datasets:
-        df = spark.read.parquet(f"{gold_root.rstrip('/')}/{d}")
-        frames.append(df.where(run_partition(df, run_date)).select("dataset_name"))
-    counts = layers.union_all(frames).groupBy("dataset_name").agg(
-        F.count(F.lit(1)).alias("record_count")
-    )
-    return counts.withColumns(
+    """A row per dataset with the row count observed while it was written, zero for
+    an empty one."""
+    rows = spark.createDataFrame(list(counts.items()), "dataset_name string, record_count long")
+    return rows.withColumns(
         {
             "job_name": F.lit(job_name),
             "processing_time_seconds": F.lit(processing_time).cast("double"),
@@ -278,12 +290,10 @@ def build_gold(
             counts = {name: f.result() for name, f in futures.items()}
     else:
         counts = {name: write(name) for name in builders}
-    summary = job_summary(
-        tx.sparkSession, gold_root, tuple(counts), job_name, timer.seconds(), run_ts, run_date
-    )
+    summary = job_summary(tx.sparkSession, counts, job_name, timer.seconds(), run_ts)
     layers.write_gold(summary, gold_root, JOB_SUMMARY, run_ts, run_date)
     if gate:
-        for name in counts:
+        for name in (n for n in counts if counts[n]):  # an empty one has no key to check
             df = tx.sparkSession.read.parquet(f"{gold_root.rstrip('/')}/{name}")
             df = df.where(run_partition(df, run_date))  # this run's rows
             verdicts = quality.quality_gate(
@@ -293,17 +303,22 @@ def build_gold(
     return counts
 
 
+def key_rules(key: str | tuple[str, ...]) -> tuple:
+    """The published ruleset on a key the table must have: a missing column fails."""
+    return (
+        quality.Rule("ColumnCount", None, 0.0),
+        quality.Rule("Completeness", key, 0.95),
+        quality.Rule("Uniqueness", key, 0.99),
+    )
+
+
 def default_rules(df: DataFrame, key: str | tuple[str, ...] = KEY_COLUMN) -> tuple:
     """The published ruleset on ``key`` (a column or a tuple of columns) when the table
     has it; otherwise only the column count (the published rules name an ``id`` most
     tables lack)."""
     cols = (key,) if isinstance(key, str) else tuple(key)
     if all(c in df.columns for c in cols):
-        return (
-            quality.Rule("ColumnCount", None, 0.0),
-            quality.Rule("Completeness", key, 0.95),
-            quality.Rule("Uniqueness", key, 0.99),
-        )
+        return key_rules(key)
     return (quality.Rule("ColumnCount", None, 0.0),)
 
 
@@ -321,7 +336,9 @@ class LayerConfig:
     cleaning_job: str = "bronze_to_silver"
     gold_job: str = "silver_to_gold"
     key_column: str = KEY_COLUMN
-    # rules per silver table name; tables not listed get ``default_rules(key_column)``
+    # the key each silver table must have complete and unique, by silver table name
+    gate_keys: dict = field(default_factory=dict)
+    # rules per silver table name; tables in neither get ``default_rules(key_column)``
     rules: dict = field(default_factory=dict)
     relative_error: float = DEFAULT_RELATIVE_ERROR
     as_of: object = None
@@ -335,21 +352,31 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
     """Clean -> silver quality gate -> gold -> summary -> gold quality gate.
 
     Bronze tables are cleaned (and gated) as concurrent jobs, up to ``cfg.parallel`` at
-    once, and so are the gold datasets. Shuffle partitions are first raised to suit
-    the largest bronze input (``cfg.size_partitions``). Any failed gate raises.
+    once, and so are the gold datasets. Shuffle partitions are raised to suit the
+    largest bronze input (``cfg.size_partitions``) and set back at the end. Any failed
+    gate raises.
     """
+    paths = [src for src in cfg.bronze_tables.values() if "/" in src or ":" in src]
+    if cfg.size_partitions and paths:
+        from laminar.session import input_bytes, sized_shuffles
+
+        with sized_shuffles(spark, max(input_bytes(spark, [p]) for p in paths)):
+            return _run_layers(spark, cfg)
+    return _run_layers(spark, cfg)
+
+
+def _run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
+    def rules(target: str):
+        if target in cfg.rules or target not in cfg.gate_keys:
+            return cfg.rules.get(target)
+        return key_rules(cfg.gate_keys[target])
 
     def one(name: str, source: str) -> dict:
         return clean_and_gate(
             layers.read_table(spark, source), cfg.silver_root, name, cfg.cleaning_job,
-            cfg.lineage_path, cfg.run_date, cfg.key_column, cfg.rules.get(silver_name(name)),
+            cfg.lineage_path, cfg.run_date, cfg.key_column, rules(silver_name(name)),
         )
 
-    paths = [src for src in cfg.bronze_tables.values() if "/" in src or ":" in src]
-    if cfg.size_partitions and paths:
-        from laminar.session import input_bytes, size_shuffle_partitions
-
-        size_shuffle_partitions(spark, max(input_bytes(spark, [p]) for p in paths))
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel), thread_name_prefix="clean") as pool:
         futures = [
             pool.submit(inheritable_thread_target(spark)(one), n, src)

@@ -781,10 +781,11 @@ def q_catalog_sql(spark, sf_dir):
         testdata.customers(spark, sf_dir), testdata.transactions(spark, sf_dir), as_of=AS_OF
     )
     layers.write_gold(df, root, "customer_analytics", run_date=RUN_DATE)
-    layers.register_table(spark, "gold_customer_analytics", f"{root}/customer_analytics")
+    name = f"gold_customer_analytics_{root.rsplit('-', 1)[-1]}"  # the folder is new each time
+    layers.register_table(spark, name, f"{root}/customer_analytics")
     return spark.sql(
         "SELECT customer_segment, transaction_frequency, count(*) AS customers "
-        "FROM gold_customer_analytics WHERE year = 2001 AND month = 8 AND day = 2 "
+        f"FROM {name} WHERE year = 2001 AND month = 8 AND day = 2 "
         "GROUP BY customer_segment, transaction_frequency"
     )
 
@@ -818,6 +819,29 @@ def q_incremental_silver(spark, sf_dir):
 
 
 
+NEXT_DAY = RUN_DATE + _dt.timedelta(days=1)
+
+
+@register(
+    "incremental_replay_next_day",
+    f"""SELECT *, 'bronze_layer' AS data_source, DATE '{NEXT_DAY.isoformat()}' AS processing_date,
+       {NEXT_DAY.year} AS year, {NEXT_DAY.month} AS month, {NEXT_DAY.day} AS day
+FROM events""",
+)
+def q_incremental_replay_next_day(spark, sf_dir):
+    """A batch that was written but not committed is replayed on the next day: its
+    folder is replaced, whatever date it held."""
+    from laminar.streaming.incremental import load_increment
+
+    events = testdata.table(spark, sf_dir, "events")
+    root = _fresh(spark, "replay")
+    events.write.parquet(f"{root}/landing")
+    for day in (RUN_DATE, NEXT_DAY):
+        checkpoint = f"{root}/_checkpoint-{day}"  # the first one's commit is lost
+        load_increment(spark, f"{root}/landing", events.schema, f"{root}/silver", checkpoint, run_date=day)
+    return spark.read.parquet(f"{root}/silver").drop("processed_timestamp", "batch_id")
+
+
 # --------------------------------------------------------------------------- hot key
 
 @register("customer_analytics_hot_customer", _customer_analytics_sql(TX_HOT))
@@ -844,10 +868,8 @@ def q_rfm_customer_segments_hot_customer(spark, sf_dir):
 
 # --------------------------------------------------------------------------- whole flow
 
-@register("layers_end_to_end", _gold_counts_sql())
-def q_layers_end_to_end(spark, sf_dir):
-    """Bronze tables -> cleaning -> silver (quality gate) -> six gold datasets -> job
-    summary, as one run; the summary counts are compared."""
+def _run_whole_flow(spark, sf_dir, run_dates) -> str:
+    """The flow on the same bronze tables, once per run date; the gold folder."""
     from laminar.plans.layers import LayerConfig, run_layers
 
     root = _fresh(spark, "layers")
@@ -858,9 +880,8 @@ def q_layers_end_to_end(spark, sf_dir):
     }
     for name, df in bronze.items():
         df.write.parquet(f"{root}/bronze/{name}")
-    run_layers(
-        spark,
-        LayerConfig(
+    for run_date in run_dates:
+        cfg = LayerConfig(
             bronze_tables={name: f"{root}/bronze/{name}" for name in bronze},
             silver_root=f"{root}/silver",
             gold_root=f"{root}/gold",
@@ -868,15 +889,64 @@ def q_layers_end_to_end(spark, sf_dir):
             customers_table="silver_customers",
             products_table="silver_products",
             lineage_path=f"{root}/lineage",
+            gate_keys={
+                "silver_transactions": "transaction_id",
+                "silver_customers": "customer_id",
+                "silver_products": "product_id",
+            },
             as_of=AS_OF,
-            run_date=RUN_DATE,
-        ),
-    )
-    return spark.read.parquet(f"{root}/gold/job_summary").select(
+            run_date=run_date,
+        )
+        run_layers(spark, cfg)
+    return f"{root}/gold"
+
+
+@register("layers_end_to_end", _gold_counts_sql())
+def q_layers_end_to_end(spark, sf_dir):
+    """Bronze tables -> cleaning -> silver (quality gate) -> six gold datasets -> job
+    summary, as one run; the summary counts are compared."""
+    gold = _run_whole_flow(spark, sf_dir, [RUN_DATE])
+    return spark.read.parquet(f"{gold}/job_summary").select(
         "dataset_name", "record_count", "job_name"
     )
 
 
+@register(
+    "layers_two_run_dates",
+    f"""SELECT customer_id, total_transactions, CAST(round(total_amount, 4) AS DECIMAL(24, 4)) AS total_amount
+FROM ({_customer_analytics_sql(TX)}) x""",
+)
+def q_layers_two_run_dates(spark, sf_dir):
+    """The flow on two run dates over the same bronze: the second day's gold values are
+    those of one run (silver is replaced, not doubled)."""
+    gold = _run_whole_flow(spark, sf_dir, [RUN_DATE, NEXT_DAY])
+    df = spark.read.parquet(f"{gold}/customer_analytics")
+    return df.where((F.col("year") == NEXT_DAY.year) & (F.col("month") == NEXT_DAY.month) & (F.col("day") == NEXT_DAY.day)).select(
+        "customer_id", "total_transactions", F.round("total_amount", 4).cast("decimal(24,4)").alias("total_amount")
+    )
+
+
+@register(
+    "job_summary_empty",
+    "SELECT unnest(['customer_analytics', 'product_analytics', 'daily_metrics', 'monthly_metrics', "
+    "'cohort_analysis', 'rfm_customer_segments']) AS dataset_name, CAST(0 AS BIGINT) AS record_count "
+    "FROM (SELECT count(*) FROM lineitem) x",
+)
+def q_job_summary_empty(spark, sf_dir):
+    """A re-run of the day without transactions: zero rows each, the earlier rows gone."""
+    from laminar.plans.layers import GOLD_DATASETS, JOB_SUMMARY, build_gold
+
+    root = _fresh(spark, "gold")
+    tx = testdata.transactions(spark, sf_dir)
+    for rows in (tx, tx.where("transaction_id is null")):
+        build_gold(rows, root, as_of=AS_OF, run_date=RUN_DATE, gate=True)
+    left = spark.read.schema("dataset_name string").option("recursiveFileLookup", "true")
+    stale = left.parquet(*[f"{root}/{d}" for d in GOLD_DATASETS]).groupBy("dataset_name").count()
+    summary = spark.read.parquet(f"{root}/{JOB_SUMMARY}").join(stale, "dataset_name", "left")
+    rows = F.col("record_count") + F.coalesce("count", F.lit(0))
+    return summary.select("dataset_name", rows.alias("record_count"))
+
+
 _GOLD_CTES, _GOLD_SELECT = _customer_analytics_parts(TX)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +97,8 @@ def default_partitions(spark: SparkSession) -> int:
 
 # Fixed value: target input bytes per shuffle partition when sizing from the input.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Fixed value: most shuffle partitions sized from the input (map outputs are cut as often).
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
@@ -113,10 +116,21 @@ def size_shuffle_partitions(
     spark: SparkSession, total_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES
 ) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to about one partition per ``target_bytes``
-    of input, never lowering it. AQE coalesces partitions that turn out small, but it
+    of input, at most ``MAX_SHUFFLE_PARTITIONS``, never lowering it. AQE coalesces partitions that turn out small, but it
     cannot split a shuffle that was planned with too few."""
     current = default_partitions(spark)
-    wanted = max(current, math.ceil(total_bytes / target_bytes))
+    wanted = max(current, min(MAX_SHUFFLE_PARTITIONS, math.ceil(total_bytes / target_bytes)))
     if wanted != current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, total_bytes: int):
+    """Shuffle partitions sized for so many bytes within the block, then set back."""
+    before = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    size_shuffle_partitions(spark, total_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

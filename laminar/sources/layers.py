@@ -13,6 +13,7 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,11 +47,13 @@ LINEAGE_SCHEMA = T.StructType(
 
 def observed_count(obs: Observation, name: str = "rows") -> int:
     """The count an Observation collected during an action that has run. A frame
-    with no partitions reports no metrics at all (PySpark then fails to build the
-    row); that is zero rows."""
+    with no partitions reports no metrics at all (there is no row to convert, a null
+    pointer in the JVM); that is zero rows. Any other failure is raised."""
     try:
         value = obs.get.get(name)
-    except Exception:  # empty input: no task produced metrics
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() != "NullPointerException":
+            raise
         return 0
     return int(value or 0)
 
@@ -85,10 +88,58 @@ def write_layer(
 ) -> None:
     """Parquet/snappy, 128 MB row groups, 1 MB pages, partitioned by date parts.
 
-    No repartitioning by the partition columns: they hold the run date, one value
+    ``overwrite`` replaces the whole folder, all its dates, whatever the session's
+    partition overwrite mode is: the new content is written beside it and published
+    when complete. No repartitioning by the partition columns: they hold the run date, one value
     per run, and clustering on them would send every row to a single task.
     """
-    _parquet_writer(df, partition_cols).mode(mode).parquet(path)
+    if mode != "overwrite":
+        _parquet_writer(df, partition_cols).mode(mode).parquet(path)
+        return
+    staging = staging_path(path)
+    try:
+        _parquet_writer(df, partition_cols).mode("errorifexists").parquet(staging)
+        publish(df.sparkSession, staging, path)
+    finally:
+        remove_folder(df.sparkSession, staging)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system): any store Spark can write."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def staging_path(path: str) -> str:
+    """A new hidden folder beside ``path`` to write its next content to."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staging-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Put a fully written (and checked) folder in the place of the table at ``path``.
+
+    The table stays as it is until the new content is complete: a failed write leaves the
+    old one. The old folder is renamed aside, put back if the second rename fails, and
+    removed at the end; between the two renames a reader finds no table.
+    """
+    new, fs = _file_system(spark, staging)
+    target, _ = _file_system(spark, path)
+    old, _ = _file_system(spark, staging.replace("/_staging-", "/_old-"))
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot publish {staging} as {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def add_gold_metadata(
@@ -137,7 +188,8 @@ def write_gold(
     """Write one gold dataset, replacing only this run's partition.
 
     Returns ``{"path", "record_count"}``; the count is observed during the write
-    (no second pass over the data).
+    (no second pass over the data). An empty result leaves an empty partition: rows that
+    an earlier run of the day wrote go.
     """
     path = f"{gold_root.rstrip('/')}/{dataset_name}"
     obs = Observation(f"gold_{dataset_name}_{uuid.uuid4().hex[:8]}")  # unique per query
@@ -150,7 +202,12 @@ def write_gold(
         .mode("overwrite")
         .parquet(path)
     )
-    return {"path": path, "record_count": observed_count(obs)}
+    n = observed_count(obs)
+    if n == 0:  # dynamic overwrite replaces only partitions that have rows
+        day = run_date or df.sparkSession.range(1).select(F.current_date()).first()[0]
+        parts = zip(gold_partition_columns(out), (day.year, day.month, day.day))
+        remove_folder(df.sparkSession, "/".join([path, *[f"{k}={v}" for k, v in parts]]))
+    return {"path": path, "record_count": n}
 
 
 def lineage_record(
@@ -193,9 +250,15 @@ def register_table(
     path: str,
     partitioned: bool = True,
 ) -> DataFrame:
-    """Register a Parquet folder in the session catalog and discover partitions."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    """Register a Parquet folder in the session catalog and discover partitions.
+
+    A table of that name at the same place is kept and its partitions are discovered
+    again; one at another place is not touched, that is an error."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    place = lambda p: p.split(":", 1)[-1].replace("//", "/").rstrip("/")
+    if told is None or place(told["data_type"]) != place(path):
+        raise ValueError(f"{name} exists at {told and told['data_type']}, not at {path}")
     if partitioned:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)

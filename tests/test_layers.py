@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from laminar.plans.layers import LayerConfig, clean_to_silver, run_layers
 from laminar.sources import layers, testdata
@@ -293,3 +294,65 @@ def test_gold_job_needs_transactions(spark, tmp_path):
     with pytest.raises(ValueError, match="no transaction data"):
         jobs.main(["silver-to-gold", "--silver-root", f"{root}/silver", "--gold-root",
                    f"{root}/gold", "--auto-bind"])
+
+
+def test_two_run_dates_leave_one_copy(spark, tmp_path):
+    root = str(tmp_path)
+    bronze = testdata.dirty_bronze_orders(spark, SF)
+    for day in (1, 2):
+        got = clean_to_silver(bronze, f"{root}/silver", "bronze_orders", "job", run_date=dt.date(2024, 1, day))
+        silver = spark.read.parquet(f"{root}/silver/silver_orders")
+        assert silver.count() == got["output_rows"]
+        assert [r.day for r in silver.select("day").distinct().collect()] == [day]
+    import os
+
+    assert os.listdir(f"{root}/silver") == ["silver_orders"]  # nothing staged is left
+
+
+def test_failed_gate_keeps_the_good_table(spark, tmp_path):
+    import pytest
+
+    from laminar.plans.layers import clean_and_gate, key_rules
+
+    root = str(tmp_path)
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "transaction_id long, v string")
+    rules = key_rules("transaction_id")
+    clean_and_gate(good, root, "bronze_tx", "job", run_date=dt.date(2024, 1, 1), rules=rules)
+    bad = [good.withColumn("transaction_id", F.lit(None).cast("long")), good.drop("transaction_id"), good.limit(0)]
+    for frame in bad:
+        with pytest.raises(Exception):
+            clean_and_gate(frame, root, "bronze_tx", "job", run_date=dt.date(2024, 1, 2), rules=rules)
+        assert spark.read.parquet(f"{root}/silver_tx").count() == 2
+
+
+def test_observed_count_raises_what_is_not_an_empty_input(spark):
+    import pytest
+    from pyspark.sql import Observation
+
+    with pytest.raises(Exception):
+        layers.observed_count(Observation("never_observed"))
+    obs = Observation("no_partitions")
+    spark.range(0).where("id < 0").limit(0).observe(obs, F.count(F.lit(1)).alias("rows")).collect()
+    assert layers.observed_count(obs) == 0
+
+
+def test_sized_shuffles_are_bounded_and_set_back(spark):
+    from laminar.session import MAX_SHUFFLE_PARTITIONS, default_partitions, sized_shuffles
+
+    before = default_partitions(spark)
+    with sized_shuffles(spark, 100 * 10**12):
+        assert default_partitions(spark) == MAX_SHUFFLE_PARTITIONS
+    assert default_partitions(spark) == before
+
+
+def test_register_table_leaves_a_table_elsewhere_alone(spark, tmp_path):
+    import pytest
+
+    for name in ("a", "b"):
+        spark.range(3).withColumn("day", F.lit(1)).write.partitionBy("day").parquet(f"{tmp_path}/{name}")
+    assert layers.register_table(spark, "t_place", f"{tmp_path}/a").count() == 3
+    spark.range(2).write.parquet(f"{tmp_path}/a/day=2")
+    assert layers.register_table(spark, "t_place", f"{tmp_path}/a").count() == 5
+    with pytest.raises(ValueError):
+        layers.register_table(spark, "t_place", f"{tmp_path}/b")
+    assert spark.table("t_place").count() == 5
