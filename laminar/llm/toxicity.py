@@ -101,47 +101,53 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def label_model(votes: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
+def label_model(
+    votes: np.ndarray, times: np.ndarray | None = None, rounds: int = 25
+) -> tuple[np.ndarray, np.ndarray]:
     """votes (rows x voters; 1, -1, 0) -> (posterior of class 1 per row, weight per voter).
 
-    A weight is the log odds of the voter's accuracy, divided by one plus its positive
+    ``times``: how many texts each row of votes stands for (default: one). A weight is the log odds of the voter's accuracy, divided by one plus its positive
     correlations with the other voters' firing within a class.
     """
     rows, m = votes.shape
     if rows == 0:
         return np.zeros(0), np.full(m, np.log(0.8 / 0.2))
-    fires, v = votes != 0, votes.astype(np.float64)
+    times = np.ones(rows) if times is None else times.astype(np.float64)
+    n, v, fired = times.sum(), votes.astype(np.float64), np.abs(votes).astype(np.float64)
     accuracy, shared, prior = np.full(m, 0.8), np.ones(m), 0.1
-    fired = fires.astype(np.float64)
+    n_fired = times @ fired
     for k in range(rounds):
         weight = np.log(accuracy / (1 - accuracy)) / shared
         p = 1 / (1 + np.exp(-np.clip(v @ weight + np.log(prior / (1 - prior)), -30, 30)))
-        prior = float(np.clip(p.mean(), 0.01, 0.99))
-        right = ((votes == 1) * p[:, None] + (votes == -1) * (1 - p)[:, None]).sum(axis=0)
-        accuracy = np.clip((right + 2.0) / (fired.sum(axis=0) + 2.5), 0.05, 0.999)
+        prior = float(np.clip(times @ p / n, 0.01, 0.99))
+        right = (times * p) @ (votes == 1) + (times * (1 - p)) @ (votes == -1)
+        accuracy = np.clip((right + 2.0) / (n_fired + 2.5), 0.05, 0.999)
         if k % 5 == 0:
             corr = np.zeros((m, m))
-            for w in (p, 1 - p):  # within each class, weighted by the posterior
+            for w in (times * p, times * (1 - p)):  # within each class, weighted by the posterior
                 total = max(w.sum(), 1e-9)
                 mean = (w @ fired) / total
                 c = (fired * w[:, None]).T @ fired / total - np.outer(mean, mean)
                 sd = np.sqrt(np.clip(np.diag(c), 1e-12, None))
-                corr = np.maximum(corr, np.where(np.outer(sd, sd) > 1e-9, c / np.outer(sd, sd), 0) * (total / rows > 0.005))
+                corr = np.maximum(corr, np.where(np.outer(sd, sd) > 1e-9, c / np.outer(sd, sd), 0) * (total / n > 0.005))
             np.fill_diagonal(corr, 0)
             shared = 1 + np.clip(np.where(corr > 0.2, corr, 0), 0, 1).sum(axis=1)
     return p, np.log(accuracy / (1 - accuracy)) / shared
 
 
-def logistic(x: np.ndarray, p: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
-    """Weights (last: bias) of a logistic regression on soft labels, by Newton steps."""
+def logistic(
+    x: np.ndarray, p: np.ndarray, times: np.ndarray, ridge: float = 0.1, rounds: int = 30
+) -> np.ndarray:
+    """Weights (last: bias) of a logistic regression on soft labels, by Newton steps; a row
+    counts ``times`` times."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x1.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
         q = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        h = (x1 * (q * (1 - q))[:, None]).T @ x1 + np.diag(penalty)
-        step = np.linalg.solve(h, x1.T @ (p - q) - penalty * w)
+        h = (x1 * (times * q * (1 - q))[:, None]).T @ x1 + np.diag(penalty)
+        step = np.linalg.solve(h, x1.T @ (times * (p - q)) - penalty * w)
         w = w + step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-9))
     return w
 
@@ -209,17 +215,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_le
     def voted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([voters.votes(t) for t in texts], columns=["hits", "patterns"])
 
-    rows = sorted(
-        (r["doc_id"], r["toxic"], r["v"]["hits"], r["v"]["patterns"])
-        for r in sample.select("doc_id", "toxic", voted("text").alias("v")).collect()
-    )
+    # texts with the same votes count as one row: most have none, so few rows come here
+    same = sample.select("toxic", voted("text").alias("v")).groupBy("toxic", "v.hits", "v.patterns")
+    rows = sorted(tuple(r) for r in same.count().collect())
     n, m = len(voters.lexicon), len(voters.lexicon) + len(PATTERNS)
     votes = np.zeros((len(rows), m + 1), dtype=np.int8)
-    for i, (_, toxic, hits, patterns) in enumerate(rows):
+    for i, (toxic, hits, patterns, _) in enumerate(rows):
         votes[i, hits] = 1
         votes[i, n:m] = patterns
         votes[i, m] = 1 if toxic else -1
-    posterior, weight = label_model(votes)
+    times = np.array([r[3] for r in rows], dtype=np.float64)
+    posterior, weight = label_model(votes, times)
     evidence = weight[:m]
     if not rows:
         weights = np.zeros(m + 1)
@@ -227,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_le
         return Model(voters, evidence, weights, float(np.log(0.1 / 0.9)))
     x = votes[:, :m].astype(np.float64)
     x = np.hstack([x, np.clip(x @ evidence, -8, 8)[:, None]])
-    w = logistic(x, posterior)
+    w = logistic(x, posterior, times)
     return Model(voters, evidence, w[:-1], float(w[-1]))
 
 
