@@ -47,14 +47,41 @@ def _per_timestamp(tx: DataFrame) -> DataFrame:
     )
 
 
-def _first_with_counts(per_ts: DataFrame) -> DataFrame:
-    """A5 on the pre-summed rows, plus how many such rows each customer has."""
-    return per_ts.groupBy("customer_id").agg(
-        F.min("transaction_date").alias("first_purchase_date"),
-        F.count(F.lit(1)).alias("__rows"),
+def _first_with_counts(tx: DataFrame) -> DataFrame:
+    """A5 with how many transactions each customer has (they bound the rows per customer
+    that J3 meets; the number only sets the salts)."""
+    return (
+        tx.where(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(
+            F.min("transaction_date").alias("first_purchase_date"),
+            F.count(F.lit(1)).alias("__rows"),
+        )
+    )
+
+
+def _first_of_base(customers_base: DataFrame) -> DataFrame:
+    """The same from per-customer aggregates (transactions with an id or an amount)."""
+    return customers_base.where(F.col("customer_id").isNotNull()).select(
+        "customer_id",
+        F.col("first_transaction_date").alias("first_purchase_date"),
+        F.greatest("total_transactions", "__n").alias("__rows"),
     )
 
 
+def _parts(tx: DataFrame, customers_base: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """J3's two sides. The small one is read three times (threshold, join, cohort sizes):
+    it comes from ``customers_base``, or is written once to the shared checkpoint folder
+    (one row per customer, from a scan of two columns). The big one is read once, by the
+    join; it hardly shrinks, so writing it would cost more than that second scan."""
+    if customers_base is not None:
+        return _per_timestamp(tx), _first_of_base(customers_base)
+    from laminar.session import shared_root
+
+    shared_root(tx.sparkSession)
+    return _per_timestamp(tx), _first_with_counts(tx).checkpoint(eager=True)
+
+
 def cohort_cells(
     tx: DataFrame,
     max_hot_keys: int = MAX_HOT_KEYS,
@@ -64,11 +91,7 @@ def cohort_cells(
     """A6 per (cohort month, months since first purchase): customers, revenue,
     transactions. J3 splits customers holding a large share of the rows (see
     :mod:`laminar.operators.skew`)."""
-    if _pre is None:
-        per_ts = _per_timestamp(tx)
-        first = _first_with_counts(per_ts)
-    else:
-        per_ts, first = _pre
+    per_ts, first = _pre if _pre is not None else _parts(tx, None)
     joined = split_hot_key_join(
         per_ts, first, "customer_id", "__rows", F.col("transaction_date"),
         max_hot_keys, min_split_rows,
@@ -99,10 +122,12 @@ def cohort_analysis(
     tx: DataFrame,
     max_hot_keys: int = MAX_HOT_KEYS,
     min_split_rows: int = MIN_SPLIT_ROWS,
+    customers_base: DataFrame | None = None,
 ) -> DataFrame:
-    """Cohort cells with cohort size and retention rate (decimal(5,2) percent)."""
-    per_ts = _per_timestamp(tx)
-    first = _first_with_counts(per_ts)
+    """Cohort cells with cohort size and retention rate (decimal(5,2) percent).
+    ``customers_base`` (:func:`laminar.plans.customer.customer_base`, pinned by the
+    caller) gives the first purchases; without it a pinning job runs when this is called."""
+    per_ts, first = _parts(tx, customers_base)
     cells = cohort_cells(tx, max_hot_keys, min_split_rows, _pre=(per_ts, first))
     sizes = cohort_sizes(first)
     return cells.join(F.broadcast(sizes), "cohort_month", "inner").withColumn(

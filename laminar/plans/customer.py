@@ -31,8 +31,9 @@ def customer_base(tx: DataFrame) -> DataFrame:
 def customer_summary(tx: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """A1 per customer: count of transaction ids, sum and mean amount, first and last date.
 
-    The sum keeps the input's exact type until the final cast, so totals do not depend
-    on summation order. ``base`` (from :func:`customer_base`) skips the aggregation.
+    The sum keeps the input's type until the final cast: totals of decimals do not depend
+    on summation order, totals of cleaned amounts (doubles, C6) can in their last
+    digits. ``base`` (from :func:`customer_base`) skips the aggregation.
     """
     agg = base if base is not None else customer_base(tx)
     return agg.select(

@@ -190,22 +190,23 @@ def gold_builders(
     as_of=None,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
     customers_base: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """The six gold datasets (G1-G6), each as a function building its DataFrame (some
     run a pinning job while they are built, see :mod:`laminar.operators.ranking`).
 
     ``customers_base`` (per-customer aggregates, see
-    :func:`laminar.plans.customer.customer_base`) lets G1 and G6 share one
-    aggregation of the transactions instead of scanning them twice.
+    :func:`laminar.plans.customer.customer_base`) is shared by G1, G5 and G6, ``pairs``
+    (see :func:`laminar.plans.timeseries.daily_pairs`) by G3 and G4.
     """
     return {
         "customer_analytics": lambda: customer.customer_analytics(
             customers, tx, as_of=as_of, base=customers_base
         ),
         "product_analytics": lambda: product.product_analytics(products, tx),
-        "daily_metrics": lambda: timeseries.daily_metrics(tx),
-        "monthly_metrics": lambda: timeseries.monthly_metrics(tx),
-        "cohort_analysis": lambda: cohort.cohort_analysis(tx),
+        "daily_metrics": lambda: timeseries.daily_metrics(tx, pairs=pairs),
+        "monthly_metrics": lambda: timeseries.monthly_metrics(tx, pairs=pairs),
+        "cohort_analysis": lambda: cohort.cohort_analysis(tx, customers_base=customers_base),
         "rfm_customer_segments": lambda: rfm.rfm_segments(
             tx, relative_error=relative_error, customers_base=customers_base
         ),
@@ -266,13 +267,16 @@ def build_gold(
     :func:`laminar.session.build_session` does).
     """
     timer = layers.Timer()
-    # G1 and G6 aggregate the transactions by customer alike: do it once, pinned in
-    # the shared checkpoint folder (one row per customer), and derive both from it
+    # What several datasets need of the transactions is aggregated once and pinned in the
+    # shared checkpoint folder: a row per customer (G1, G5, G6), and the distinct (day,
+    # customer) and (day, product) pairs (G3, G4). With G2 and the join of G5 the
+    # transactions are read four times in all.
     from laminar.session import shared_root
 
     shared_root(tx.sparkSession)
     base = customer.customer_base(tx).checkpoint(eager=True)
-    builders = gold_builders(tx, customers, products, as_of, relative_error, base)
+    pairs = timeseries.daily_pairs(tx).checkpoint(eager=True)
+    builders = gold_builders(tx, customers, products, as_of, relative_error, base, pairs)
 
     def write(name: str) -> int:
         # own scheduler pool per dataset: FAIR shares executors between pools, while

@@ -2,13 +2,14 @@
 
 The moving-average and lag windows are unpartitioned on purpose: they run over one
 row per calendar day or month, a size bounded by the calendar, not by the data.
-Moving averages are windowed sums of the exact daily sums divided by the number of
-present days, so they do not depend on floating-point summation order.
+Moving averages are windowed sums of the daily sums divided by the number of present
+days. Where amounts are decimals these sums are exact, whatever their order; cleaned
+amounts (C6) are doubles, whose last digits can differ from run to run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laminar.functions import growth_pct, month_key, safe_mean
@@ -18,41 +19,64 @@ SHORT_WINDOW_ROWS = 7
 LONG_WINDOW_ROWS = 30
 
 
-def _period_aggregates(tx: DataFrame, key, key_name: str, prefix: str) -> DataFrame:
-    """Counts, sums and two distinct counts per period.
+_PERIOD, _SIDE = "__period", "__side"
 
-    The distinct counts are separate aggregations joined back on the period (one row
-    per period each): each shuffles its distinct (period, id) pairs once, which beats
-    the expand-by-three plan of several distinct aggregates in one ``agg``. The join
-    is null-safe so a null period keeps its counts.
-    """
-    keyed = tx.select(
-        key.alias(key_name), "transaction_id", "amount", "customer_id", "product_id"
+
+def period_pairs(tx: DataFrame, period: Column) -> DataFrame:
+    """The transactions summed per (period, customer) and per (period, product), both from
+    one scan: each transaction counts once for its customer (``__side`` 1, no product) and
+    once for its product (``__side`` 2, no customer), summed per task before the shuffle."""
+    types = tx.schema
+    customer, product = F.col("customer_id"), F.col("product_id")
+    none = lambda c: F.lit(None).cast(types[c].dataType).alias(c)
+    sides = F.array(
+        F.struct(F.lit(1).alias(_SIDE), customer, none("product_id")),
+        F.struct(F.lit(2).alias(_SIDE), none("customer_id"), product),
     )
-    base = keyed.groupBy(key_name).agg(
-        F.count("transaction_id").alias(f"{prefix}_transaction_count"),
+    keyed = tx.select(period.alias(_PERIOD), "transaction_id", "amount", F.inline(sides))
+    return keyed.groupBy(_PERIOD, _SIDE, "customer_id", "product_id").agg(
+        F.count("transaction_id").alias("__count"),
         F.sum("amount").alias("__sum"),
         F.count("amount").alias("__n"),
     )
-    out = base
-    for col, name in (("customer_id", "unique_customers"), ("product_id", "unique_products")):
-        distinct = (
-            keyed.where(F.col(col).isNotNull())
-            .select(F.col(key_name).alias("__k"), col)
-            .distinct()
-            .groupBy("__k")
-            .agg(F.count(F.lit(1)).alias(f"{prefix}_{name}"))
-        )
-        out = out.join(distinct, out[key_name].eqNullSafe(distinct["__k"]), "left").drop("__k")
-    return out.fillna(0, [f"{prefix}_unique_customers", f"{prefix}_unique_products"])
+
+
+def daily_pairs(tx: DataFrame) -> DataFrame:
+    """Pairs per calendar day: all that G3 and G4 need of the transactions."""
+    return period_pairs(tx, F.to_date("transaction_date"))
+
+
+def _months_of(pairs: DataFrame) -> DataFrame:
+    """Pairs per month, rolled up from pairs per day."""
+    return pairs.groupBy(
+        month_key(F.col(_PERIOD)).alias(_PERIOD), "customer_id", "product_id", _SIDE
+    ).agg(*[F.sum(c).alias(c) for c in ("__count", "__sum", "__n")])
+
+
+def _period_aggregates(pairs: DataFrame, key_name: str, prefix: str) -> DataFrame:
+    """Counts, sums and two distinct counts per period: every pair is one row, so that
+    plain counts of the ids are distinct counts."""
+    customers = F.col(_SIDE) == 1
+    once = lambda c: F.sum(F.when(customers, F.col(c)))
+    return pairs.groupBy(F.col(_PERIOD).alias(key_name)).agg(
+        once("__count").alias(f"{prefix}_transaction_count"),
+        once("__sum").alias("__sum"),
+        once("__n").alias("__n"),
+        F.count(F.when(customers, F.col("customer_id"))).alias(f"{prefix}_unique_customers"),
+        F.count(F.when(~customers, F.col("product_id"))).alias(f"{prefix}_unique_products"),
+    )
 
 
 def daily_metrics(
-    tx: DataFrame, short_rows: int = SHORT_WINDOW_ROWS, long_rows: int = LONG_WINDOW_ROWS
+    tx: DataFrame,
+    short_rows: int = SHORT_WINDOW_ROWS,
+    long_rows: int = LONG_WINDOW_ROWS,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
-    """Per calendar day, plus trailing averages over the last 7 and 30 present days."""
+    """Per calendar day, plus trailing averages over the last 7 and 30 present days.
+    ``pairs`` (from :func:`daily_pairs`) skips the scan of the transactions."""
     daily = _period_aggregates(
-        tx, F.to_date("transaction_date"), "transaction_date", "daily"
+        daily_pairs(tx) if pairs is None else pairs, "transaction_date", "daily"
     )
     order = Window.orderBy("transaction_date")
     w_short = order.rowsBetween(-(short_rows - 1), Window.currentRow)
@@ -75,12 +99,15 @@ def daily_metrics(
     )
 
 
-def monthly_metrics(tx: DataFrame) -> DataFrame:
+def monthly_metrics(tx: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Per ``yyyy-MM``, with int year and month, previous present month's revenue
-    and month-over-month growth in percent (first month: 0.0)."""
-    monthly = _period_aggregates(
-        tx, month_key(F.col("transaction_date")), "year_month", "monthly"
-    ).select(
+    and month-over-month growth in percent (first month: 0.0). ``pairs`` (from
+    :func:`daily_pairs`) skips the scan of the transactions."""
+    if pairs is None:
+        months = period_pairs(tx, month_key(F.col("transaction_date")))
+    else:
+        months = _months_of(pairs)
+    monthly = _period_aggregates(months, "year_month", "monthly").select(
         "year_month",
         "monthly_transaction_count",
         F.col("__sum").cast("double").alias("monthly_revenue"),

@@ -474,6 +474,13 @@ def q_rfm_customer_segments_approx(spark, sf_dir):
     return rfm.rfm_segments(testdata.transactions(spark, sf_dir))
 
 
+@register("rfm_customer_segments_sketch", _rfm_sql(RECENCY_STANDARD_SQL))
+def q_rfm_customer_segments_sketch(spark, sf_dir):
+    """G6 by the default road (sketched cuts) at an error below one rank of the check's
+    number of customers, where the sketch's cuts are the exact ones."""
+    return rfm.rfm_segments(testdata.transactions(spark, sf_dir), relative_error=1e-6)
+
+
 # --------------------------------------------------------------------------- C cleaning
 
 BRONZE_CTE = """dirty AS (

@@ -40,6 +40,39 @@ def test_no_expand_for_distinct_counts(silver_tx):
         assert "Expand" not in _plan(df)
 
 
+def _scans(df) -> int:
+    return _plan(df).split("Initial Plan")[0].count("FileScan parquet")
+
+
+def test_transactions_are_scanned_once(silver_tx):
+    base = customer.customer_base(silver_tx).checkpoint()
+    pairs = timeseries.daily_pairs(silver_tx)
+    assert _scans(pairs) == 1
+    assert _scans(timeseries.daily_metrics(silver_tx)) == 1
+    assert _scans(timeseries.monthly_metrics(silver_tx)) == 1
+    assert _scans(cohort.cohort_analysis(silver_tx)) == 1  # after the pinned small side
+    assert _scans(cohort.cohort_analysis(silver_tx, customers_base=base)) == 1
+    pinned = pairs.checkpoint()
+    for build in (timeseries.daily_metrics, timeseries.monthly_metrics):
+        assert _scans(build(silver_tx, pairs=pinned)) == 0
+
+
+def test_shared_aggregates_give_the_same_datasets(silver_tx):
+    t = silver_tx.selectExpr(
+        "transaction_id", "amount", "product_id",
+        "if(crc32(transaction_id) % 7 = 0, null, customer_id) as customer_id",
+        "if(crc32(transaction_id) % 11 = 0, null, transaction_date) as transaction_date",
+    )
+    base, pairs = customer.customer_base(t), timeseries.daily_pairs(t)
+    for a, b in (
+        (timeseries.monthly_metrics(t), timeseries.monthly_metrics(t, pairs=pairs)),
+        (timeseries.daily_metrics(t), timeseries.daily_metrics(t, pairs=pairs)),
+        (cohort.cohort_analysis(t), cohort.cohort_analysis(t, customers_base=base)),
+    ):
+        rows = [sorted(map(str, x.collect())) for x in (a, b)]
+        assert rows[0] and rows[0] == rows[1]
+
+
 def test_rfm_cuts_one_subquery(silver_tx):
     df = rfm.rfm_segments(silver_tx)
     df.collect()
