@@ -920,7 +920,8 @@ def q_layers_end_to_end(spark, sf_dir):
 
 @register(
     "layers_two_run_dates",
-    f"""SELECT customer_id, total_transactions, CAST(round(total_amount, 4) AS DECIMAL(24, 4)) AS total_amount
+    # amounts have seven decimals: rounded there, sums of doubles and of decimals agree
+    f"""SELECT customer_id, total_transactions, CAST(round(total_amount, 7) AS DECIMAL(24, 7)) AS total_amount
 FROM ({_customer_analytics_sql(TX)}) x""",
 )
 def q_layers_two_run_dates(spark, sf_dir):
@@ -929,7 +930,7 @@ def q_layers_two_run_dates(spark, sf_dir):
     gold = _run_whole_flow(spark, sf_dir, [RUN_DATE, NEXT_DAY])
     df = spark.read.parquet(f"{gold}/customer_analytics")
     return df.where((F.col("year") == NEXT_DAY.year) & (F.col("month") == NEXT_DAY.month) & (F.col("day") == NEXT_DAY.day)).select(
-        "customer_id", "total_transactions", F.round("total_amount", 4).cast("decimal(24,4)").alias("total_amount")
+        "customer_id", "total_transactions", F.round("total_amount", 7).cast("decimal(24,7)").alias("total_amount")
     )
 
 
