@@ -47,12 +47,13 @@ LINEAGE_SCHEMA = T.StructType(
 
 def observed_count(obs: Observation, name: str = "rows") -> int:
     """The count an Observation collected during an action that has run. A frame
-    with no partitions reports no metrics at all (there is no row to convert, a null
-    pointer in the JVM); that is zero rows. Any other failure is raised."""
+    with no partitions reports no metrics at all (there is no row to convert: a null
+    pointer or a failed assertion in the JVM); that is zero rows. Any other failure is raised."""
     try:
         value = obs.get.get(name)
     except Py4JJavaError as e:
-        if e.java_exception.getClass().getSimpleName() != "NullPointerException":
+        missing = ("NullPointerException", "AssertionError")
+        if e.java_exception.getClass().getSimpleName() not in missing:
             raise
         return 0
     return int(value or 0)
