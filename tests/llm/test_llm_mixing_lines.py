@@ -123,6 +123,44 @@ def _columns(docs, out):
     return [r["doc_id"] for r in rows], [r["before"] for r in rows], [r["kept"] for r in rows]
 
 
+def brute_runs(docs, least=50):
+    """{(id, text): text without later repeated runs}: every run of enough words is compared."""
+    runs, first = [], {}
+    for i, text in set(docs):
+        lines = text.split("\n")
+        full = [k for k, x in enumerate(lines) if words(x)]
+        size = [len(words(lines[k])) for k in full]
+        for a in range(len(full)):
+            for b in range(a, len(full)):
+                if sum(size[a : b + 1]) >= least:
+                    content, place = tuple(lines[k] for k in full[a : b + 1]), (i, full[a])
+                    runs.append((content, place, text, full[b]))
+                    first[content] = min(first.get(content, place), place)
+    gone = defaultdict(set)
+    for content, place, text, stop in runs:
+        if place != first[content]:
+            gone[place[0], text].update(range(place[1], stop + 1))
+    return {(i, t): "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i, t]) for i, t in docs}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_line_dedup_both_ways(spark, seed):
+    rng = random.Random(seed)
+    line = lambda n: " ".join(f"{rng.choice('abcde')}{rng.randint(0, 99)}" for _ in range(n))
+    passages = [[line(n) for n in sizes] for sizes in ([60, 10, 10], [5, 70, 3, 3], [20, 20, 20, 20], [49], [1] * 55)]
+    rows = []
+    for i in range(30):
+        lines = [f"own {i} {k}" for k in range(rng.randint(0, 5))]
+        for p in rng.sample(passages, rng.randint(0, 2)):
+            at = rng.randint(0, len(lines))
+            lines[at:at] = [*p, ""] if rng.random() < 0.5 else p
+        rows.append((i, "\n".join(lines), "en", "a"))
+    docs = cases.documents(spark, rows)
+    got = {(i, t): k for i, t, k in zip(*_columns(docs, line_dedup.dedup_lines(docs, both_ways=True)))}
+    assert got == brute_runs([(r[0], r[1]) for r in rows])
+    assert got != brute_lines([(r[0], r[1]) for r in rows])  # lines after the last window go, too
+
+
 def test_line_dedup_edge_rows(spark):
     passage = "\n".join(" ".join(f"w{k}x{j}" for j in range(20)) for k in range(4))
     rows = [*cases.ROWS, (20, f"start\n{passage}\nend", "en", "a"), (21, passage, "en", "a"), (None, f"{passage}\nx", "en", "a")]
