@@ -155,6 +155,20 @@ def test_nearest_recall(spark):
     assert hits / sum(map(len, expected.values())) >= 0.9
 
 
+def test_search_goes_on_until_settled(spark):
+    """A chain of nodes, searched from its far end: one hop a round."""
+    n = 12
+    x = np.array([[np.cos(a), np.sin(a), 0.0] for a in np.linspace(0, 1.5, n)], dtype=np.float16)
+    nodes = spark.createDataFrame([(i, x[i].tobytes()) for i in range(n)], "id long, code binary")
+    near = [[j for j in (i - 1, i + 1) if 0 <= j < n] for i in range(n)]
+    graph = spark.createDataFrame(
+        [(0, i, m, [0.0] * len(m), [False] * len(m)) for i, m in enumerate(near)], neighbours._GRAPH
+    )
+    asked = spark.createDataFrame([(0, x[-1].tobytes(), [0])], "id long, code binary, entry array<long>")
+    found = neighbours.search(graph, 1, nodes, asked).first()
+    assert list(found["nbr"]) == list(range(n))[::-1]
+
+
 def test_nearest_edge_vectors(spark):
     rows = [(i, [float(i % 7 - 3), 1.0, float(i % 5)]) for i in range(90)]  # many copies and ties
     bad = [(200, None), (220, []), (240, [0.0, 0.0, 0.0]), (260, [None, 1.0, 1.0]), (280, [float("nan"), 1.0, 1.0]), (300, [float("inf"), 0.0, 1.0]), (None, [1.0, 1.0, 1.0])]
