@@ -155,6 +155,31 @@ def test_nearest_recall(spark):
     assert hits / sum(map(len, expected.values())) >= 0.9
 
 
+def unit_vectors(n, d=64, seed=0):
+    x = np.random.default_rng(seed).standard_normal((n, d)).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_nearest_recall_of_many_blocks(spark, monkeypatch):
+    """Flat spectrum, 63 blocks: rounds go on until lists settle, and recall is the method's own."""
+    monkeypatch.setattr(neighbours, "BLOCK_NODES", 64)
+    x = unit_vectors(4000)
+    built = []
+    build = neighbours.build
+    monkeypatch.setattr(neighbours, "build", lambda *a: built.append(build(*a)) or built[0])
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "id long, vec array<float>")
+    got = {}
+    for r in neighbours.nearest(df, F.col("id") % 20 == 0, 20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    new = F.avg(F.size(F.filter("fresh", lambda f: f)) / F.size("fresh"))
+    assert built[0][0].agg(new).first()[0] < neighbours.MIN_CHANGED
+    s = x[::20] @ x.T
+    s[np.arange(len(s)), 20 * np.arange(len(s))] = -np.inf
+    best = np.argpartition(-s, 20, axis=1)[:, :20]
+    assert sorted(got) == list(range(0, 4000, 20))
+    assert sum(len(got[20 * i] & set(b.tolist())) for i, b in enumerate(best)) / best.size >= 0.9
+
+
 def test_search_goes_on_until_settled(spark):
     """A chain of nodes, searched from its far end: one hop a round."""
     n = 12
