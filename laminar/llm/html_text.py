@@ -3,12 +3,16 @@
 A page becomes a tree of block elements with runs of inline text (blocks). Elements that
 never hold an article (scripts, styles, forms, navigation, page headers and footers,
 sidebars) and elements whose class, id or role names an advert, a notice, a menu, reader
-comments and the like are left out with all they hold. Every remaining block passes
+comments and the like are left out with all they hold. Of the latter those stay that are or
+hold the largest article, if it has most of the page's text or every article would go, and,
+adverts and reader comments apart, those with most of the text of their article or of a page
+without articles. Every remaining block passes
 points to its container, and half of them to the container above: one, plus one per
 comma, plus one per 100 characters up to three; a container's points are discounted by
 its link density. The best container is kept with those siblings that score at least a
 fifth of it or are running text themselves; inside an article (or main) element that is
-the whole element. Blocks that are nearly all links, two or more, count as menus.
+the whole element. Blocks that are nearly all links, two or more, count as menus; inside
+an article only lists and blocks without paragraphs do.
 
 Pages are independent: no shuffle, a page at a time in memory, nothing recursive.
 """
@@ -44,6 +48,10 @@ UNWANTED_WORDS = frozenset(
     "subscription signup login share sharing social related recommended widget hidden "
     "complementary contentinfo search skip tracking".split()
 )
+FOREIGN_WORDS = frozenset(  # never the article's own text, however long
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored "
+    "comment comments commentlist disqus replies respond".split()
+)
 CLOSED_BY_BLOCK = frozenset({"p", "h1", "h2", "h3", "h4", "h5", "h6"})
 SAME_LEVEL = {  # a start tag that ends an open element of these kinds
     "li": frozenset({"li"}),
@@ -59,10 +67,14 @@ MENU_LINK_DENSITY = 0.66
 
 
 class Node:
-    __slots__ = ("tag", "parent", "unwanted", "children", "points", "chars", "linked", "links")
+    __slots__ = (
+        "tag", "parent", "unwanted", "named", "foreign", "prose", "children", "points", "chars", "linked", "links"
+    )
 
-    def __init__(self, tag: str, parent: Node | None, unwanted: bool):
+    def __init__(self, tag: str, parent: Node | None, unwanted: bool, words: set[str] = frozenset()):
         self.tag, self.parent, self.unwanted = tag, parent, unwanted
+        self.named, self.foreign = bool(words), not FOREIGN_WORDS.isdisjoint(words)
+        self.prose = False  # holds a paragraph with text
         self.children: list[Node | str] = []  # nodes and blocks of text, in page order
         self.points, self.chars, self.linked, self.links = 0.0, 0, 0, 0
 
@@ -73,6 +85,7 @@ class _Tree(HTMLParser):
         self.root = self.at = Node("", None, False)
         self.nodes = [self.root]
         self.text: list[str] = []
+        self.found: list[tuple[Node, str, int, int]] = []  # blocks with their linked chars and links
         self.in_link = 0
         self.linked = self.links = 0
 
@@ -86,22 +99,62 @@ class _Tree(HTMLParser):
         if not block or node.unwanted:
             return
         node.children.append(block)
+        self.found.append((node, block, linked, links))
+
+    def close(self) -> None:
+        super().close()
+        self.flush()
+        self._settle_named()
+        for node, block, linked, links in self.found:
+            if not node.unwanted:
+                self._give_points(node, block, linked, links)
+
+    def _settle_named(self) -> None:
+        """Elements named by their words go, unless the article or most text goes with them."""
+        if not any(n.named for n in self.nodes):
+            return
+        size, free, total = {}, False, 0
+        for at, block, _, _ in self.found:
+            total += len(block)
+            named, article, node = False, False, at
+            while node is not None:
+                size[node] = size.get(node, 0) + len(block)
+                named, article = named or node.named, article or node.tag in ("article", "main")
+                node = node.parent
+            free = free or article and not named
+        articles = [n for n in self.nodes if n.tag in ("article", "main") and n in size]
+        stays, node = set(), max(articles, key=size.get, default=None)
+        if free and 2 * size[node] <= total:
+            node = None
+        while node is not None:
+            stays.add(node)
+            node = node.parent
+        whole = {self.root: 0 if articles else total}  # the text that a node's share is taken of
+        for node in self.nodes[1:]:  # parents come first
+            up = node.parent
+            whole[node] = size.get(up, 0) if up.tag in ("article", "main") else whole[up]
+            most = not node.foreign and whole[node] and 2 * size.get(node, 0) > whole[node]
+            if up.unwanted or node.named and not most and node not in stays:
+                node.unwanted = True
+
+    @staticmethod
+    def _give_points(node: Node, block: str, linked: int, links: int) -> None:
         points = 1 + block.count(",") + min(len(block) // 100, 3)
         container = node if node.tag not in CLOSED_BY_BLOCK or node.parent is None else node.parent
         container.points += points
         if container.parent is not None:
             container.parent.points += points / 2
+        prose = False
         while node is not None:
+            prose = prose or node.tag == "p"
+            node.prose |= prose
             node.chars += len(block)
             node.linked += min(linked, len(block))
             node.links += links
             node = node.parent
 
-    def close(self) -> None:
-        super().close()
-        self.flush()
-
     def _unwanted(self, tag: str, attrs) -> bool:
+        """True for what never holds an article, whatever its class."""
         if tag in UNWANTED:
             return True
         if tag == "header":  # an article's own header holds its heading
@@ -114,13 +167,18 @@ class _Tree(HTMLParser):
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
-            if name in ("class", "id", "role") and value:
-                if not UNWANTED_WORDS.isdisjoint(re.split(r"[^a-z]+", value.lower())):
-                    return True
             if name == "style" and value and re.search(r"display\s*:\s*none", value.lower()):
                 return True
         return False
 
+    @staticmethod
+    def _words(tag: str, attrs) -> set[str]:
+        """The unwanted words in class, id and role."""
+        if tag in ("html", "body", "main"):
+            return set()
+        values = [v.lower() for name, v in attrs if name in ("class", "id", "role") and v]
+        return {w for v in values for w in re.split(r"[^a-z]+", v)} & UNWANTED_WORDS
+
     def _leave(self, kinds: frozenset[str], stop: frozenset[str] = frozenset()) -> None:
         """Close the nearest open element of these kinds, unless one of ``stop`` is nearer."""
         node = self.at
@@ -136,7 +194,7 @@ class _Tree(HTMLParser):
             self.text.append("\n")
             return
         if tag in INLINE:
-            unwanted = attrs and self._unwanted(tag, attrs)
+            unwanted = attrs and (self._unwanted(tag, attrs) or self._words(tag, attrs))
             if not unwanted:
                 if tag == "a":
                     self.in_link = 1
@@ -152,7 +210,8 @@ class _Tree(HTMLParser):
             same = SAME_LEVEL.get(tag)
             if same:
                 self._leave(same, LIST_OWNERS)
-        node = Node(tag, self.at, self.at.unwanted or self._unwanted(tag, attrs))
+        unwanted = self.at.unwanted or self._unwanted(tag, attrs)
+        node = Node(tag, self.at, unwanted, self._words(tag, attrs))
         self.at.children.append(node)
         self.nodes.append(node)
         self.at = node
@@ -198,14 +257,19 @@ def _score(node: Node) -> float:
     return node.points * (1 - _density(node))
 
 
-def _blocks(nodes: list[Node]) -> list[str]:
+def _is_inner_menu(node: Node) -> bool:
+    listed = node.tag in LIST_OWNERS or not node.prose
+    return listed and node.tag not in CLOSED_BY_BLOCK and _is_menu(node)
+
+
+def _blocks(nodes: list[Node], is_menu=_is_menu) -> list[str]:
     out: list[str] = []
     stack: list[Node | str] = list(reversed(nodes))
     while stack:
         x = stack.pop()
         if isinstance(x, str):
             out.append(x)
-        elif not x.unwanted and not _is_menu(x):
+        elif not x.unwanted and not is_menu(x):
             stack.extend(reversed(x.children))
     return out
 
@@ -232,7 +296,7 @@ def main_text(html: str | None) -> str:
         while node is not None and node.tag != kind:
             node = node.parent
         if node is not None:
-            return "\n".join(_blocks([node]))
+            return "\n".join(_blocks([node], _is_inner_menu))
     if best.parent is None:
         return "\n".join(_blocks([best]))
     floor = max(SIBLING_SHARE * _score(best), 1.0)

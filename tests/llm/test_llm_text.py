@@ -125,6 +125,31 @@ def test_html_page_and_edge_rows(spark):
     assert html_text.main_texts(df.limit(0)).count() == 0
 
 
+TEXT = "<h1>Title</h1><p>A first, long sentence, with commas.</p><p>A second one, just as long, follows.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class=overflow-hidden><article>{TEXT}</article></div>",
+        f"<div class='page has-sidebar'><div id=nav>Menu</div><div>{TEXT}</div></div>",
+        f"<article class='post social'>{TEXT}</article><div class=ad>Buy, buy, buy</div>",
+        f"<article><div class=overflow-hidden>{TEXT}</div></article>",
+        f"<article>{TEXT}</article><div class=comments>{'<p>I like, this, very, much.</p>' * 20}</div>",
+        f"<article>{TEXT}</article><div class=promo>{'Buy, and buy, and buy again. ' * 20}</div>",
+    ],
+)
+def test_html_words_on_wrappers(page):
+    assert html_text.main_text(page) == "Title\nA first, long sentence, with commas.\nA second one, just as long, follows."
+
+
+def test_html_paragraph_of_links_stays_in_an_article():
+    refs = "<p><a href=1>First reference</a>, <a href=2>second reference</a></p>"
+    menu = "<ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul><div><a href=3>Back</a> <a href=4>On</a></div>"
+    got = html_text.main_text(f"<article>{TEXT}<div>{refs}</div>{menu}</article>").split("\n")
+    assert got[3:] == ["First reference, second reference"]
+
+
 def test_html_menus_and_ads_stay_out(spark):
     rows = queries.QUERIES["op4_html_extraction"](spark, SF).collect()
     html = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
