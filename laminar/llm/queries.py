@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, html_text, language_model, line_dedup, mixing, neighbours, simhash, spotsigs, successor, toxicity, url_filter
+from laminar.llm import bpe, fill_middle, html_text, language_model, line_dedup, mixing, neighbours, simhash, spotsigs, successor, toxicity, url_filter
 from laminar.llm.common import fold, read_table
 
 QUERIES: dict = {}
@@ -146,3 +146,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "mix.*")
+
+
+@register("op12_fill_in_middle", fill_middle.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its middle last, as a digest, and what that is read back to."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_middle.fill_in_middle(docs, seed=7)
+    text = fill_middle.restored(F.col("fim.output"), F.col("fim.form"))
+    return made.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
