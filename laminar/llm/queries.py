@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, fill_middle, html_text, language_model, line_dedup, mixing, neighbours, simhash, spotsigs, successor, toxicity, url_filter
+from laminar.llm import bpe, fill_middle, html_text, language_model, line_dedup, mixing, neighbours, simhash, spelling, spotsigs, successor, toxicity, url_filter
 from laminar.llm.common import fold, read_table
 
 QUERIES: dict = {}
@@ -163,3 +163,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@register("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word that occurs twice or more, with its common form one edit away."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs)
