@@ -6,7 +6,9 @@ symbol). So the full neighbourhood of a reduced word (each symbol deleted, each
 every symbol, every symbol inserted anywhere) holds the reduced words of all near words,
 and it is small: symbols, not letters, count. The neighbourhoods of the distinct reduced
 words are joined with the reduced vocabulary; words of two classes that meet are compared
-themselves, so that only true neighbours stay.
+themselves, so that only true neighbours stay. Two classes find each other from both sides:
+the join keeps the finding from the lower hash. Before the join a bitmap of fixed size
+(``BITMAP_BITS``, 16 MB, whatever the vocabulary) drops what no reduced word can match.
 
 Reduced words are told apart by a 64-bit polynomial hash modulo 2^64. Its sums over the
 positions give the hash of any edit from those of the word's beginning and end, so that a
@@ -42,6 +44,8 @@ MIN_COUNT = 2  # least occurrences of a word
 DROP = 31  # a run whose checksum this divides loses a letter
 RATIO = 10  # a form occurs so many times as often as its variant
 HELD = 1 << 21  # numbers of neighbourhoods made at a time
+BITMAP_BITS = 1 << 27  # bits of the broadcast bitmap of reduced words
+BITMAP_PART = 1 << 15  # fixed value: bits of one bitmap that Spark aggregates
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -163,6 +167,24 @@ def vocabulary(
     return counted.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
+def class_bitmap(classes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Bytes of a bitmap with a bit set for each hash in ``class``, modulo ``bits`` (a power
+    of two, at least one part). Aggregated in parts of 4 KB, so that the driver gets
+    ``bits`` / 8 bytes at most."""
+    at = F.pmod("class", F.lit(bits))
+    part, bit = F.floor(at / BITMAP_PART).cast("int"), (at % BITMAP_PART).cast("long")
+    parts = classes.select(part.alias("part"), bit.alias("bit")).groupBy("part")
+    out = np.zeros((bits // BITMAP_PART, BITMAP_PART // 8), np.uint8)
+    for row in parts.agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect():
+        out[row["part"]] = np.frombuffer(row["bitmap"], np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & (len(bitmap) * 8 - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """(word, n, near, near_n): every two words that differ by exactly one inserted, deleted
     or replaced code point, both ways round. ``words`` has (word, n), each word once."""
@@ -172,21 +194,38 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     def reduced(batch: pa.Array) -> pa.Array:
         return pa.array(reduced_hashes(batch.to_pylist(), symbols))
 
+    words = pinned(words.select("word", "n", reduced("word").alias("class")))
+    classes = pinned(words.groupBy("class").agg(F.min("word").alias("word")))
+    known = words.sparkSession.sparkContext.broadcast(class_bitmap(classes))
+
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, near in neighbourhoods(batch.column("word").to_pylist(), symbols):
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(near)], ["class", "other"])
+                kept = own <= near
+                kept[kept] = in_bitmap(known.value, near[kept])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[kept]), pa.array(near[kept])], ["class", "other"]
+                )
 
-    words = pinned(words.select("word", "n", reduced("word").alias("class")))
-    classes = pinned(words.groupBy("class").agg(F.min("word").alias("word")))
     meets = classes.select("word").mapInArrow(around, "class long, other long")
     met = meets.join(classes.select(F.col("class").alias("other")), "other")
     near = words.select(
         F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("class").alias("other")
     )
     pairs = words.join(met, "class").join(near, "other")
-    one_edit = F.levenshtein("word", "near", 1) == 1
-    return pairs.where(one_edit).select("word", "n", "near", "near_n")
+    found = pairs.where(F.levenshtein("word", "near", 1) == 1)
+    # a class meets itself once, with both ways round; two classes meet from one side
+    ways = F.array(
+        F.struct("word", "n", "near", "near_n"),
+        F.when(
+            F.col("class") != F.col("other"),
+            F.struct(
+                F.col("near").alias("word"), F.col("near_n").alias("n"),
+                F.col("word").alias("near"), F.col("n").alias("near_n"),
+            ),
+        ),
+    )
+    return found.select(F.explode(F.array_compact(ways)).alias("pair")).select("pair.*")
 
 
 def roots(links: DataFrame) -> DataFrame:

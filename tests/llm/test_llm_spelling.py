@@ -96,6 +96,16 @@ def test_neighbourhoods_are_whole():
         assert set(np.concatenate(own).tolist()) == set(spelling.reduced_hashes([word], 3).tolist())
 
 
+def test_bitmap(spark):
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(-(2**63), 2**63 - 1, 5000)
+    df = spark.createDataFrame([(int(h),) for h in hashes], "class long")
+    bitmap = spelling.class_bitmap(df, 1 << 18)
+    assert spelling.in_bitmap(bitmap, hashes).all()
+    assert set(np.flatnonzero(np.unpackbits(bitmap, bitorder="little"))) == set((hashes % (1 << 18)).tolist())
+    assert not spelling.class_bitmap(df.where("false"), 1 << 16).any()
+
+
 def test_many_lengths_in_small_blocks(monkeypatch):
     words = ["a" * k + "b" for k in range(1, 60)]
     whole = [np.concatenate(x).tolist() for x in zip(*spelling.neighbourhoods(words))]
