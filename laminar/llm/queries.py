@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm import bpe, fill_middle, html_text, language_model, line_dedup, mixing, neighbours, simhash, spelling, spotsigs, successor, toxicity, url_filter
+from laminar.llm import bpe, fill_middle, html_text, language_model, line_dedup, mixing, neighbours, simhash, spelling, spotsigs, successor, toxicity, url_filter, warc
 from laminar.llm.common import fold, read_table
+from laminar.session import fresh_dir
+from laminar.sources.layers import remove_folder
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -170,3 +172,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word that occurs twice or more, with its common form one edit away."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.spelling_variants(docs)
+
+
+@register("op13_warc", warc.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC files to WARC files and back. The files go once they are read."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    root = fresh_dir(spark, "warc")
+    try:
+        return warc.archive_pages(pages, root)
+    finally:
+        remove_folder(spark, root)
