@@ -23,8 +23,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.util import inheritable_thread_target
 
-from laminar.plans.layers import bind_roles, build_gold, clean_and_gate
+from laminar.plans.layers import bind_roles, build_gold, clean_and_gate, key_rules
 from laminar.session import build_session, input_bytes, size_shuffle_partitions
+from laminar.sources import layers
 
 
 def list_tables(spark, root: str) -> list[str]:
@@ -39,6 +40,18 @@ def list_tables(spark, root: str) -> list[str]:
     )
 
 
+def table_keys(told: list[str]) -> dict[str, str | tuple[str, ...]]:
+    """``table=column[,column...]`` options as the key of each table."""
+    keys: dict[str, str | tuple[str, ...]] = {}
+    for option in told:
+        table, sep, columns = option.partition("=")
+        names = tuple(c.strip() for c in columns.split(",") if c.strip())
+        if not sep or not table or not names:
+            raise ValueError(f"--key wants table=column, got {option!r}")
+        keys[table] = names[0] if len(names) == 1 else names
+    return keys
+
+
 def bronze_to_silver(args) -> dict:
     spark = build_session(app_name=args.job_name)
     tables = args.table or list_tables(spark, args.bronze_root)
@@ -46,11 +59,16 @@ def bronze_to_silver(args) -> dict:
     sizes = [input_bytes(spark, [f"{args.bronze_root.rstrip('/')}/{t}"]) for t in tables]
     size_shuffle_partitions(spark, max(sizes, default=0))
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
+    keys = table_keys(args.key or [])
+    if set(keys) - set(tables):
+        raise ValueError(f"--key names tables that are not loaded: {sorted(set(keys) - set(tables))}")
+
     def one(t: str) -> dict:
-        bronze = spark.read.parquet(f"{args.bronze_root.rstrip('/')}/{t}")
+        bronze = layers.read_table(spark, f"{args.bronze_root.rstrip('/')}/{t}")
+        key = keys.get(t)
         return clean_and_gate(
             bronze, args.silver_root, t, args.job_name, args.lineage_path, run_date,
-            gate=args.gate,
+            rules=key_rules(key) if key else None, gate=args.gate, versioned=not args.plain,
         )
 
     # tables are independent jobs: run up to --parallel of them at once
@@ -64,7 +82,7 @@ def silver_to_gold(args) -> dict:
     root = args.silver_root.rstrip("/")
 
     def read(name):
-        return spark.read.parquet(f"{root}/{name}") if name else None
+        return layers.read_table(spark, f"{root}/{name}") if name else None
 
     names = {"transactions": args.transactions, "customers": args.customers,
              "products": args.products}
@@ -73,7 +91,7 @@ def silver_to_gold(args) -> dict:
     tx = read(names["transactions"])
     if tx is None:
         raise ValueError("no transaction data in the silver layer")
-    size_shuffle_partitions(spark, input_bytes(spark, [f"{root}/{names['transactions']}"]))
+    size_shuffle_partitions(spark, layers.table_bytes(spark, f"{root}/{names['transactions']}"))
     run_date = _dt.date.fromisoformat(args.run_date) if args.run_date else None
     counts = build_gold(
         tx, args.gold_root, read(names["customers"]), read(names["products"]), args.job_name,
@@ -107,6 +125,11 @@ def main(argv=None) -> None:
     b.add_argument("--job-name", default="bronze_to_silver")
     b.add_argument("--run-date")
     b.add_argument("--gate", action="store_true", help="stop on a failed quality rule")
+    b.add_argument("--key", action="append", metavar="TABLE=COLUMN[,COLUMN]",
+                   help="the key that the quality rules of a table check (after cleaning: "
+                        "lower-case names); without one: id where there is one")
+    b.add_argument("--plain", action="store_true",
+                   help="replace the folder of a silver table instead of adding a version")
     b.add_argument("--parallel", type=int, default=3, help="tables cleaned at once")
     g = sub.add_parser("silver-to-gold")
     g.add_argument("--silver-root", required=True)

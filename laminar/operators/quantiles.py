@@ -146,6 +146,32 @@ def quantile_cuts(
     return approx_cuts(df, value, probs, relative_error, prefix)
 
 
+# Fixed value: size of a KLL sketch; with 200 a rank is off by about 1.3 % of the rows (99 %).
+KLL_K = 200
+
+
+def kll_sketches(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), k: int = KLL_K) -> DataFrame:
+    """A KLL sketch (binary, a few KB) of each value column per group ``by``. Sketches of
+    disjoint rows merge (:func:`kll_cuts`), so they can be stored and only those of changed
+    groups made anew. Nulls are left out; a group without values has a null sketch."""
+    made = [
+        F.when(F.count(v) > 0, F.kll_sketch_agg_double(F.col(v).cast("double"), k)).alias(v) for v in values
+    ]
+    return df.groupBy(*by).agg(*made) if by else df.agg(*made)
+
+
+def kll_cuts(sketches: DataFrame, values: Sequence[str], probs: Sequence[float] = QUINTILES) -> DataFrame:
+    """One row of cuts from sketches of any number of groups, merged: ``<value>_qNN``."""
+    merged = sketches.agg(*[F.kll_merge_agg_double(v).alias(v) for v in values])
+    return merged.select(
+        *[
+            F.when(F.kll_sketch_get_n_double(v) > 0, F.kll_sketch_get_quantile_double(v, F.lit(float(p)))).alias(n)
+            for v in values
+            for p, n in zip(probs, cut_names(v, probs))
+        ]
+    )
+
+
 def cut_columns(cuts: DataFrame) -> list[Column]:
     """Scalar-subquery Columns for each cut of a one-row cuts DataFrame."""
     packed = cuts.select(F.struct(*cuts.columns).alias("c")).scalar()

@@ -24,7 +24,7 @@ from laminar.operators import quality
 from laminar.operators.cleaning import KEY_COLUMN, ObservedCleaning
 from laminar.operators.quantiles import DEFAULT_RELATIVE_ERROR
 from laminar.plans import cohort, customer, product, rfm, timeseries
-from laminar.sources import layers
+from laminar.sources import layers, snapshots
 
 # Gold dataset names, in build order.
 GOLD_DATASETS = (
@@ -109,6 +109,7 @@ def clean_to_silver(
     key: str = KEY_COLUMN,
     mode: str = "overwrite",
     check: Callable[[DataFrame], None] | None = None,
+    versioned: bool = False,
 ) -> dict:
     """Clean one bronze table into silver; counts are observed during the single
     write, then one lineage row is appended.
@@ -117,14 +118,31 @@ def clean_to_silver(
     (``mode="overwrite"``), on the same or any later date: a re-run or a retried job
     gives the same silver table instead of a second copy. The new table is written
     beside the old one and takes its place when it is complete and ``check`` (called
-    with the new rows) has not raised; until then the old one stays. New files only, appended run after run, is the
-    streaming loader's job (:mod:`laminar.streaming.incremental`).
+    with the new rows) has not raised; until then the old one stays. ``versioned`` publishes
+    it as the next version of a versioned table (:mod:`laminar.sources.snapshots`), which
+    moves no data and survives a stop at any point; its row count is that of the files. New
+    files only, appended run after run, is the streaming loader's job
+    (:mod:`laminar.streaming.incremental`).
     """
     timer = layers.Timer()
     target = silver_name(table_name)
     observed = ObservedCleaning(bronze, run_ts, run_date, key)
     spark, path = bronze.sparkSession, f"{silver_root.rstrip('/')}/{target}"
-    if mode == "overwrite":
+    rows = None
+    if versioned:
+        entry = snapshots.stage(observed.frame, path, layers.PARTITION_COLUMNS)
+        rows = entry["rows"]
+        try:
+            if check is not None:
+                check(snapshots.staged_rows(spark, path, entry))
+        except Exception:
+            snapshots.discard(spark, path, entry)
+            raise
+        replace = "all" if mode == "overwrite" else "none"
+        snapshots.commit(spark, path, entry, replace, info={"job": job_name})
+        snapshots.vacuum(spark, path)
+    elif mode == "overwrite":
+        layers.recover(spark, path)
         staging = layers.staging_path(path)
         try:
             layers.write_layer(observed.frame, staging, mode="errorifexists")
@@ -137,6 +155,8 @@ def clean_to_silver(
     else:
         layers.write_layer(observed.frame, path, mode=mode)
     report = observed.report()
+    if rows is not None:
+        report["output_rows"] = rows
     report.update({"source_table": table_name, "target_table": target})
     log.info("cleaned %s -> %s: %s", table_name, target, report)
     if lineage_path:
@@ -159,6 +179,7 @@ def clean_and_gate(
     key: str = KEY_COLUMN,
     rules: tuple | None = None,
     gate: bool = True,
+    versioned: bool = False,
 ) -> dict:
     """Clean one bronze table into silver (its own FAIR pool); the ruleset is evaluated
     on the new rows before they replace the table. A failed rule raises when ``gate``, and
@@ -176,7 +197,7 @@ def clean_and_gate(
     with scheduler_pool(bronze.sparkSession, f"clean_{table_name}"):
         report = clean_to_silver(
             bronze, silver_root, table_name, job_name, lineage_path, run_date=run_date, key=key,
-            check=check,
+            check=check, versioned=versioned,
         )
     log.info("quality %s: %s", report["target_table"], verdicts)
     report["quality"] = verdicts
@@ -350,6 +371,7 @@ class LayerConfig:
     parallel: int = 3  # concurrent Spark jobs (bronze tables, gold datasets)
     size_partitions: bool = True  # raise shuffle partitions to ~1 per 256 MB of input
     gate_gold: bool = True  # each gold dataset's key complete and unique
+    versioned: bool = True  # silver tables as versions that a manifest names
 
 
 def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
@@ -379,6 +401,7 @@ def _run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         return clean_and_gate(
             layers.read_table(spark, source), cfg.silver_root, name, cfg.cleaning_job,
             cfg.lineage_path, cfg.run_date, cfg.key_column, rules(silver_name(name)),
+            versioned=cfg.versioned,
         )
 
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel), thread_name_prefix="clean") as pool:
@@ -409,3 +432,54 @@ def _run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
         gate=cfg.gate_gold,
     )
     return {"cleaning": reports, "gold": counts}
+
+
+@dataclass
+class IncrementalConfig:
+    """An incremental load of silver tables and the gold datasets built from it."""
+
+    sources: dict  # silver table name -> laminar.streaming.incremental.Source
+    silver_root: str
+    gold_root: str
+    checkpoint_root: str
+    transactions_table: str
+    customers_table: str | None = None
+    products_table: str | None = None
+    gold_job: str = "silver_to_gold"
+    relative_error: float = DEFAULT_RELATIVE_ERROR
+    as_of: object = None
+    run_date: _dt.date | None = None
+    parallel: int = 3
+    gate_gold: bool = True
+
+
+def run_incremental(spark: SparkSession, cfg: IncrementalConfig) -> dict:
+    """Load new files of every table (S5), publish them as one load, and recompute gold from
+    that load: a run that stops in between leaves the gold of the load before, and the next
+    run loads nothing twice."""
+    from laminar.session import sized_shuffles
+    from laminar.streaming.incremental import load_tables
+
+    loaded = load_tables(
+        spark, cfg.sources, cfg.silver_root, cfg.checkpoint_root, cfg.run_date, cfg.parallel
+    )
+    versions = loaded["versions"]
+    if cfg.transactions_table not in snapshots.current_load(spark, cfg.silver_root)["versions"]:
+        raise ValueError("no transaction data in the silver layer")
+
+    def silver(table):
+        if table is None or table not in snapshots.current_load(spark, cfg.silver_root)["versions"]:
+            return None
+        return snapshots.read_load(spark, cfg.silver_root, table)
+
+    root = cfg.silver_root.rstrip("/")
+    size = snapshots.size_bytes(
+        spark, f"{root}/{cfg.transactions_table}", versions.get(cfg.transactions_table)
+    )
+    with sized_shuffles(spark, size):
+        counts = build_gold(
+            silver(cfg.transactions_table), cfg.gold_root, silver(cfg.customers_table),
+            silver(cfg.products_table), cfg.gold_job, cfg.as_of, run_date=cfg.run_date,
+            relative_error=cfg.relative_error, parallel=cfg.parallel, gate=cfg.gate_gold,
+        )
+    return {"load": loaded["load"], "batches": loaded["batches"], "gold": counts}

@@ -19,7 +19,10 @@ from laminar.operators.quantiles import (
     DEFAULT_RELATIVE_ERROR,
     QUINTILES,
     cut_columns,
+    cut_names,
     exact_cuts_many,
+    kll_cuts,
+    kll_sketches,
 )
 
 RFM_VALUES = ("recency", "frequency", "monetary")
@@ -133,28 +136,96 @@ def rfm_cut_table(base: DataFrame, relative_error: float = DEFAULT_RELATIVE_ERRO
     return out
 
 
+# Fixed value: customers are sketched in so many groups by a hash of their id.
+SKETCH_GROUPS = 64
+
+
+def write_sketches(
+    customers_base: DataFrame, path: str, groups: list[int] | None = None, n_groups: int = SKETCH_GROUPS
+) -> None:
+    """Store KLL sketches of the customers' last day, frequency and monetary value, one row
+    per group of customers (``group=<n>`` folders; those of ``groups`` are replaced, default
+    all). Last days, not recencies, are sketched: they do not move when the reference date
+    does, so a load needs to sketch only the groups that its customers are in."""
+    group = F.pmod(F.xxhash64("customer_id"), F.lit(n_groups)).cast("int")
+    rows = customers_base.select(
+        group.alias("group"),
+        F.unix_date(F.col("last_transaction_date").cast("date")).alias("last_day"),
+        F.col("total_transactions").alias("frequency"),
+        F.col("__sum").alias("monetary"),
+    )
+    if groups is not None:
+        rows = rows.where(F.col("group").isin(groups))
+    made = kll_sketches(rows, ["last_day", "frequency", "monetary"], ["group"])
+    made = made.withColumn("latest", _latest_day(customers_base))
+    writer = made.coalesce(1).write.partitionBy("group").option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(path)
+
+
+def _latest_day(customers_base: DataFrame):
+    return customers_base.select(F.unix_date(F.max("last_transaction_date").cast("date"))).scalar()
+
+
+def sketched_cuts(sketches: DataFrame) -> DataFrame:
+    """The row of twelve cuts from stored sketches, merged. Recency cut p is the reference
+    day less the last day's cut 1 - p."""
+    mirrored = [round(1 - p, 10) for p in QUINTILES]
+    days = kll_cuts(sketches, ["last_day"], mirrored)
+    others = kll_cuts(sketches, ["frequency", "monetary"])
+    latest = sketches.select(F.max("latest")).scalar()
+    recency = [
+        (latest - F.col(c)).alias(n) for c, n in zip(days.columns, cut_names("recency", QUINTILES))
+    ]
+    # both sides are one row of aggregates
+    return days.select(*recency).join(others, how="cross")
+
+
+def cut_ranks(base: DataFrame, cuts: DataFrame) -> DataFrame:
+    """(measure, probability, customers, below, up_to): how many customers have a value below
+    each cut and up to it: its true rank, in one pass over ``base``."""
+    cols = cut_columns(cuts)
+    told = [(v, p, cols[i * len(QUINTILES) + j]) for i, v in enumerate(RFM_VALUES) for j, p in enumerate(QUINTILES)]
+    counts = base.agg(
+        *[F.count_if(F.col(v) < c).alias(f"below_{i}") for i, (v, _, c) in enumerate(told)],
+        *[F.count_if(F.col(v) <= c).alias(f"up_to_{i}") for i, (v, _, c) in enumerate(told)],
+        *[F.count(v).alias(f"n_{v}") for v in RFM_VALUES],
+    )
+    rows = [
+        F.struct(
+            F.lit(v).alias("measure"), F.lit(float(p)).alias("probability"), F.col(f"n_{v}").alias("customers"),
+            F.col(f"below_{i}").alias("below"), F.col(f"up_to_{i}").alias("up_to"),
+        )
+        for i, (v, p, _) in enumerate(told)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def rfm_segments(
     tx: DataFrame,
     relative_error: float = DEFAULT_RELATIVE_ERROR,
     recency_mode: str = "standard",
     customers_base: DataFrame | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Scores 1..5 from quintile cuts, the three-digit code and the segment.
 
     ``recency_mode="as_written"`` reproduces the published recency chain (see
     :func:`laminar.functions.scoring.recency_score`). ``customers_base`` reuses
-    precomputed per-customer aggregates (see :func:`rfm_base`).
+    precomputed per-customer aggregates (see :func:`rfm_base`), ``cuts`` a row of cuts from
+    stored sketches (see :func:`sketched_cuts`).
     """
     base = rfm_base(tx, customers_base)
-    if relative_error == 0:
-        base = pin_base(base)
+    if cuts is None:
+        if relative_error == 0:
+            base = pin_base(base)
+        cuts = _cut_row(base, relative_error)
     # one scalar subquery carrying all twelve cuts
-    cols = cut_columns(_cut_row(base, relative_error))
+    cols = cut_columns(cuts)
     k = len(QUINTILES)
-    cuts = {v: cols[i * k:(i + 1) * k] for i, v in enumerate(RFM_VALUES)}
-    r = recency_score(F.col("recency"), cuts["recency"], recency_mode)
-    f = higher_is_better_score(F.col("frequency"), cuts["frequency"])
-    m = higher_is_better_score(F.col("monetary"), cuts["monetary"])
+    by_value = {v: cols[i * k:(i + 1) * k] for i, v in enumerate(RFM_VALUES)}
+    r = recency_score(F.col("recency"), by_value["recency"], recency_mode)
+    f = higher_is_better_score(F.col("frequency"), by_value["frequency"])
+    m = higher_is_better_score(F.col("monetary"), by_value["monetary"])
     scored = base.withColumns({"r_score": r, "f_score": f, "m_score": m})
     return scored.withColumn(
         "rfm_score", rfm_code(F.col("r_score"), F.col("f_score"), F.col("m_score"))

@@ -753,8 +753,8 @@ def _gold_counts_sql() -> str:
 
 @register("job_summary", _gold_counts_sql())
 def q_job_summary(spark, sf_dir):
-    """All six gold datasets written, then summarized from the written tables
-    (processing time and timestamps left out)."""
+    """All six gold datasets written, then summarized by the counts of their written
+    files (processing time and timestamps left out)."""
     from laminar.plans.layers import JOB_SUMMARY, build_gold
     from laminar.sources import layers
 
@@ -967,3 +967,7 @@ def q_dq_ruleset_gold(spark, sf_dir):
         testdata.customers(spark, sf_dir), testdata.transactions(spark, sf_dir), as_of=AS_OF
     )
     return quality.evaluate_ruleset(df, default_rules(df, "customer_id"))
+
+
+# whole flows are registered by a module of their own
+from laminar import registry_flows  # noqa: E402, F401

@@ -63,13 +63,30 @@ def read_table(spark: SparkSession, name_or_path: str, merge_schema: bool = Fals
     """A catalog table by name, or a Parquet folder by path.
 
     ``merge_schema`` unions the file schemas (columns added over time), as schema
-    discovery would; partition columns come from the ``name=value`` folders either way.
+    discovery would; partition columns come from the ``name=value`` folders either way. A
+    folder that holds a versioned table is read at its latest version; a table that a stopped
+    :func:`publish` left aside is put back first.
     """
+    from laminar.sources import snapshots
+
     if "/" in name_or_path or ":" in name_or_path:
+        if snapshots.is_versioned(spark, name_or_path):
+            return snapshots.read(spark, name_or_path)
+        recover(spark, name_or_path)
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(name_or_path)
     return spark.table(name_or_path)
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a layer table's files (of its latest version, if it is versioned)."""
+    from laminar.session import input_bytes
+    from laminar.sources import snapshots
+
+    if snapshots.is_versioned(spark, path):
+        return snapshots.size_bytes(spark, path)
+    return input_bytes(spark, [path])
+
+
 def _parquet_writer(df: DataFrame, partition_cols: Sequence[str]):
     writer = (
         df.write.option("compression", "snappy")
@@ -97,6 +114,7 @@ def write_layer(
     if mode != "overwrite":
         _parquet_writer(df, partition_cols).mode(mode).parquet(path)
         return
+    recover(df.sparkSession, path)
     staging = staging_path(path)
     try:
         _parquet_writer(df, partition_cols).mode("errorifexists").parquet(staging)
@@ -127,7 +145,9 @@ def publish(spark: SparkSession, staging: str, path: str) -> None:
 
     The table stays as it is until the new content is complete: a failed write leaves the
     old one. The old folder is renamed aside, put back if the second rename fails, and
-    removed at the end; between the two renames a reader finds no table.
+    removed at the end; between the two renames a reader finds no table, and :func:`recover`
+    puts the old one back if the job stopped there. Versioned tables
+    (:mod:`laminar.sources.snapshots`) have no such gap and move no data.
     """
     new, fs = _file_system(spark, staging)
     target, _ = _file_system(spark, path)
@@ -139,10 +159,34 @@ def publish(spark: SparkSession, staging: str, path: str) -> None:
         if had:
             fs.rename(old, target)
         raise OSError(f"cannot publish {staging} as {path}")
+    inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, new.getName())
+    if fs.exists(inside):  # a table had come back there: a rename goes into it then
+        fs.delete(inside, True)
+        raise OSError(f"{path} came back while {staging} was published")
     if had:
         fs.delete(old, True)
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back the table that a stopped :func:`publish` had renamed aside, if nothing has
+    its place; whether it did. (While a publish runs, between its renames, this would undo
+    the first of them: the publish then fails and the old table stays.)"""
+    target, fs = _file_system(spark, path)
+    if fs.exists(target):
+        return False
+    parent = target.getParent()
+    name = f"_old-{target.getName()}-"
+    if parent is None or not fs.exists(parent):
+        return False
+    aside = [st for st in fs.listStatus(parent) if st.getPath().getName().startswith(name)]
+    # the suffix of a publish has 12 hex digits: tables with longer names are others
+    aside = [st for st in aside if len(st.getPath().getName()) == len(name) + 12]
+    if not aside:
+        return False
+    latest = max(aside, key=lambda st: st.getModificationTime())
+    return bool(fs.rename(latest.getPath(), target))
+
+
 def add_gold_metadata(
     df: DataFrame,
     dataset_name: str,
@@ -188,27 +232,35 @@ def write_gold(
 ) -> dict:
     """Write one gold dataset, replacing only this run's partition.
 
-    Returns ``{"path", "record_count"}``; the count is observed during the write
-    (no second pass over the data). An empty result leaves an empty partition: rows that
-    an earlier run of the day wrote go.
+    Returns ``{"path", "record_count"}``; the count is read from the footers of the files
+    written, which retried tasks cannot inflate. An empty result leaves an empty partition:
+    rows that an earlier run of the day wrote go.
     """
+    spark = df.sparkSession
     path = f"{gold_root.rstrip('/')}/{dataset_name}"
-    obs = Observation(f"gold_{dataset_name}_{uuid.uuid4().hex[:8]}")  # unique per query
-    out = add_gold_metadata(df, dataset_name, run_ts, run_date).observe(
-        obs, F.count(F.lit(1)).alias("rows")
-    )
+    out = add_gold_metadata(df, dataset_name, run_ts, run_date)
+    columns = gold_partition_columns(out)
+    day = run_date or spark.range(1).select(F.current_date()).first()[0]
+    part = "/".join([path, *[f"{k}={v}" for k, v in zip(columns, (day.year, day.month, day.day))]])
+    before = _file_names(spark, part)
     (
-        _parquet_writer(out, gold_partition_columns(out))
+        _parquet_writer(out, columns)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
     )
-    n = observed_count(obs)
-    if n == 0:  # dynamic overwrite replaces only partitions that have rows
-        day = run_date or df.sparkSession.range(1).select(F.current_date()).first()[0]
-        parts = zip(gold_partition_columns(out), (day.year, day.month, day.day))
-        remove_folder(df.sparkSession, "/".join([path, *[f"{k}={v}" for k, v in parts]]))
-    return {"path": path, "record_count": n}
+    # Dynamic overwrite replaces only partitions that have rows: files of before that are
+    # still there (names are new in every write) belong to an earlier run.
+    if _file_names(spark, part) <= before:
+        remove_folder(spark, part)
+        return {"path": path, "record_count": 0}
+    written = spark.read.schema(out.drop(*columns).schema).parquet(part)
+    return {"path": path, "record_count": written.count()}
+
+
+def _file_names(spark: SparkSession, path: str) -> set[str]:
+    p, fs = _file_system(spark, path)
+    return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def lineage_record(
