@@ -8,15 +8,20 @@ the shorter prefix. Hence the encodings of all prefixes form a tree. Whatever fo
 the final path runs through one of the last L prefixes, L being the longest token in
 bytes: the merge list's sufficient lookahead. Tokens below the point where the paths of
 these L prefixes meet are stable: they are emitted and forgotten. Memory is bounded by
-the lookahead, not by the piece. A piece no longer than the window is finished before
-anything in it can become stable, so its merges are applied directly.
+the lookahead, not by the piece. The tokens that end at each byte come from an automaton
+over the vocabulary.
+
+Whether two neighbours stay apart is read off the merge list: as ranks go up, the last token
+of the left one and the first token of the right one grow step by step, and the two meet as
+a pair only if that pair's merge comes before the next step of either.
 
 Ids leave in blocks; the decoder maps them to bytes and runs a UTF-8 state machine over
 block limits, so that neither the ids nor the decoded text of a long text are held whole
 (``round_trip``). ``encode`` and ``decode`` give and take arrays of ids.
 
 Scale: no shuffle. The model file (a few MB, its size is fixed) is read once by the
-driver and broadcast; workers keep a bounded cache of recent pieces.
+driver and broadcast; workers keep a bounded cache of recent pieces, each with the bytes of
+its ids and the bytes that its ids stand for.
 """
 
 from __future__ import annotations
@@ -25,9 +30,12 @@ import codecs
 import hashlib
 import heapq
 import json
+import sys
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import islice
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +44,11 @@ from laminar.llm.common import workers_import_package
 
 # Fixed value: how byte-level models cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_PIECES = 100_000
+CACHE_PIECES = 300_000  # pieces of the younger and of the older half of the cache
+CACHE_PAIRS = 1_000_000
 CACHE_BYTES = 64  # longer pieces are not worth keeping
-BLOCK = 8_192  # ids handed on at a time
+BLOCK = 8_192  # pieces, or ids of a long piece, handed on at a time
+NEVER = float("inf")
 
 
 def byte_letters() -> dict[str, int]:
@@ -70,8 +80,12 @@ class Model:
             a, b = m if isinstance(m, list) else m.split(" ")
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.lookahead = max(map(len, self.id_of))
-        self.lengths = sorted({len(b) for b in self.id_of})
         self.window = 2 * self.lookahead
+        self.tokens = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        for data, i in self.id_of.items():
+            self.tokens.add_word(data.decode("latin-1"), (i, len(data)))
+        self.tokens.make_automaton()
+        self.made_of, self.in_order = self._splits()
         self.find = regex.compile(PIECES).finditer
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split = (
@@ -79,8 +93,39 @@ class Model:
             if self.special
             else lambda s: [s]
         )
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.fits: dict[int, bool] = {}
+        self.whole: dict[int, bool] = {}
+        self.edges: tuple[dict, dict] = ({}, {})
+
+    def _splits(self) -> tuple[dict[int, tuple[int, int, int]], bool]:
+        """(token -> rank and parts of its merge, whether the merge list is in order: each
+        token made by one merge, after its parts)."""
+        made_of: dict[int, tuple[int, int, int]] = {}
+        in_order = True
+        for (a, b), (rank, token) in self.merges.items():
+            in_order &= token not in made_of
+            made_of[token] = (rank, a, b)
+        for rank, a, b in made_of.values():
+            in_order &= all(p not in made_of or made_of[p][0] < rank for p in (a, b))
+        return made_of, in_order
+
+    def edge(self, token: int, side: int) -> list[tuple[int, float]]:
+        """How the last (side 1) or first (side 0) token within a token grows: each with the
+        rank at which it is merged into the next."""
+        known = self.edges[side].get(token)
+        if known is None:
+            known, ends = [], NEVER
+            while True:
+                known.append((token, ends))
+                made = self.made_of.get(token)
+                if made is None:
+                    break
+                ends, token = made[0], made[2 if side else 1]
+            known.reverse()
+            self.edges[side][known[-1][0]] = known
+        return known
 
     def merged(self, data: bytes) -> list[int]:
         """Encoding of a short piece: the merge of lowest rank first, wherever it occurs."""
@@ -105,45 +150,105 @@ class Model:
             ids = out
         return ids
 
+    def alone(self, token: int) -> bool:
+        """Whether a token is the encoding of its own bytes."""
+        known = self.whole.get(token)
+        if known is None:
+            known = self.whole[token] = self.merged(self.bytes_of[token]) == [token]
+        return known
+
+    def apart(self, a: int, b: int) -> bool:
+        """Whether b may follow a, both alone: no merge ever crosses their border."""
+        if not self.in_order:
+            return self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        get = self.merges.get
+        left, right = iter(self.edge(a, 1)), iter(self.edge(b, 0))
+        (x, x_ends), (y, y_ends) = next(left), next(right)
+        while True:
+            crossing = get((x, y))
+            # of equal ranks the leftmost goes first
+            if crossing is not None and crossing[0] < x_ends and crossing[0] <= y_ends:
+                return False
+            if x_ends == NEVER and y_ends == NEVER:
+                return True
+            if x_ends <= y_ends:
+                x, x_ends = next(left)
+            else:
+                y, y_ends = next(right)
+
     def compatible(self, a: int | None, b: int) -> bool:
         """Whether b may follow a (None: whether b may come first)."""
-        key = (-1 if a is None else a, b)
+        if a is None:
+            return self.alone(b)
+        key = a << 32 | b
         known = self.fits.get(key)
         if known is None:
-            data = self.bytes_of[b] if a is None else self.bytes_of[a] + self.bytes_of[b]
-            known = self.merged(data) == ([b] if a is None else [a, b])
-            if len(self.fits) >= CACHE_PIECES:
+            known = self.alone(b) and self.apart(a, b)
+            if len(self.fits) >= CACHE_PAIRS:
                 self.fits.clear()
             self.fits[key] = known
         return known
 
     def stream(self, data: bytes) -> Iterator[int]:
         """Encoding of a piece of any length, emitting tokens once they are stable."""
-        base, last, start = 0, {0: None}, {0: 0}
-        for end in range(1, len(data) + 1):
-            for size in self.lengths:
-                at = end - size
-                if at < base:
-                    break
-                if at not in last:
-                    continue
-                token = self.id_of.get(data[at:end])
-                if token is not None and self.compatible(last[at], token):
-                    last[end], start[end] = token, at
-                    break
-            done = end == len(data)
-            if done or end - base >= 2 * self.window and (end - base) % self.lookahead == 0:
-                first = end if done else max(base + 1, end - self.lookahead + 1)
-                meet = self._meeting([p for p in range(first, end + 1) if p in last], start)
-                path = []
-                at = meet
-                while at > base:
-                    path.append(last[at])
-                    at = start[at]
-                yield from reversed(path)
+        base, done = 0, 0
+        last: dict[int, int | None] = {0: None}
+        start = {0: 0}
+        fits, compatible = self.fits.get, self.compatible
+        for at_end, (token, size) in self.tokens.iter(data.decode("latin-1")):
+            end = at_end + 1
+            if end == done:  # the last token of this prefix is known
+                continue
+            if done - base >= 2 * self.window and (done - base) % self.lookahead == 0:
+                first = max(base + 1, done - self.lookahead + 1)
+                meet = self._meeting([p for p in range(first, done + 1) if p in last], start)
+                yield from self._path(base, meet, last, start)
                 base = meet
                 last = {p: t for p, t in last.items() if p >= base}
                 start = {p: s for p, s in start.items() if p >= base}
+            at = end - size
+            if at not in last or at < base:
+                continue
+            before = last[at]
+            known = None if before is None else fits(before << 32 | token)
+            if known or known is None and compatible(before, token):
+                last[end], start[end] = token, at
+                done = end
+        yield from self._path(base, len(data), last, start)
+
+    def stream_short(self, data: bytes) -> array:
+        """The transducer on a piece no longer than the window, where nothing is stable before
+        the end: the last token of every prefix, then the path from the end."""
+        last, start = [0] * (len(data) + 1), [0] * (len(data) + 1)
+        fits, compatible, done = self.fits, self.compatible, 0
+        for end, (token, size) in self.tokens.iter(data.decode("latin-1")):
+            if end < done:  # the last token of the prefix data[:end + 1] is known
+                continue
+            at = end + 1 - size
+            if at:
+                before = last[at]
+                key = before << 32 | token
+                if not (fits[key] if key in fits else compatible(before, token)):
+                    continue
+            elif not compatible(None, token):
+                continue
+            done = end + 1
+            last[done], start[done] = token, at
+        path = array("I")
+        while done:
+            path.append(last[done])
+            done = start[done]
+        path.reverse()
+        return path
+
+    @staticmethod
+    def _path(base: int, at: int, last: dict, start: dict) -> list[int]:
+        path = []
+        while at > base:
+            path.append(last[at])
+            at = start[at]
+        path.reverse()
+        return path
 
     @staticmethod
     def _meeting(ends: list[int], start: dict[int, int]) -> int:
@@ -158,41 +263,54 @@ class Model:
                 return top
             heapq.heappush(heap, -start[top])
 
-    def encode_to(self, text: str, emit: Callable[[array], None]) -> None:
-        """Hand the ids of a text to ``emit`` in blocks."""
-        out, cache = array("I"), self.cache
+    def _kept(self, piece: str, data: bytes) -> tuple[bytes, bytes]:
+        """(bytes of the ids, bytes they stand for) of a short piece, from the cache or anew."""
+        known = self.old.get(piece)
+        if known is None:
+            ids = self.stream_short(data)
+            known = (_little_endian(ids), b"".join([self.bytes_of[i] for i in ids]))
+        if len(self.young) >= CACHE_PIECES:
+            self.old, self.young = self.young, {}
+        self.young[piece] = known
+        return known
+
+    def blocks(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """The ids of a text as little-endian 32-bit integers and the bytes they stand for,
+        block by block."""
         for part in self.split(text) if self.special else [text]:
             if part in self.special:
-                out.append(self.special[part])
+                i = self.special[part]
+                yield _little_endian(array("I", [i])), self.bytes_of[i]
                 continue
+            ids: list[bytes] = []
+            said: list[bytes] = []
             for found in self.find(part):
                 piece = found.group()
-                ids = cache.get(piece)
-                if ids is None:
+                known = self.young.get(piece)
+                if known is None:
                     data = piece.encode()
-                    if len(data) > self.window:
-                        for i in self.stream(data):
-                            out.append(i)
-                            if len(out) >= BLOCK:
-                                emit(out)
-                                out = array("I")
+                    if len(data) > CACHE_BYTES:
+                        yield b"".join(ids), b"".join(said)
+                        ids, said = [], []
+                        stream = self.stream(data)
+                        while some := array("I", islice(stream, BLOCK)):
+                            yield _little_endian(some), b"".join([self.bytes_of[i] for i in some])
                         continue
-                    ids = tuple(self.merged(data))
-                    if len(data) <= CACHE_BYTES:
-                        if len(cache) >= CACHE_PIECES:
-                            cache.clear()
-                        cache[piece] = ids
-                out.extend(ids)
-                if len(out) >= BLOCK:
-                    emit(out)
-                    out = array("I")
-        if out:
-            emit(out)
+                    known = self._kept(piece, data)
+                ids.append(known[0])
+                said.append(known[1])
+                if len(ids) >= BLOCK:
+                    yield b"".join(ids), b"".join(said)
+                    ids, said = [], []
+            yield b"".join(ids), b"".join(said)
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        self.encode_to(text, ids.extend)
-        return ids
+        ids = array("I")
+        for block, _ in self.blocks(text):
+            ids.frombytes(block)
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tolist()
 
     def decoder(self) -> tuple[Callable[[array], str], Callable[[], str]]:
         """(feed, end): text of a block of ids as far as its characters are whole, and what
@@ -213,26 +331,18 @@ class Model:
     def round_trip(self, text: str) -> tuple[int, str, str]:
         """(number of ids, sha256 of the ids, sha256 of the decoded text) in constant memory."""
         count, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
-        feed, end = self.decoder()
-
-        def emit(block: array) -> None:
-            nonlocal count
-            count += len(block)
-            ids_hash.update(_little_endian(block))
-            text_hash.update(feed(block).encode())
-
-        self.encode_to(text, emit)
-        text_hash.update(end().encode())
+        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        for ids, data in self.blocks(text):
+            count += len(ids) // 4
+            ids_hash.update(ids)
+            text_hash.update(machine.decode(data).encode())
+        text_hash.update(machine.decode(b"", True).encode())
         return count, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
 def _little_endian(block: array) -> bytes:
-    import sys
-
-    if block.itemsize != 4:
-        block = array("L", block)
     if sys.byteorder != "little":
-        block = array(block.typecode, block)
+        block = array("I", block)
         block.byteswap()
     return block.tobytes()
 

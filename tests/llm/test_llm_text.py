@@ -242,3 +242,57 @@ def test_lm_edge_rows(spark):
     none = language_model.score(docs, docs.limit(0)).select("lm.*").collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in none)
     assert language_model.score(docs.limit(0), docs).count() == 0
+
+
+def bpe_model():
+    return bpe.Model(open(BPE_PATH, encoding="utf-8").read())
+
+
+def test_bpe_every_uncached_piece_goes_through_the_transducer(monkeypatch):
+    model = bpe_model()
+    seen = []
+    for name in ("stream", "stream_short"):
+        real = getattr(bpe.Model, name)
+        monkeypatch.setattr(bpe.Model, name, lambda self, data, real=real: (seen.append(data), real(self, data))[1])
+    merged = []
+    real_merged = bpe.Model.merged
+    monkeypatch.setattr(bpe.Model, "merged", lambda self, data: (merged.append(data), real_merged(self, data))[1])
+    text = "the unforeseeable consequences of " + "x" * 100 + " the"
+    model.encode(text)
+    assert seen == [b"the", b" unforeseeable", b" consequences", b" of", b" " + b"x" * 100, b" the"]
+    assert all(data in model.id_of for data in merged)  # only single tokens are looked at
+
+
+def test_bpe_borders_against_merging():
+    """Whether two tokens stay apart, read off the merge list, is what merging them says."""
+    import random
+
+    model = bpe_model()
+    assert model.in_order
+    rng = random.Random(7)
+    tokens = [i for i in model.id_of.values() if model.alone(i)]
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(3000)]
+    pairs += [(i, i) for i in rng.sample(tokens, 300)] + rng.sample(sorted(model.merges), 1000)
+    seen = {model.apart(a, b): (a, b) for a, b in pairs}
+    assert set(seen) == {True, False}
+    for a, b in pairs:
+        assert model.apart(a, b) == (model.merged(model.bytes_of[a] + model.bytes_of[b]) == [a, b])
+
+
+def test_bpe_short_and_streamed_pieces_agree():
+    import random
+
+    model, rng = bpe_model(), random.Random(9)
+    for _ in range(300):
+        data = "".join(rng.choices("aaabeth \u00e4\U0001f600", k=rng.randrange(1, 40))).encode()
+        assert list(model.stream_short(data)) == list(model.stream(data)) == model.merged(data)
+
+
+def test_bpe_cache_halves(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    model, whole = bpe_model(), bpe_model()
+    text = " ".join(f"word{i % 7} other{i % 11}" for i in range(60))
+    monkeypatch.setattr(bpe, "BLOCK", 5)
+    ids = model.encode(text)
+    assert len(model.young) <= 3 and len(model.old) <= 3
+    assert ids == whole.encode(text) and whole.decode(ids) == text
