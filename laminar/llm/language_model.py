@@ -2,11 +2,13 @@
 
 Training counts words and word pairs (each text ends with an end token, which is also the
 context of the next text's first word). A pair with count c is kept as its quantised
-log frequency q = 1 + floor(log2 c): the filter holds the pair at levels 1 to q, and a
-lookup probes level after level until one is missing. Per context the filter also holds
-how often it occurs (C) and how many different words follow it (T). The first level
-takes ``FIRST_HASHES`` bits per entry (an unseen pair passes with about 2 to that power,
-inverse), higher ones ``NEXT_HASHES``.
+log frequency q, the number of whole numbers round(STEP ** k) up to c (counts to 5 are exact,
+above that a level spans about a quarter): the filter holds the pair at levels 1 to q, and
+a lookup probes level after level until one is missing. Per context the filter also holds
+how often it occurs (C) and how many different words follow it (T). ``HASHES`` says how many
+bits an entry has per level: an unseen pair passes the first with about 2 to that power,
+inverse; a pair seen once passes the second just as rarely, because once or twice matters
+most after discounting; further levels take fewer.
 
 Probability of w after h: half of absolute discounting (max(c(hw) - D, 0) + D T(h) p(w)) /
 c(h), with D from the counts of counts of all pairs, and half of the word's own p(w) =
@@ -36,13 +38,13 @@ from laminar.llm.common import fold, pinned, unused, workers_import_package
 
 HEAD_WORDS = 1 << 18
 MAX_FILTER_BYTES = 128 << 20
-FIRST_HASHES, NEXT_HASHES = 10, 3
-SEGMENT_CHARS = 8_000_000  # training text per segment: about 1.3 million tokens
+HASHES = (10, 8, 4)  # of the first, the second and each further level
+SEGMENT_CHARS = 2_000_000  # training text per segment: about 300,000 tokens
+STEP = 1.25  # ratio of neighbouring levels of counts
 HOT_SHARE = 1000  # a context with more than N / HOT_SHARE tokens is spread over segments
 MIXTURE = 0.5
-MAX_LEVEL = 64
-_FLUSH = 1 << 20
-_CACHE = 1 << 19
+_FLUSH = 1 << 19
+_CACHE = 1 << 17
 _CHUNK = 1 << 18
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: increment of the mixing function
@@ -88,15 +90,24 @@ def segment_of(h: np.ndarray, keys: np.ndarray, hot: np.ndarray, segments: int)
     return (mix64(np.where(spread, keys, h) ^ _GOLD) % np.uint64(segments)).astype(np.int64)
 
 
+# the least count of each level, from 1 up, in an array that a level indexes from 1
+_LEAST = np.unique(np.round(STEP ** np.arange(int(62 / np.log2(STEP)))).astype(np.int64))
+MAX_LEVEL = len(_LEAST)
+_MIDDLE = np.concatenate(([0.0], (_LEAST[:-1] + _LEAST[1:] - 1) / 2, [float(_LEAST[-1])]))
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     """Quantised log frequency of counts >= 1."""
-    return np.minimum(np.floor(np.log2(counts.astype(np.float64))).astype(np.int64) + 1, MAX_LEVEL)
+    return np.searchsorted(_LEAST, counts, side="right")
 
 
 def value_of(level: np.ndarray) -> np.ndarray:
-    """Count that a level stands for: 0, 1, then the middle of its range of counts."""
-    low = np.exp2(np.maximum(level - 1, 0).astype(np.float64))
-    return np.where(level == 0, 0.0, np.where(level == 1, 1.0, low * 1.5 - 0.5))
+    """Count that a level stands for: 0 for none, else the middle of its range of counts."""
+    return _MIDDLE[level]
+
+
+def hashes_of(level: int) -> int:
+    return HASHES[min(level, len(HASHES)) - 1]
 
 
 def _spots(keys: np.ndarray, level: int):
@@ -107,29 +118,41 @@ def _spots(keys: np.ndarray, level: int):
 def build_segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Filter of these entries: its size in bits (8 bytes), then the bits."""
     q = levels(counts)
-    wanted = FIRST_HASHES * len(keys) + NEXT_HASHES * int((q - 1).sum())
+    order = np.argsort(-q, kind="stable")  # the keys of each level come first
+    keys, q = keys[order], q[order]
+    per_entry = np.cumsum([0, *map(hashes_of, range(1, MAX_LEVEL + 1))])
+    wanted = int(per_entry[q].sum())
     bits = max(64, int(wanted / np.log(2)) // 8 * 8 + 8)
     on = np.zeros(bits, dtype=bool)
     for level in range(1, int(q.max(initial=0)) + 1):
-        x, step = _spots(keys[q >= level], level)
-        for i in range(FIRST_HASHES if level == 1 else NEXT_HASHES):
+        x, step = _spots(keys[: np.searchsorted(-q, -level, side="right")], level)
+        for i in range(hashes_of(level)):
             on[(x + np.uint64(i) * step) % np.uint64(bits)] = True
     return np.uint64(bits).tobytes() + np.packbits(on, bitorder="little").tobytes()
 
 
+def packed(segments, total: int, n_bytes: int):
+    """(bits, start, data) of segments (number, bytes): one array holds them all."""
+    bits, start = np.ones(total, dtype=np.uint64), np.full(total, -1, dtype=np.int64)
+    data, at = np.zeros(max(1, n_bytes), dtype=np.uint8), 0
+    for k, part in segments:
+        bits[k] = np.frombuffer(part[:8], dtype=np.uint64)[0]
+        start[k] = at
+        body = np.frombuffer(part, dtype=np.uint8, offset=8)
+        data[at : at + len(body)] = body
+        at += len(body)
+    return bits, start, data
+
+
 class Filter:
-    """Lookups in some of the segments (number -> bytes); the others count as empty."""
-
-    def __init__(self, segments: dict[int, bytes], total: int):
-        self.bits = np.ones(total, dtype=np.uint64)
-        self.start = np.full(total, -1, dtype=np.int64)
-        at, parts = 0, []
-        for k, data in sorted(segments.items()):
-            self.bits[k] = np.frombuffer(data[:8], dtype=np.uint64)[0]
-            self.start[k] = at
-            parts.append(np.frombuffer(data, dtype=np.uint8, offset=8))
-            at += len(parts[-1])
-        self.data = np.concatenate(parts) if parts else np.zeros(1, dtype=np.uint8)
+    """Lookups in some of the segments, as ``packed``; the others count as empty."""
+
+    def __init__(self, bits: np.ndarray, start: np.ndarray, data: np.ndarray):
+        self.bits, self.start, self.data = bits, start, data
+
+    @classmethod
+    def of(cls, segments: dict[int, bytes], total: int):
+        return cls(*packed(segments.items(), total, sum(map(len, segments.values()))))
 
     def level(self, keys: np.ndarray, segs: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), dtype=np.int64)
@@ -138,7 +161,7 @@ class Filter:
             if not len(alive):
                 break
             x, step = _spots(keys[alive], level)
-            for i in range(FIRST_HASHES if level == 1 else NEXT_HASHES):
+            for i in range(hashes_of(level)):
                 s = segs[alive]
                 spot = (x + np.uint64(i) * step) % self.bits[s]
                 byte = self.data[self.start[s] + (spot >> np.uint64(3)).astype(np.int64)]
@@ -173,8 +196,8 @@ def _pairs_of(batches, hot: np.ndarray, segments: int):
     hashes, held, size = _Hashes(), [], 0
 
     def flush():
-        h = np.concatenate([np.concatenate(([np.uint64(END)], x[:-1])) for x in held])
-        key = pair_key(h, np.concatenate(held))
+        h = np.concatenate([np.concatenate(([context], x[:-1])) for context, x in held])
+        key = pair_key(h, np.concatenate([x for _, x in held]))
         key, first, n = np.unique(key, return_index=True, return_counts=True)
         h = h[first]
         return pd.DataFrame(
@@ -191,15 +214,13 @@ def _pairs_of(batches, hot: np.ndarray, segments: int):
             words = list(map(hashes.__getitem__, tokens(text)))
             words.append(END)
             for k in range(0, len(words), _FLUSH):
-                # a longer text is counted in parts that overlap by their context
-                part = words[k : k + _FLUSH]
-                held.append(np.array(part, dtype=np.uint64))
-                if k:
-                    held[-1] = np.array(words[k - 1 : k + _FLUSH], dtype=np.uint64)
+                # a longer text is counted in parts; the word before a part is its context
+                part = np.array(words[k : k + _FLUSH], dtype=np.uint64)
+                held.append((np.uint64(words[k - 1] if k else END), part))
                 size += len(part)
-            if size >= _FLUSH:
-                yield flush()
-                held, size = [], 0
+                if size >= _FLUSH:
+                    yield flush()
+                    held, size = [], 0
     if held:
         yield flush()
 
@@ -301,7 +322,7 @@ def _scorer(model, segments, lookups: bool):
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = model.value
-        found = Filter(dict(segments.value) if lookups else {}, m.segments)
+        found = Filter(*segments.value) if lookups else Filter.of({}, m.segments)
         vocabulary = _Vocabulary()
         hashes, count, followers = (np.zeros(0, dtype=t) for t in (np.uint64, float, float))
         exact = np.zeros(0, dtype=bool)
@@ -406,14 +427,14 @@ def _joined_scores(rows: DataFrame, model: Model, shared, segments: DataFrame) -
 
     def answer_pairs(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
-        found = Filter(dict(zip(held["segment"], held["bits"])), m.segments)
+        found = Filter.of(dict(zip(held["segment"], held["bits"])), m.segments)
         h, w = (asked[c].to_numpy(dtype=np.int64).view(np.uint64) for c in ("h", "w"))
         q = found.level(pair_key(h, w), asked["segment"].to_numpy(dtype=np.int64))
         return asked[["h", "w"]].assign(pair=value_of(q))
 
     def answer_words(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
-        found = Filter(dict(zip(held["segment"], held["bits"])), m.segments)
+        found = Filter.of(dict(zip(held["segment"], held["bits"])), m.segments)
         words = asked["h"].to_numpy(dtype=np.int64).view(np.uint64)
         c, t, _ = m.words(words, found)
         return pd.DataFrame({"word": asked["h"], "c": c, "t": t})
@@ -507,9 +528,8 @@ def score(
     fits = (s["bytes"] or 0) <= max_filter_bytes
     held = None
     if fits:
-        held = spark.sparkContext.broadcast(
-            [(r["segment"], bytes(r["bits"])) for r in segments.select("segment", "bits").toLocalIterator()]
-        )
+        parts = ((r["segment"], r["bits"]) for r in segments.select("segment", "bits").toLocalIterator())
+        held = spark.sparkContext.broadcast(packed(parts, n_segments, s["bytes"] or 0))
 
     scorer = F.pandas_udf(_scorer(shared, held, fits), _SCORED)
     own = [c for c in docs.columns if c != "text"]

@@ -9,12 +9,12 @@ whole window in common, hence the same fingerprint, so none is missed.
 1. winnow: fingerprints that occur at one position of the corpus only are set aside;
 2. join positions: windows of the others meet by fingerprint and hash of the window's
    lines; the earliest position (doc_id, then text hash, then line) owns the passage;
-3. extend: windows that overlap or touch grow together into runs. The lines after the last
-   window that fits into a repeated run (fewer than ``min_words`` words) belong to it only
-   with ``both_ways``, which also compares the mirror windows, from each line back to the
-   first line at which there are ``min_words`` words; together they cover every line of
-   every repeated run of ``min_words`` words or more. op8 and the pipeline leave it off:
-   their SQL and brute force compare forward windows only;
+3. extend: windows that overlap or touch grow together into runs. What follows a run's last
+   window (fewer than ``min_words`` words) is reached the other way: mirror windows, from a
+   line back to the first line at which there are ``min_words`` words, are compared where
+   they begin at a line that begins a shared window (a repeated mirror window always does).
+   Both kinds together cover every line of every repeated run of ``min_words`` words or more.
+   Without ``both_ways`` only forward windows are compared;
 4. delete: the lines of every run that occurred earlier, in the same text or another.
 
 Rows equal in doc_id and text are one document and get the same result. Nulls: a null
@@ -22,7 +22,10 @@ doc_id comes last in order, a null text stays null. Shorter repetitions stay.
 
 Scale: fingerprints are narrow rows (written once to the shared folder, read three
 times); earliest positions are a partially aggregated minimum, so a passage that a third
-of all documents share meets as one row per task; texts are shuffled once, by document.
+of all documents share meets as one row per task; where positions are joined to what is
+shared, a fingerprint or passage with very many positions is split over tasks
+(``operators/skew.py``). Mirror windows are shuffled once, by document; few are left after
+that. Texts are shuffled once, by document.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from laminar.llm.common import WORD, let, pinned, unused
+from laminar.operators.skew import split_hot_key_join
 
 MIN_WORDS = 50
 
@@ -40,8 +44,10 @@ def _lines(text: Column) -> Column:
 
 
 def _windows(text: Column, min_words: int, both_ways: bool = False) -> Column:
-    """array<struct<start, stop, anchor, content>>: a row per window of a text, with
-    ``both_ways`` also per mirror window that is no window itself."""
+    """array<struct<start, stop, anchor, content, words, mirror>>: a row per window of a text,
+    with ``both_ways`` also per mirror window that is no window itself. (Whether lines are a
+    window, a mirror window or both shows in the lines alone: a mirror window that is none
+    never equals a window.)"""
     lines = F.filter(
         F.transform(
             _lines(text),
@@ -81,6 +87,7 @@ def _windows(text: Column, min_words: int, both_ways: bool = False) -> Column:
                 a["anchor"].alias("anchor"),
                 a["content"].alias("content"),
                 a["words"].alias("words"),
+                F.lit(False).alias("mirror"),
             ),
         )
 
@@ -95,6 +102,7 @@ def _windows(text: Column, min_words: int, both_ways: bool = False) -> Column:
                 w["anchor"].alias("anchor"),
                 w["content"].alias("content"),
                 F.when(w["words"] - own >= min_words, w["words"]).otherwise(F.lit(0)).alias("words"),
+                F.lit(True).alias("mirror"),
             ),
         )
 
@@ -108,38 +116,45 @@ def _windows(text: Column, min_words: int, both_ways: bool = False) -> Column:
     return F.filter(let(lines, both), lambda w: w["words"] >= min_words)
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, both_ways: bool = False) -> DataFrame:
+def _shared(rows: DataFrame, by: list[str], place: Column) -> DataFrame:
+    """(by, first, places): what stands at two places or more, with the earliest of them."""
+    found = rows.groupBy(*by).agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("places")
+    )
+    return found.where(F.col("first") != F.col("last")).drop("last")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, both_ways: bool = True) -> DataFrame:
     """(id_null, id, text_hash, runs array<struct<start, stop>>): the line ranges to delete
     of each document that has any."""
     if min_words < 1:
         raise ValueError("min_words must be at least 1")
     key = ["id_null", "id", "text_hash"]
-    windows = pinned(
+    every = pinned(
         docs.where(F.col("text").isNotNull())
         .select(*_key(F.col("doc_id"), F.col("text")), F.explode(_windows(F.col("text"), min_words, both_ways)).alias("w"))
-        .select(*key, "w.start", "w.stop", "w.anchor", "w.content")
+        .select(*key, "w.start", "w.stop", "w.anchor", "w.content", "w.mirror")
     )
+    windows = every.where(~F.col("mirror")).drop("mirror")
     # winnow: a fingerprint at two positions shows as two different windows' places
     place = F.struct(*key, "start")
-    several = (
-        windows.groupBy("anchor")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("anchor")
-    )
-    shared = windows.join(several, "anchor", "left_semi")
-    owners = (
-        shared.groupBy("anchor", "content")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("anchor", "content", "first")
-    )
-    later = (
-        shared.join(owners, ["anchor", "content"])
-        .where(place != F.col("first"))
-        .select(*key, "start", "stop")
-        .distinct()
-    )
+    spread = F.xxhash64(*key, "start")
+    anchors = _shared(windows, ["anchor"], place).drop("first")
+    shared = split_hot_key_join(windows, anchors, "anchor", "places", spread).drop("places")
+    owners = _shared(shared, ["content", "anchor"], place).withColumnRenamed("anchor", "own_anchor")
+    met = split_hot_key_join(shared, owners, "content", "places", spread)
+    met = met.where(F.col("anchor") == F.col("own_anchor")).select(*key, "start", "stop", "first")
+    later = met.where(place != F.col("first")).select(*key, "start", "stop")
+    if both_ways:
+        met = pinned(met)
+        later = met.where(place != F.col("first")).select(*key, "start", "stop")
+        begins = met.select(*key, "start").distinct()
+        mirrors = every.where("mirror").drop("anchor", "mirror").join(begins, [*key, "start"], "left_semi")
+        mirrors = pinned(mirrors)
+        owners = _shared(mirrors, ["content"], place)
+        back = split_hot_key_join(mirrors, owners, "content", "places", spread)
+        later = later.unionByName(back.where(place != F.col("first")).select(*key, "start", "stop"))
+    later = later.distinct()
     by_doc = Window.partitionBy(*key).orderBy("start", "stop")
     so_far = by_doc.rowsBetween(Window.unboundedPreceding, -1)
     islands = later.withColumn(
@@ -161,7 +176,7 @@ def _key(doc_id: Column, text: Column) -> list[Column]:
     ]
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, both_ways: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, both_ways: bool = True) -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text`` (n_chars, where there is one,
     follows) and the deleted ranges in ``removed_runs`` (null: none)."""
     if "removed_runs" in docs.columns:
@@ -178,12 +193,16 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, both_ways: bool = F
     )
     match = [keyed[n] == runs[f"{n}_r"] for n in names]
     joined = keyed.join(runs, match[0] & match[1] & match[2], "left")
+    # the lines between the runs, which are apart and in order
     kept = let(
-        F.col("removed_runs"),
-        lambda r: F.array_join(
-            F.filter(
-                _lines(F.col("text")),
-                lambda _, i: ~F.exists(r, lambda x: i.between(x["start"], x["stop"])),
+        F.struct(_lines(F.col("text")).alias("lines"), F.array_sort("removed_runs").alias("runs")),
+        lambda x: F.array_join(
+            F.flatten(
+                F.zip_with(
+                    F.concat(F.array(F.lit(-1)), F.transform(x["runs"], lambda r: r["stop"])),
+                    F.concat(F.transform(x["runs"], lambda r: r["start"]), F.array(F.size(x["lines"]))),
+                    lambda before, after: F.slice(x["lines"], before + 2, after - before - 1),
+                )
             ),
             "\n",
         ),
@@ -218,9 +237,14 @@ e AS (SELECT a.doc_id, a.k, a.i AS start, min(b.k) AS stop_k
       FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.k BETWEEN a.k AND a.k + 49
                        AND b.cum - a.cum + a.words >= 50
       GROUP BY a.doc_id, a.k, a.i),
-w AS (SELECT e.doc_id, e.start, max(l.i) AS stop, string_agg(l.line, chr(10) ORDER BY l.k) AS content
-      FROM e JOIN l ON e.doc_id = l.doc_id AND l.k BETWEEN e.k AND e.stop_k
-      GROUP BY e.doc_id, e.start),
+m AS (SELECT b.doc_id, max(a.k) AS k, b.k AS stop_k
+      FROM l a JOIN l b ON a.doc_id = b.doc_id AND a.k BETWEEN b.k - 49 AND b.k
+                       AND b.cum - a.cum + a.words >= 50
+      GROUP BY b.doc_id, b.k),
+v AS (SELECT doc_id, k, stop_k FROM e UNION SELECT doc_id, k, stop_k FROM m),
+w AS (SELECT v.doc_id, min(l.i) AS start, max(l.i) AS stop, string_agg(l.line, chr(10) ORDER BY l.k) AS content
+      FROM v JOIN l ON v.doc_id = l.doc_id AND l.k BETWEEN v.k AND v.stop_k
+      GROUP BY v.doc_id, v.k, v.stop_k),
 r AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, start) AS nth FROM w),
 x AS (SELECT DISTINCT u.doc_id, u.i FROM u JOIN r ON u.doc_id = r.doc_id AND r.nth > 1
                                               AND u.i BETWEEN r.start AND r.stop),

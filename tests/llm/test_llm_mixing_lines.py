@@ -113,7 +113,7 @@ def test_line_dedup_against_brute_force(spark, seed):
             lines[at:at] = passage
         rows.append((i, "\n".join(lines), "en", "a"))
     docs = cases.documents(spark, rows)
-    got = {(i, t): k for i, t, k in zip(*_columns(docs, line_dedup.dedup_lines(docs)))}
+    got = {(i, t): k for i, t, k in zip(*_columns(docs, line_dedup.dedup_lines(docs, both_ways=False)))}
     assert got == brute_lines([(r[0], r[1]) for r in rows])
 
 
@@ -124,23 +124,27 @@ def _columns(docs, out):
 
 
 def brute_runs(docs, least=50):
-    """{(id, text): text without later repeated runs}: every run of enough words is compared."""
+    """{(id, text): text without later repeated runs}: every run of enough words is compared.
+    A null text stays as it is."""
     runs, first = [], {}
     for i, text in set(docs):
+        if text is None:
+            continue
         lines = text.split("\n")
         full = [k for k, x in enumerate(lines) if words(x)]
         size = [len(words(lines[k])) for k in full]
         for a in range(len(full)):
             for b in range(a, len(full)):
                 if sum(size[a : b + 1]) >= least:
-                    content, place = tuple(lines[k] for k in full[a : b + 1]), (i, full[a])
+                    content, place = tuple(lines[k] for k in full[a : b + 1]), (i is None, i or 0, full[a])
                     runs.append((content, place, text, full[b]))
                     first[content] = min(first.get(content, place), place)
     gone = defaultdict(set)
     for content, place, text, stop in runs:
         if place != first[content]:
-            gone[place[0], text].update(range(place[1], stop + 1))
-    return {(i, t): "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i, t]) for i, t in docs}
+            gone[place[:2], text].update(range(place[2], stop + 1))
+    keep = lambda i, t: [x for k, x in enumerate(t.split("\n")) if k not in gone[(i is None, i or 0), t]]
+    return {(i, t): None if t is None else "\n".join(keep(i, t)) for i, t in docs}
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -156,7 +160,7 @@ def test_line_dedup_both_ways(spark, seed):
             lines[at:at] = [*p, ""] if rng.random() < 0.5 else p
         rows.append((i, "\n".join(lines), "en", "a"))
     docs = cases.documents(spark, rows)
-    got = {(i, t): k for i, t, k in zip(*_columns(docs, line_dedup.dedup_lines(docs, both_ways=True)))}
+    got = {(i, t): k for i, t, k in zip(*_columns(docs, line_dedup.dedup_lines(docs)))}
     assert got == brute_runs([(r[0], r[1]) for r in rows])
     assert got != brute_lines([(r[0], r[1]) for r in rows])  # lines after the last window go, too
 
@@ -174,6 +178,18 @@ def test_line_dedup_edge_rows(spark):
     assert line_dedup.dedup_lines(cases.empty(spark)).count() == 0
 
 
+def test_line_dedup_of_very_many_lines(spark):
+    """A document of 30,000 lines with thousands of runs of its own and another's."""
+    passage = [" ".join(f"p{k}w{j}" for j in range(10)) for k in range(6)]
+    own = lambda n: [f"own line {n} {k}" for k in range(2)]
+    long = "\n".join(x for n in range(3750) for x in [*passage, *own(n)])
+    docs = cases.documents(spark, [(1, "\n".join(passage), "en", "a"), (2, long, "en", "a"), (3, long, "en", "a")])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[1] == "\n".join(passage)
+    assert got[2] == "\n".join(x for n in range(3750) for x in own(n))
+    assert got[3] == ""
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = checks.duckdb_connection(SF)

@@ -12,7 +12,7 @@ SF, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def test_stages(spark, tmp_path):
-    from test_llm_mixing_lines import brute_lines, words
+    from test_llm_mixing_lines import brute_runs, words
     from test_llm_near import brute_components, brute_print
     from tokenizers import Tokenizer
 
@@ -30,7 +30,7 @@ def test_stages(spark, tmp_path):
     clean = {r["doc_id"] for r in labels.where("toxic = 0").collect()}
     assert len(clean & ids) >= 0.97 * len(clean)
     before, after = kept["line_dedup"]
-    expected = brute_lines([(r["doc_id"], r["text"]) for r in before.collect()])
+    expected = brute_runs([(r["doc_id"], r["text"]) for r in before.collect()])
     assert sorted(r["text"] for r in after.collect()) == sorted(expected.values())
     before, after = kept["simhash"]
     groups = brute_components({r["doc_id"]: brute_print(r["text"]) for r in before.collect()})

@@ -225,7 +225,7 @@ def test_lm_base_score_and_roads(spark):
 def test_bloom_levels_never_fall_short():
     rng = np.random.default_rng(1)
     keys, counts = rng.integers(0, 2**63, 5000).astype(np.uint64), rng.integers(1, 5000, 5000)
-    found = language_model.Filter({0: language_model.build_segment(keys, counts)}, 1)
+    found = language_model.Filter.of({0: language_model.build_segment(keys, counts)}, 1)
     q = found.level(keys, np.zeros(5000, dtype=np.int64))
     assert (q >= language_model.levels(counts)).all() and (q > language_model.levels(counts)).mean() < 0.2
     other = rng.integers(0, 2**63, 20_000).astype(np.uint64)
@@ -296,3 +296,66 @@ def test_bpe_cache_halves(monkeypatch):
     ids = model.encode(text)
     assert len(model.young) <= 3 and len(model.old) <= 3
     assert ids == whole.encode(text) and whole.decode(ids) == text
+
+
+def exact_scores(rows):
+    """The model's formula with exact counts of words, pairs, contexts and followers."""
+    toks = lambda t: [*re.findall(WORD, "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")), ""]
+    train = [toks(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    count = Counter(w for ws in train for w in ws)
+    pairs = Counter(p for ws in train for p in zip(["", *ws[:-1]], ws))
+    context, followers = Counter(), Counter()
+    for (h, _), c in pairs.items():
+        context[h] += c
+        followers[h] += 1
+    n, v = sum(count.values()), len(count)
+    once, twice = (sum(c == k for c in pairs.values()) for k in (1, 2))
+    d = once / (once + 2 * twice)
+
+    def log_p(h, w):
+        own = (count[w] + 0.5) / (n + 0.5 * (v + 1))
+        c = context[h]
+        ad = (max(pairs[h, w] - d, 0) + d * followers[h] * own) / c if c else own
+        return math.log10(0.5 * ad + 0.5 * own)
+
+    return {i: sum(log_p(h, w) for h, w in zip(["", *ws[:-1]], ws)) for i, ws in ((i, toks(t)) for i, t in rows)}
+
+
+def test_lm_score_against_an_exact_bigram(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    expected = exact_scores(rows)
+    got = {r["doc_id"]: r["score"] for r in queries.QUERIES["op6_lm_scoring"](spark, SF).collect()}
+    off = sorted(abs(got[i] / expected[i] - 1) for i in expected)
+    print("score error: median", off[len(off) // 2], "95 %", off[int(len(off) * 0.95)], "largest", off[-1])
+    assert off[len(off) // 2] < 0.01 and off[int(len(off) * 0.95)] < 0.03
+
+
+def test_lm_parts_of_a_long_text(monkeypatch):
+    """A text counted in parts has the pairs that it has whole."""
+    import pandas as pd
+
+    texts = ["a b a b c a b", None, "a", "b a " * 20]
+    none = np.zeros(0, dtype=np.uint64)
+
+    def counted():
+        out = Counter()
+        for df in language_model._pairs_of([pd.DataFrame({"text": texts})], none, 1):
+            for p, n in zip(df["pair"], df["n"]):
+                out[p] += n
+        return out
+
+    whole = counted()
+    assert sum(whole.values()) == 8 + 1 + 2 + 41
+    for size in (1, 2, 3, 4):
+        monkeypatch.setattr(language_model, "_FLUSH", size)
+        assert counted() == whole
+
+
+def test_lm_levels():
+    counts = np.arange(1, 100_000)
+    q = language_model.levels(counts)
+    assert (np.diff(q) >= 0).all() and q[0] == 1
+    value = language_model.value_of(q)
+    assert (value[:5] == counts[:5]).all() and (np.abs(value / counts - 1) <= 0.13).all()
+    assert language_model.value_of(np.array([0]))[0] == 0
+    assert language_model.levels(np.array([2**62]))[0] <= language_model.MAX_LEVEL
