@@ -3,7 +3,7 @@
 Training counts words and word pairs (each text ends with an end token, which is also the
 context of the next text's first word). A pair with count c is kept as its quantised
 log frequency q, the number of whole numbers round(STEP ** k) up to c (counts to 5 are exact,
-above that a level spans about a quarter): the filter holds the pair at levels 1 to q, and
+above that the middle of a level is off by an eighth at most): the filter holds the pair at levels 1 to q, and
 a lookup probes level after level until one is missing. Per context the filter also holds
 how often it occurs (C) and how many different words follow it (T). ``HASHES`` says how many
 bits an entry has per level: an unseen pair passes the first with about 2 to that power,
@@ -43,8 +43,8 @@ SEGMENT_CHARS = 2_000_000  # training text per segment: about 300,000 tokens
 STEP = 1.25  # ratio of neighbouring levels of counts
 HOT_SHARE = 1000  # a context with more than N / HOT_SHARE tokens is spread over segments
 MIXTURE = 0.5
-_FLUSH = 1 << 19
-_CACHE = 1 << 17
+_FLUSH = 1 << 20
+_CACHE = 1 << 18
 _CHUNK = 1 << 18
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: increment of the mixing function
@@ -79,7 +79,7 @@ END = word_hash(b"")
 
 class _Hashes(dict):
     def __missing__(self, word):
-        if len(self) >= _CACHE:
+        if len(self) >= _CACHE // 2:
             self.clear()
         h = self[word] = word_hash(word)
         return h
@@ -192,7 +192,9 @@ def _count_words(batches):
 
 
 def _pairs_of(batches, hot: np.ndarray, segments: int):
-    """Rows (segment, h, pair, n): pairs counted per task, about a million tokens at a time."""
+    """Rows (segment, h, pair, n): pairs counted per task, about a million tokens at a time;
+    a row holds all of a segment's pairs as packed 64-bit contexts, 64-bit pairs and 32-bit
+    counts, which is half of what a row per pair would shuffle."""
     hashes, held, size = _Hashes(), [], 0
 
     def flush():
@@ -200,12 +202,17 @@ def _pairs_of(batches, hot: np.ndarray, segments: int):
         key = pair_key(h, np.concatenate([x for _, x in held]))
         key, first, n = np.unique(key, return_index=True, return_counts=True)
         h = h[first]
+        seg = segment_of(h, key, hot, segments)
+        order = np.lexsort((h, seg))  # equal contexts side by side: they compress
+        h, key, n, seg = h[order], key[order], n[order].astype(np.uint32), seg[order]
+        cuts = np.flatnonzero(np.diff(seg, prepend=-1, append=-1))
+        at = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
         return pd.DataFrame(
             {
-                "segment": segment_of(h, key, hot, segments),
-                "h": h.view(np.int64),
-                "pair": key.view(np.int64),
-                "n": n.astype(np.int64),
+                "segment": seg[cuts[:-1]],
+                "h": [h[a:b].tobytes() for a, b in at],
+                "pair": [key[a:b].tobytes() for a, b in at],
+                "n": [n[a:b].tobytes() for a, b in at],
             }
         )
 
@@ -225,12 +232,16 @@ def _pairs_of(batches, hot: np.ndarray, segments: int):
         yield flush()
 
 
+def unpacked(column: pd.Series, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=kind)
+
+
 def _segment(hot: np.ndarray):
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        pair = group["pair"].to_numpy().view(np.uint64)
+        pair = unpacked(group["pair"], np.uint64)
         key, first, back = np.unique(pair, return_index=True, return_inverse=True)
-        n = np.bincount(back, weights=group["n"].to_numpy()).astype(np.int64)
-        h = group["h"].to_numpy().view(np.uint64)[first]
+        n = np.bincount(back, weights=unpacked(group["n"], np.uint32)).astype(np.int64)
+        h = unpacked(group["h"], np.uint64)[first]
         context, back = np.unique(h, return_inverse=True)
         followers = np.bincount(back)
         total = np.bincount(back, weights=n).astype(np.int64)
@@ -282,12 +293,13 @@ class Model:
         """(count, followers, whether the count is exact) of words as contexts."""
         exact = self.exact(words)
         seg = self.segment(words, words)
-        count = np.where(exact >= 0, exact, value_of(found.level(pair_key(words, _COUNT), seg)))
+        count, rest = exact.astype(np.float64), exact < 0
+        count[rest] = value_of(found.level(pair_key(words[rest], _COUNT), seg[rest]))
         followers = value_of(found.level(pair_key(words, _FOLLOWERS), seg))
         if len(self.hot):
             at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
             followers = np.where(self.hot[at] == words, self.followers[at], followers)
-        return count.astype(np.float64), followers, exact >= 0
+        return count, followers, ~rest
 
     def log_probability(self, pair, count_h, followers_h, count_w):
         """log10 p(w | h); works on numpy arrays."""
@@ -353,8 +365,11 @@ def _scorer(model, segments, lookups: bool):
             tails = [_tail(x, hashes, exact) for x in texts]
             out["tail"], out["tail_n"] = [t[0] for t in tails], [t[1] for t in tails]
             if lookups:
-                key = pair_key(hashes[h], hashes[w])
-                pair = value_of(found.level(key, m.segment(hashes[h], key)))
+                # every distinct pair is looked up once
+                _, first, back = np.unique(h * len(hashes) + w, return_index=True, return_inverse=True)
+                before = hashes[h[first]]
+                key = pair_key(before, hashes[w[first]])
+                pair = value_of(found.level(key, m.segment(before, key)))[back]
                 log = m.log_probability(pair, count[h], followers[h], count[w])
                 out["score"] = np.add.reduceat(log, starts)
                 out["h"], out["w"] = None, None
@@ -502,7 +517,7 @@ def score(
     n_segments = 1 + chars // SEGMENT_CHARS
     segments = pinned(
         train.mapInPandas(
-            lambda bs: _pairs_of(bs, hot, n_segments), "segment long, h long, pair long, n long"
+            lambda bs: _pairs_of(bs, hot, n_segments), "segment long, h binary, pair binary, n binary"
         )
         .groupBy("segment")
         .applyInPandas(

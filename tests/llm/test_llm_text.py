@@ -340,7 +340,8 @@ def test_lm_parts_of_a_long_text(monkeypatch):
     def counted():
         out = Counter()
         for df in language_model._pairs_of([pd.DataFrame({"text": texts})], none, 1):
-            for p, n in zip(df["pair"], df["n"]):
+            pairs, counts = (language_model.unpacked(df[c], k) for c, k in (("pair", np.uint64), ("n", np.uint32)))
+            for p, n in zip(pairs.tolist(), counts.tolist()):
                 out[p] += n
         return out
 
