@@ -44,8 +44,8 @@ from laminar.llm.common import workers_import_package
 
 # Fixed value: how byte-level models cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_PIECES = 300_000  # pieces of the younger and of the older half of the cache
-CACHE_PAIRS = 1_000_000
+CACHE_PIECES = 120_000  # pieces of the younger and of the older half of the cache
+CACHE_PAIRS = 300_000
 CACHE_BYTES = 64  # longer pieces are not worth keeping
 BLOCK = 8_192  # pieces, or ids of a long piece, handed on at a time
 NEVER = float("inf")
