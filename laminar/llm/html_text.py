@@ -14,6 +14,11 @@ fifth of it or are running text themselves; inside an article (or main) element
 the whole element. Blocks that are nearly all links, two or more, count as menus; inside
 an article only lists and blocks without paragraphs do.
 
+Only block elements end a block of text. Images, scripts, styles, form controls, drawings and
+hidden inline elements leave it whole and lose only what they hold. An inline element within
+running text (paragraph, heading, list item, cell, quotation) keeps its text whatever its
+class, unless it is an advert or a reader comment.
+
 Pages are independent: no shuffle, a page at a time in memory, nothing recursive.
 """
 
@@ -48,11 +53,16 @@ UNWANTED_WORDS = frozenset(
     "subscription signup login share sharing social related recommended widget hidden "
     "complementary contentinfo search skip tracking".split()
 )
+WITHIN_TEXT = frozenset(  # unwanted or empty elements that end no block of text
+    "script style noscript template button select textarea input option datalist iframe object "
+    "embed svg math canvas audio video map area img link meta base source track".split()
+)
 FOREIGN_WORDS = frozenset(  # never the article's own text, however long
     "ad ads adv advert adverts advertisement advertising sponsor sponsored "
     "comment comments commentlist disqus replies respond".split()
 )
 CLOSED_BY_BLOCK = frozenset({"p", "h1", "h2", "h3", "h4", "h5", "h6"})
+RUNNING_TEXT = CLOSED_BY_BLOCK | {"li", "dd", "td", "blockquote", "pre", "figcaption"}
 SAME_LEVEL = {  # a start tag that ends an open element of these kinds
     "li": frozenset({"li"}),
     "dt": frozenset({"dt", "dd"}),
@@ -68,11 +78,14 @@ MENU_LINK_DENSITY = 0.66
 
 class Node:
     __slots__ = (
-        "tag", "parent", "unwanted", "named", "foreign", "prose", "children", "points", "chars", "linked", "links"
+        "tag", "parent", "unwanted", "named", "foreign", "cuts", "prose", "children", "points", "chars", "linked", "links"
     )
 
-    def __init__(self, tag: str, parent: Node | None, unwanted: bool, words: set[str] = frozenset()):
+    def __init__(
+        self, tag: str, parent: Node | None, unwanted: bool, words: set[str] = frozenset(), cuts: bool = True
+    ):
         self.tag, self.parent, self.unwanted = tag, parent, unwanted
+        self.cuts = cuts  # its start and end are borders of blocks
         self.named, self.foreign = bool(words), not FOREIGN_WORDS.isdisjoint(words)
         self.prose = False  # holds a paragraph with text
         self.children: list[Node | str] = []  # nodes and blocks of text, in page order
@@ -85,6 +98,7 @@ class _Tree(HTMLParser):
         self.root = self.at = Node("", None, False)
         self.nodes = [self.root]
         self.text: list[str] = []
+        self.text_at = self.root  # where the open block of text began
         self.found: list[tuple[Node, str, int, int]] = []  # blocks with their linked chars and links
         self.in_link = 0
         self.linked = self.links = 0
@@ -95,7 +109,7 @@ class _Tree(HTMLParser):
         block = " ".join("".join(self.text).split())
         self.text = []
         linked, links, self.linked, self.links = self.linked, self.links, 0, 0
-        node = self.at
+        node = self.text_at
         if not block or node.unwanted:
             return
         node.children.append(block)
@@ -189,32 +203,63 @@ class _Tree(HTMLParser):
         if node.parent is not None:
             self.at = node.parent
 
+    def _add(self, text: str) -> None:
+        if not self.text:
+            self.text_at = self.at
+        self.text.append(text)
+
+    def _open(self, node: Node) -> None:
+        self.at.children.append(node)
+        self.nodes.append(node)
+        self.at = node
+
+    def _open_inline(self, tag, attrs) -> None:
+        """An inline element is a node of its own only where its text may go."""
+        if self.at.unwanted or not attrs:
+            if tag == self.at.tag:  # its end tag must not close the outer one
+                self._open(Node(tag, self.at, self.at.unwanted, cuts=False))
+                return
+        elif self._unwanted(tag, attrs):
+            self._open(Node(tag, self.at, True, cuts=False))
+            return
+        else:
+            words = self._words(tag, attrs)
+            if not FOREIGN_WORDS.isdisjoint(words):
+                self._open(Node(tag, self.at, True, cuts=False))
+                return
+            if words and self.at.tag not in RUNNING_TEXT:
+                self.flush()
+                self.in_link = 0
+                self._open(Node(tag, self.at, False, words))
+                return
+            if tag == self.at.tag:
+                self._open(Node(tag, self.at, False, cuts=False))
+        if tag == "a" and not self.at.unwanted:
+            self.in_link = 1
+            self.links += 1
+
     def handle_starttag(self, tag, attrs) -> None:
         if tag == "br":
-            self.text.append("\n")
+            if not self.at.unwanted:
+                self._add("\n")
             return
         if tag in INLINE:
-            unwanted = attrs and (self._unwanted(tag, attrs) or self._words(tag, attrs))
-            if not unwanted:
-                if tag == "a":
-                    self.in_link = 1
-                    self.links += 1
-                return
-        self.flush()
-        self.in_link = 0
+            self._open_inline(tag, attrs)
+            return
+        cuts = tag not in WITHIN_TEXT and not self.at.unwanted
+        if cuts:
+            self.flush()
+            self.in_link = 0
         if tag in VOID:
             return
-        if tag not in INLINE:
+        if tag not in WITHIN_TEXT:
             if self.at.tag in CLOSED_BY_BLOCK:
                 self.at = self.at.parent
             same = SAME_LEVEL.get(tag)
             if same:
                 self._leave(same, LIST_OWNERS)
         unwanted = self.at.unwanted or self._unwanted(tag, attrs)
-        node = Node(tag, self.at, unwanted, self._words(tag, attrs))
-        self.at.children.append(node)
-        self.nodes.append(node)
-        self.at = node
+        self._open(Node(tag, self.at, unwanted, self._words(tag, attrs), cuts))
 
     def handle_startendtag(self, tag, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -223,7 +268,8 @@ class _Tree(HTMLParser):
 
     def handle_endtag(self, tag) -> None:
         if tag == "br":
-            self.text.append("\n")
+            if not self.at.unwanted:
+                self._add("\n")
             return
         if tag == "a":
             self.in_link = 0
@@ -234,13 +280,14 @@ class _Tree(HTMLParser):
             node = node.parent
         if node is None or node.parent is None:
             return  # an end tag without its start
-        self.flush()
+        if node.cuts:
+            self.flush()
         self.at = node.parent
 
     def handle_data(self, data) -> None:
         if self.at.unwanted:
             return
-        self.text.append(data)
+        self._add(data)
         if self.in_link:
             self.linked += len(data.strip())
 

@@ -1,7 +1,8 @@
 """URL filters: list rules and an empirical-Bayes reputation of hosts.
 
 A rule is a host and a path prefix; it fits the host and its subdomains where the url's
-path starts with the prefix, and the longest rule that fits wins. Other urls are judged
+path starts with the prefix, and the longest rule that fits wins. A port is part of the host,
+so that a rule without it does not fit. Other urls are judged
 by the reputation of their host: bad outcomes among its labelled pages under a
 beta-binomial model, shrunk from host to registered domain to suffix to all pages. Each
 level's prior has its parent's posterior mean; its strength is estimated from all members
@@ -147,7 +148,7 @@ def judge(
 
     list_ = rules_frame(pages.sparkSession, rules)
     longest = max((r.split("/")[0].count(".") + 1 for _, r in rules), default=1)
-    labels = F.split(F.regexp_replace("host", r":\d*$", ""), r"\.")
+    labels = F.split("host", r"\.")
     ends = let(
         labels,
         lambda ls: F.transform(

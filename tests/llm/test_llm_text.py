@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -106,6 +107,73 @@ def test_url_edge_rows_and_reputation(spark):
     assert url_filter.judge(pages.limit(0), outcomes, queries.URL_RULES).count() == 0
 
 
+def test_url_port_is_part_of_the_host(spark):
+    urls = ["http://a.example.net:8080/x", "http://a.example.net/x", "http://b.org:80/fr/1", "http://b.org/fr/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    outcomes = spark.createDataFrame([], "url string, bad int")
+    got = {r["page_id"]: r for r in url_filter.judge(pages, outcomes, queries.URL_RULES).collect()}
+    assert [got[k]["rule"] for k in range(4)] == [None, "net/", None, "org/fr/"]
+    for k, u in enumerate(urls):
+        best = brute_rule(*brute_url(u))
+        assert got[k]["rule"] == (best and best[1])
+
+
+def plain_reputations(counts, z):
+    """Posterior mean and lower bound by host from {host: (n, bad)}, in plain Python."""
+
+    def parts(host):
+        labels = re.sub(r":\d*$", "", host).split(".")
+        domain = ".".join(labels[-3:] if ".".join(labels[-2:]) in url_filter.TWO_PART_SUFFIXES else labels[-2:])
+        return domain, domain.partition(".")[2] or domain
+
+    def strength(members):
+        over = sum((k - n * m) ** 2 - n * m * (1 - m) for n, k, m in members)
+        base = sum(n * (n - 1) * m * (1 - m) for n, k, m in members)
+        rho = over / base if base else 0.0
+        return 1000.0 if rho <= 0 else min(1000.0, max(1.0, 1 / rho - 1))
+
+    def summed(of):
+        out = {}
+        for host, (n, k) in counts.items():
+            at = of(parts(host))
+            out[at] = (out.get(at, (0, 0))[0] + n, out.get(at, (0, 0))[1] + k)
+        return out
+
+    overall = (sum(k for _, k in counts.values()) + 0.5) / (sum(n for n, _ in counts.values()) + 1.0)
+    suffixes, domains = summed(lambda p: p[1]), summed(lambda p: p)
+    s = strength([(n, k, overall) for n, k in suffixes.values()])
+    sm = {x: (k + s * overall) / (n + s) for x, (n, k) in suffixes.items()}
+    s = strength([(n, k, sm[d[1]]) for d, (n, k) in domains.items()])
+    dm = {d: (k + s * sm[d[1]]) / (n + s) for d, (n, k) in domains.items()}
+    s = strength([(n, k, dm[parts(h)]) for h, (n, k) in counts.items()])
+    out = {}
+    for h, (n, k) in counts.items():
+        a, b = k + s * dm[parts(h)], n - k + s * (1 - dm[parts(h)])
+        mean = a / (a + b)
+        out[h] = (mean, mean - z * (mean * (1 - mean) / (a + b + 1)) ** 0.5)
+    return out
+
+
+def test_url_posterior_against_a_plain_model(spark):
+    rnd = random.Random(3)
+    hosts = [f"h{k}.{d}" for k in range(4) for d in ("one.com", "two.com", "three.dev", "four.co.uk", "five.co.uk", "six.dev:81")]
+    rate = {h: rnd.choice([0.02, 0.1, 0.9, 0.97]) for h in hosts}
+    rows = [(f"http://{h}/{i}", int(rnd.random() < rate[h])) for h in hosts for i in range(rnd.choice([0, 1, 5, 60, 300]))]
+    counts = {h: (0, 0) for h in hosts}
+    for url, bad in rows:
+        n, k = counts[brute_url(url)[0]]
+        counts[brute_url(url)[0]] = (n + 1, k + bad)
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = {r["host"]: r for r in url_filter.judge(pages, spark.createDataFrame(rows, "url string, bad int")).collect()}
+    want = plain_reputations(counts, url_filter.Z)
+    assert got.keys() == want.keys()
+    for h, (mean, lower) in want.items():
+        assert got[h]["posterior_mean"] == pytest.approx(mean, rel=1e-9)
+        assert got[h]["posterior_lower"] == pytest.approx(lower, rel=1e-9, abs=1e-12)
+        assert got[h]["verdict"] == ("block" if lower > url_filter.MAX_BAD_RATE else "allow")
+    assert {r["verdict"] for r in got.values()} == {"allow", "block"}
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=1>Home</a></nav>
 <div class="cookie-notice">We use cookies, really.</div><article><header><h1>Big &amp; news</h1></header>
 <p>First  paragraph,\n with <b>bold</b> text, and more of it.<p>Second one &eacute;, &#x1F600; here.
@@ -150,6 +218,28 @@ def test_html_paragraph_of_links_stays_in_an_article():
     assert got[3:] == ["First reference, second reference"]
 
 
+@pytest.mark.parametrize(
+    "paragraph, expected",
+    [
+        ("foo <img src=x> bar", "foo bar"),
+        ("foo <input value=x> bar", "foo bar"),
+        ("foo <script>var x = '<p>y';</script>bar", "foo bar"),
+        ("foo <svg><title>t</title><path d=x /></svg> bar", "foo bar"),
+        ("foo <button><div>press</div></button> bar", "foo bar"),
+        ("foo <select><option>a<option>b</select> bar", "foo bar"),
+        ('foo <a class="share" href=1>link</a> bar', "foo link bar"),
+        ('foo <span class="alert">inline</span> bar', "foo inline bar"),
+        ('foo <span class="ad">buy <span>now</span>, and now</span> bar', "foo bar"),
+        ("foo <span hidden>unseen <b>and bold</b></span> bar", "foo bar"),
+        ("foo <button>never ends", "foo"),
+        ("foo<br>bar <b>bold <i>both</i></b>", "foo bar bold both"),
+    ],
+)
+def test_html_inline_elements_end_no_block(paragraph, expected):
+    page = f"<body><article>{TEXT}<p>{paragraph}</p><p>Last, and least.</p></article></body>"
+    assert html_text.main_text(page).split("\n")[3:] == [expected, "Last, and least."]
+
+
 def test_html_menus_and_ads_stay_out(spark):
     rows = queries.QUERIES["op4_html_extraction"](spark, SF).collect()
     html = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
