@@ -128,7 +128,7 @@ PRODUCT_SUMMARY_CTE = """psum AS (
 
 PRODUCT_PERF_CTE = """prank AS (
   SELECT *,
-    CAST(row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, product_id) AS INTEGER)
+    CAST(row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, product_id) AS BIGINT)
       AS revenue_rank,
     percent_rank() OVER (ORDER BY total_revenue DESC NULLS LAST) * 100 AS revenue_percentile
   FROM psum),
@@ -348,8 +348,8 @@ def q_product_rank_distributed(spark, sf_dir):
     "product_rank_ties",
     f"""WITH {TX}, {PRODUCT_SUMMARY_CTE}
 SELECT product_id, total_sales,
-  CAST(row_number() OVER (ORDER BY total_sales DESC NULLS LAST, product_id) AS INTEGER) AS sales_rank,
-  CAST(rank() OVER (ORDER BY total_sales DESC NULLS LAST) AS INTEGER) AS sales_rank_tied,
+  CAST(row_number() OVER (ORDER BY total_sales DESC NULLS LAST, product_id) AS BIGINT) AS sales_rank,
+  CAST(rank() OVER (ORDER BY total_sales DESC NULLS LAST) AS BIGINT) AS sales_rank_tied,
   percent_rank() OVER (ORDER BY total_sales DESC NULLS LAST) * 100 AS sales_percentile
 FROM psum""",
 )

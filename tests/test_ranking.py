@@ -133,3 +133,51 @@ def test_exact_cuts_many_match_single(spark):
     one_a = exact_cuts(df, "a", ["k"], n_partitions=3).collect()[0].asDict()
     one_b = exact_cuts(df, "b", ["k"], n_partitions=4).collect()[0].asDict()
     assert many == {**one_a, **one_b}
+
+
+def test_one_exchange_of_the_ranked_rows(spark):
+    """The window takes over the dealing's partitioning; the rows move once."""
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"), F.lit("x").alias("payload"))
+    out = global_rank(df, "v", ["k"], n_partitions=8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    moved = [i for i, ln in enumerate(plan.splitlines()) if "Exchange" in ln and "Broadcast" not in ln]
+    lines = plan.splitlines()
+    rows_moved = [lines[i] for i in moved if "__cnt" not in lines[i + 1] and "count" not in lines[i + 1] and "__rank" not in lines[i + 1] and "__border" not in lines[i + 1]]
+    assert len(rows_moved) == 1, plan
+
+
+def test_ranks_are_long(spark):
+    out = global_rank(spark.createDataFrame([(1, 5.0)], "k long, v double"), "v", ["k"])
+    assert [t for _, t in out.select("row_number", "rank").dtypes] == ["bigint", "bigint"]
+
+
+def test_buckets_follow_the_rows_not_the_setting(spark):
+    from laminar.operators import ranking
+
+    assert ranking.buckets_for(2000) == 1 and ranking.buckets_for(0) == 1
+    assert ranking.buckets_for(10 * ranking.ROWS_PER_BUCKET) == 10
+    assert ranking.buckets_for(10**12) == ranking.MAX_BUCKETS
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        df = spark.range(2000).groupBy(F.col("id").alias("k")).agg(F.max(F.col("id") % 9).alias("v"))
+        got = global_rank(df, "v", ["k"])
+        assert got.rdd.getNumPartitions() <= 10
+        assert got.agg(F.max("row_number")).first()[0] == 2000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_two_tie_breakers_with_nulls_and_descending_dates(spark):
+    rnd = random.Random(11)
+    rows = [(i // 3 if i % 5 else None, i, None if i % 17 == 0 else rnd.randrange(4)) for i in range(700)]
+    df = spark.createDataFrame(rows, "k long, k2 long, n int").withColumn("v", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")))
+    for desc in (True, False):
+        got = global_rank(df, "v", ["k", "k2"], descending=desc, n_partitions=9)
+        want = window_rank(df, "v", ["k", "k2"], descending=desc)
+        cols = ["k", "k2", "row_number", "rank"]
+        assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
