@@ -46,8 +46,10 @@ MIXTURE = 0.5
 _FLUSH = 1 << 20
 _CACHE = 1 << 18
 _CHUNK = 1 << 18
+_VOCABULARY = 1 << 19  # words that a scoring task keeps
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)  # fixed value: increment of the mixing function
+_HALF = np.uint64(32)
 _COUNT, _FOLLOWERS = np.uint64(1), np.uint64(2)
 
 
@@ -115,6 +117,11 @@ def _spots(keys: np.ndarray, level: int):
     return x, mix64(x) | np.uint64(1)
 
 
+def _spot(x: np.ndarray, bits) -> np.ndarray:
+    """The upper half of x scaled to 0 .. bits - 1 (bits below 2**32)."""
+    return ((x >> _HALF) * bits) >> _HALF
+
+
 def build_segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Filter of these entries: its size in bits (8 bytes), then the bits."""
     q = levels(counts)
@@ -127,7 +134,7 @@ def build_segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
     for level in range(1, int(q.max(initial=0)) + 1):
         x, step = _spots(keys[: np.searchsorted(-q, -level, side="right")], level)
         for i in range(hashes_of(level)):
-            on[(x + np.uint64(i) * step) % np.uint64(bits)] = True
+            on[_spot(x + np.uint64(i) * step, np.uint64(bits))] = True
     return np.uint64(bits).tobytes() + np.packbits(on, bitorder="little").tobytes()
 
 
@@ -157,16 +164,23 @@ class Filter:
     def level(self, keys: np.ndarray, segs: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), dtype=np.int64)
         alive = np.nonzero(self.start[segs] >= 0)[0]
+        # segment by segment: neighbouring probes meet in the same few hundred kB
+        near = segs[alive].astype(np.uint16 if len(self.start) <= 1 << 16 else np.int64)
+        alive = alive[np.argsort(near, kind="stable")]
         for level in range(1, MAX_LEVEL + 1):
             if not len(alive):
                 break
             x, step = _spots(keys[alive], level)
+            s = segs[alive]
+            bits, start = self.bits[s], self.start[s]
             for i in range(hashes_of(level)):
-                s = segs[alive]
-                spot = (x + np.uint64(i) * step) % self.bits[s]
-                byte = self.data[self.start[s] + (spot >> np.uint64(3)).astype(np.int64)]
+                if i:
+                    x += step
+                spot = _spot(x, bits)
+                byte = self.data[start + (spot >> np.uint64(3)).astype(np.int64)]
                 ok = (byte >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                alive, x, step = alive[ok], x[ok], step[ok]
+                if not ok.all():
+                    alive, x, step, bits, start = alive[ok], x[ok], step[ok], bits[ok], start[ok]
             out[alive] = level
         return out
 
@@ -390,7 +404,7 @@ def _scorer(model, segments, lookups: bool):
                 if size >= _CHUNK:
                     done.append(scored(texts))
                     texts, size = [], 0
-                    if len(vocabulary) >= _CACHE:
+                    if len(vocabulary) >= _VOCABULARY:
                         vocabulary = _Vocabulary()
                         hashes, count, followers = (np.zeros(0, dtype=t) for t in (np.uint64, float, float))
                         exact = np.zeros(0, dtype=bool)
