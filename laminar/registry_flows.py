@@ -3,6 +3,8 @@ schema discovery, stored sketches. Added to ``registry.QUERIES`` and ``registry.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from laminar import registry as r
@@ -338,3 +340,102 @@ def q_rfm_cuts_kll(spark, sf_dir):
     n, p, error = F.col("customers"), F.col("probability"), rfm.DEFAULT_RELATIVE_ERROR
     within = (F.col("below") <= (p + error) * n) & (F.col("up_to") >= (p - error) * n)
     return ranks.select("measure", "probability", "customers", within.alias("within_error"))
+
+
+# --------------------------------------------------------------------------- rule state
+
+ITEM_KEYS = ("l_orderkey", ("l_orderkey", "l_suppkey"))
+
+
+def _state_sql(keys, table: str, seen: str) -> str:
+    names = (keys,) if isinstance(keys, str) else keys
+    label, listed = ",".join(names), ", ".join(names)
+    present = " AND ".join(f"{n} IS NOT NULL" for n in names)
+    return f"""SELECT '{seen}' AS seen, unnest(['ColumnCount', 'Completeness', 'Uniqueness']) AS rule,
+  unnest([NULL, '{label}', '{label}']) AS "column",
+  unnest([(SELECT CAST(count(*) AS DOUBLE) FROM (DESCRIBE lineitem)), non_null / total, singles / non_null]) AS value,
+  unnest(CAST([0, 0.95, 0.99] AS DOUBLE[])) AS threshold,
+  unnest([true, non_null / total > 0.95, singles / non_null > 0.99]) AS passed
+FROM (SELECT CAST(sum(n) AS DOUBLE) AS total, CAST(sum(n) FILTER ({present}) AS DOUBLE) AS non_null,
+             CAST(count(*) FILTER (n = 1 AND {present}) AS DOUBLE) AS singles
+      FROM (SELECT {listed}, count(*) AS n FROM {table} GROUP BY ALL) g) s"""
+
+
+FIRST_ITEMS = "(SELECT * FROM lineitem WHERE l_linenumber = 1)"
+
+
+@r.register(
+    "dq_ruleset_incremental",
+    "\nUNION ALL\n".join(
+        _state_sql(keys, table, seen)
+        for keys in ITEM_KEYS
+        for table, seen in ((FIRST_ITEMS, "first load"), ("lineitem", "second load"), ("lineitem", "replayed"))
+    ),
+)
+def q_dq_ruleset_incremental(spark, sf_dir):
+    """Q1-Q4 merged load by load: the first items of all orders, then the others, which make
+    most keys repeated; then the second load once more. Each evaluation reads its load and
+    the state, never the table."""
+    from laminar.operators import rule_state
+
+    root = r._fresh(spark, "rule-state")
+    items = testdata.table(spark, sf_dir, "lineitem")
+    first, rest = items.where("l_linenumber = 1"), items.where("l_linenumber <> 1")
+    out = None
+    for i, keys in enumerate(ITEM_KEYS):
+        path = f"{root}/{i}"
+        found = [
+            ("first load", rule_state.add_load(first, path, keys, "1")),
+            ("second load", rule_state.add_load(rest, path, keys, "2")),
+        ]
+        rule_state.add_load(rest, path, keys, "2")
+        found.append(("replayed", rule_state.evaluate(spark, path, keys)))
+        for seen, rows in found:
+            rows = rows.select(F.lit(seen).alias("seen"), "*")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# --------------------------------------------------------------------------- SQL table functions
+
+LATER = r.AS_OF + datetime.timedelta(days=45)
+
+
+def _seen_customers_sql(seen: str, as_of) -> str:
+    sql = r._customer_analytics_sql(r.TX).replace(str(r.AS_OF), str(as_of))
+    return (
+        f"SELECT '{seen}' AS seen, customer_id, total_transactions, days_since_last_transaction, "
+        f"customer_segment, churn_risk FROM ({sql}) q"
+    )
+
+
+@r.register(
+    "sql_table_function",
+    "\nUNION ALL\n".join(
+        _seen_customers_sql(seen, day)
+        for seen, day in (("run", r.AS_OF), ("next run", LATER), ("run, later", LATER))
+    ),
+)
+def q_sql_table_function(spark, sf_dir):
+    """Customer analytics of two run dates, registered by name; SQL calls the functions
+    of a run date and of a date of reference."""
+    from laminar.sources import catalog, layers, table_functions
+
+    root = r._fresh(spark, "functions")
+    db = f"functions_{root.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/database'")
+    tx, customers = testdata.transactions(spark, sf_dir), testdata.customers(spark, sf_dir)
+    for day, as_of in ((RUN_DATE, AS_OF), (NEXT_DAY, LATER)):
+        gold = customer.customer_analytics(customers, tx, as_of=as_of)
+        told = layers.write_gold(gold, f"{root}/gold", "customer_analytics", run_date=day)
+        values = dict(zip(layers.PARTITION_COLUMNS, (day.year, day.month, day.day)))
+        catalog.register_run(spark, f"{db}.customer_analytics", told["path"], values)
+    table_functions.register_run_functions(spark, db, ["customer_analytics"])
+    table_functions.register_as_of(spark, db)
+    columns = "customer_id, total_transactions, days_since_last_transaction, customer_segment, churn_risk"
+    return spark.sql(
+        f"""SELECT 'run' AS seen, {columns} FROM customer_analytics_on(DATE '{RUN_DATE}')
+        UNION ALL SELECT 'next run', {columns} FROM customer_analytics_on(DATE '{NEXT_DAY}')
+        UNION ALL SELECT 'run, later', {columns}
+        FROM customers_as_of(DATE '{RUN_DATE}', DATE '{LATER}')"""
+    )
