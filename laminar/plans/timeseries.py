@@ -19,51 +19,57 @@ SHORT_WINDOW_ROWS = 7
 LONG_WINDOW_ROWS = 30
 
 
-_PERIOD, _SIDE = "__period", "__side"
+_MONTH, _SIDE, _DAY, _DAYS = "__month", "__side", "__day", "__days"
 
 
-def period_pairs(tx: DataFrame, period: Column) -> DataFrame:
-    """The transactions summed per (period, customer) and per (period, product), both from
-    one scan: each transaction counts once for its customer (``__side`` 1, no product) and
-    once for its product (``__side`` 2, no customer), summed per task before the shuffle."""
+def daily_pairs(tx: DataFrame) -> DataFrame:
+    """All that G3 and G4 need of the transactions, from one scan and one shuffle, summed per
+    task before it. Three kinds of rows (``__side``): 0 the sums of a day; 1 a customer and 2 a
+    product in a month, with the set of its days as bits (bit 0: transactions without a date).
+    Ids travel once per month, without amounts, and months need no second grouping."""
     types = tx.schema
-    customer, product = F.col("customer_id"), F.col("product_id")
+    day = F.to_date("transaction_date")
     none = lambda c: F.lit(None).cast(types[c].dataType).alias(c)
+    no_day, bit = F.lit(None).cast("date").alias(_DAY), F.lit(1).cast("long")
+    in_days = F.coalesce(F.call_function("shiftleft", bit, F.dayofmonth(day)), bit).alias(_DAYS)
+    no_days = F.lit(0).cast("long").alias(_DAYS)
+    ids = [none("transaction_id"), none("amount")]
     sides = F.array(
-        F.struct(F.lit(1).alias(_SIDE), customer, none("product_id")),
-        F.struct(F.lit(2).alias(_SIDE), none("customer_id"), product),
-    )
-    keyed = tx.select(period.alias(_PERIOD), "transaction_id", "amount", F.inline(sides))
-    return keyed.groupBy(_PERIOD, _SIDE, "customer_id", "product_id").agg(
+        F.struct(F.lit(0).alias(_SIDE), day.alias(_DAY), none("customer_id"), none("product_id"),
+                 F.col("transaction_id"), F.col("amount"), no_days),
+        F.struct(F.lit(1).alias(_SIDE), no_day, F.col("customer_id"), none("product_id"), *ids, in_days),
+        F.struct(F.lit(2).alias(_SIDE), no_day, none("customer_id"), F.col("product_id"), *ids, in_days),
+    )
+    keyed = tx.select(F.trunc(day, "month").alias(_MONTH), F.inline(sides))
+    return keyed.groupBy(_MONTH, _SIDE, _DAY, "customer_id", "product_id").agg(
         F.count("transaction_id").alias("__count"),
         F.sum("amount").alias("__sum"),
         F.count("amount").alias("__n"),
+        F.bit_or(_DAYS).alias(_DAYS),
     )
 
 
-def daily_pairs(tx: DataFrame) -> DataFrame:
-    """Pairs per calendar day: all that G3 and G4 need of the transactions."""
-    return period_pairs(tx, F.to_date("transaction_date"))
-
-
-def _months_of(pairs: DataFrame) -> DataFrame:
-    """Pairs per month, rolled up from pairs per day."""
-    return pairs.groupBy(
-        month_key(F.col(_PERIOD)).alias(_PERIOD), "customer_id", "product_id", _SIDE
-    ).agg(*[F.sum(c).alias(c) for c in ("__count", "__sum", "__n")])
+def _by_day(pairs: DataFrame) -> DataFrame:
+    """A row per day of each pair; a day's sums stay one row."""
+    has = lambda d: F.getbit(F.col(_DAYS), d) == 1
+    date = lambda d: F.when(d > 0, F.date_add(F.col(_MONTH), d - 1))
+    in_days = F.transform(F.filter(F.sequence(F.lit(0), F.lit(31)), has), date)
+    days = F.when(F.col(_SIDE) == 0, F.array(_DAY)).otherwise(in_days)
+    return pairs.select(
+        F.explode(days).alias(_DAY), _SIDE, "customer_id", "product_id", "__count", "__sum", "__n"
+    )
 
 
-def _period_aggregates(pairs: DataFrame, key_name: str, prefix: str) -> DataFrame:
+def _period_aggregates(rows: DataFrame, period: Column, key_name: str, prefix: str) -> DataFrame:
     """Counts, sums and two distinct counts per period: every pair is one row, so that
     plain counts of the ids are distinct counts."""
-    customers = F.col(_SIDE) == 1
-    once = lambda c: F.sum(F.when(customers, F.col(c)))
-    return pairs.groupBy(F.col(_PERIOD).alias(key_name)).agg(
-        once("__count").alias(f"{prefix}_transaction_count"),
-        once("__sum").alias("__sum"),
-        once("__n").alias("__n"),
-        F.count(F.when(customers, F.col("customer_id"))).alias(f"{prefix}_unique_customers"),
-        F.count(F.when(~customers, F.col("product_id"))).alias(f"{prefix}_unique_products"),
+    side = lambda k, c: F.when(F.col(_SIDE) == k, F.col(c))
+    return rows.groupBy(period.alias(key_name)).agg(
+        F.sum(side(0, "__count")).alias(f"{prefix}_transaction_count"),
+        F.sum(side(0, "__sum")).alias("__sum"),
+        F.sum(side(0, "__n")).alias("__n"),
+        F.count(side(1, "customer_id")).alias(f"{prefix}_unique_customers"),
+        F.count(side(2, "product_id")).alias(f"{prefix}_unique_products"),
     )
 
 
@@ -75,9 +81,8 @@ def daily_metrics(
 ) -> DataFrame:
     """Per calendar day, plus trailing averages over the last 7 and 30 present days.
     ``pairs`` (from :func:`daily_pairs`) skips the scan of the transactions."""
-    daily = _period_aggregates(
-        daily_pairs(tx) if pairs is None else pairs, "transaction_date", "daily"
-    )
+    days = _by_day(daily_pairs(tx) if pairs is None else pairs)
+    daily = _period_aggregates(days, F.col(_DAY), "transaction_date", "daily")
     order = Window.orderBy("transaction_date")
     w_short = order.rowsBetween(-(short_rows - 1), Window.currentRow)
     w_long = order.rowsBetween(-(long_rows - 1), Window.currentRow)
@@ -103,11 +108,9 @@ def monthly_metrics(tx: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Per ``yyyy-MM``, with int year and month, previous present month's revenue
     and month-over-month growth in percent (first month: 0.0). ``pairs`` (from
     :func:`daily_pairs`) skips the scan of the transactions."""
-    if pairs is None:
-        months = period_pairs(tx, month_key(F.col("transaction_date")))
-    else:
-        months = _months_of(pairs)
-    monthly = _period_aggregates(months, "year_month", "monthly").select(
+    months = daily_pairs(tx) if pairs is None else pairs
+    month = month_key(F.col(_MONTH))
+    monthly = _period_aggregates(months, month, "year_month", "monthly").select(
         "year_month",
         "monthly_transaction_count",
         F.col("__sum").cast("double").alias("monthly_revenue"),

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from laminar.plans import cohort, customer, rfm, timeseries
 from laminar.plans.layers import run_partition
@@ -88,3 +89,37 @@ def test_run_partition_prunes_folders(spark, tmp_path):
     plan = _plan(t.where(run_partition(t, dt.date(2024, 1, 2))))
     assert "PartitionFilters: [isnotnull(year" in plan and "(day#" in plan
     assert t.where(run_partition(t, dt.date(2024, 1, 2))).count() == 1
+
+
+def test_months_need_no_second_shuffle_of_the_pairs(silver_tx):
+    pairs = timeseries.daily_pairs(silver_tx)
+    assert pairs.where("__side > 0 and (__sum is not null or __count > 0)").count() == 0
+    months = pairs.where("__side = 2").groupBy("__month", "product_id").count()
+    assert months.where("count > 1").count() == 0  # ids travel once per month
+    plan = _plan(timeseries.monthly_metrics(silver_tx, pairs=pairs.checkpoint()))
+    exchanged = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert exchanged and not any("product_id" in ln for ln in exchanged)
+
+
+def test_pairs_with_nulls_count_as_plain_groups_do(spark):
+    day = dt.datetime(2024, 2, 29, 5)
+    rows = [
+        ("a", 1, 1, 1.5, day), ("a", 1, 1, 1.5, day), (None, None, 1, None, day), ("b", 2, None, 2.0, None),
+        ("c", 2, 3, 4.0, dt.datetime(2024, 2, 1)), ("d", 1, 1, 8.0, dt.datetime(2024, 3, 31)),
+        (None, 1, 3, None, dt.datetime(2023, 12, 31)), ("e", 7, 9, 1.0, dt.datetime(1969, 12, 31, 23)),
+    ]
+    tx = spark.createDataFrame(
+        rows, "transaction_id string, customer_id long, product_id long, amount double, transaction_date timestamp_ntz"
+    )
+    for made, prefix, key in (
+        (timeseries.daily_metrics(tx), "daily", "to_date(transaction_date)"),
+        (timeseries.monthly_metrics(tx), "monthly", "date_format(transaction_date, 'yyyy-MM')"),
+    ):
+        plain = tx.groupBy(F.expr(key).alias("k")).agg(
+            F.count("transaction_id"), F.sum("amount"), F.count_distinct("customer_id"), F.count_distinct("product_id")
+        )
+        got = made.select(
+            made.columns[0], f"{prefix}_transaction_count", f"{prefix}_revenue",
+            f"{prefix}_unique_customers", f"{prefix}_unique_products",
+        )
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, plain.collect())))
