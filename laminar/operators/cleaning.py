@@ -24,6 +24,8 @@ NUMERIC_COLUMNS = ("amount", "quantity", "price", "total")
 EMAIL_COLUMN = "email"
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 DATA_SOURCE_LABEL = "bronze_layer"
+# Fixed value: most hashes of repeated rows that are handed to every task (a few MB).
+MAX_REPEATED = 500_000
 
 
 def _c(name: str) -> Column:
@@ -36,6 +38,37 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def _hashable(df: DataFrame) -> bool:
+    """Whether rows that are equal in every column also have equal hashes: collated text may
+    not, and names that differ in case alone cannot be told apart."""
+    names = {c.lower() for c in df.columns}
+    return bool(names) and len(names) == len(df.columns) and not any("collate" in t for _, t in df.dtypes)
+
+
+def drop_repeated_rows(df: DataFrame, seen: Observation, max_repeated: int = MAX_REPEATED) -> DataFrame:
+    """C1 of a large table, where most rows occur once: only row hashes are grouped, and only
+    rows whose hash occurs again are compared in full; all others stay where they are. A job
+    runs when this is called; ``seen`` then has the number of rows (``n``). With more than
+    ``max_repeated`` such hashes, or where hashes don't tell, all rows are grouped."""
+    if not _hashable(df):
+        return drop_exact_duplicates(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    from laminar.session import shared_root
+
+    shared_root(df.sparkSession)
+    # 40 bits: fewer bytes to shuffle; chance collisions are compared like repeated rows
+    row_hash = F.shiftright(F.xxhash64(*[_c(c) for c in df.columns]), 24)
+    hashes = df.select(row_hash.alias("__hash")).groupBy("__hash").agg(F.count(F.lit(1)).alias("__n"))
+    hashes = hashes.observe(seen, F.sum("__n").alias("n"))
+    repeated = hashes.where("__n > 1").select("__hash").checkpoint(eager=True)
+    found = repeated.limit(max_repeated + 1).count()
+    if not found:
+        return df
+    if found > max_repeated:
+        return drop_exact_duplicates(df)
+    part = lambda how: df.join(F.broadcast(repeated), row_hash == F.col("__hash"), how)
+    return part("left_anti").union(drop_exact_duplicates(part("left_semi")))
+
+
 def drop_null_keys(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
     """Only when a column is named exactly ``key`` (case-sensitive, before renaming)."""
     if key in df.columns:
@@ -172,16 +205,17 @@ def cleaning_report(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
 
 
 class ObservedCleaning:
-    """C9 during a write: counts are observed while the cleaned frame is written,
-    with no extra pass. Read :meth:`report` after the action has run."""
+    """C9 during a write: input rows are counted while the repeated ones are looked for
+    (:func:`drop_repeated_rows`, when this is made), the others while the cleaned frame is
+    written. Read :meth:`report` after the action has run."""
 
     def __init__(self, df: DataFrame, run_ts=None, run_date=None, key: str = KEY_COLUMN):
         tag = uuid.uuid4().hex[:8]  # observation names must not clash between queries
         self._in = Observation(f"clean_in_{tag}")
         self._dedup = Observation(f"clean_dedup_{tag}")
         self._out = Observation(f"clean_out_{tag}")
-        src = df.observe(self._in, F.count(F.lit(1)).alias("n"))
-        dedup = drop_exact_duplicates(src).observe(self._dedup, F.count(F.lit(1)).alias("n"))
+        distinct = drop_repeated_rows(df, self._in)
+        dedup = distinct.observe(self._dedup, F.count(F.lit(1)).alias("n"))
         rest = drop_null_keys(dedup, key)
         rest = normalize_column_names(rest)
         rest = add_audit_columns(rest, run_ts, run_date)

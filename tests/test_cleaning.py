@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 
 from laminar.operators import cleaning
 
@@ -86,3 +87,30 @@ def test_odd_raw_column_names(spark):
 
     rows = {r.rule: r.value for r in quality.evaluate_ruleset(out, (quality.Rule("Uniqueness", "c`d", 0.5),)).collect()}
     assert rows == {"Uniqueness": 1.0}
+
+
+@pytest.mark.parametrize("limit", [0, 1, 100])
+def test_repeated_rows_are_found_by_hash(spark, limit):
+    nan = float("nan")
+    rows = [(1, "a", 0.0, [nan]), (1, "a", -0.0, [nan]), (None, "a", nan, None), (None, "a", nan, None)]
+    rows += [(2, None, 1.0, [1.0]), (None, None, None, None), (3, "c", None, [])]
+    df = spark.createDataFrame(rows, "id long, `odd name` string, x double, xs array<double>")
+    seen = Observation()
+    out = cleaning.drop_repeated_rows(df, seen, limit)
+    assert out.columns == df.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, cleaning.drop_exact_duplicates(df).collect()))
+    assert seen.get["n"] == 7
+
+
+def test_collated_rows_are_compared_in_full(spark):
+    df = spark.sql("SELECT s COLLATE UTF8_LCASE AS s FROM VALUES ('a'), ('A'), ('b') t(s)")
+    seen = Observation()
+    assert cleaning.drop_repeated_rows(df, seen).count() == 2 and seen.get["n"] == 3
+
+
+def test_rows_that_occur_once_are_not_shuffled(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "cast(id as string) as v").write.parquet(f"{tmp_path}/t")
+    observed = cleaning.ObservedCleaning(spark.read.parquet(f"{tmp_path}/t"))
+    assert "Exchange" not in observed.frame._jdf.queryExecution().executedPlan().toString()
+    observed.frame.write.parquet(f"{tmp_path}/out")
+    assert observed.report()["input_rows"] == observed.report()["output_rows"] == 1000
