@@ -674,6 +674,12 @@ def _fresh(spark, label):
     return fresh_dir(spark, label)
 
 
+def _landed(spark, df, path):
+    """The rows written once and read back, so that later reads repeat no join."""
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("silver_roundtrip", SILVER_SQL)
 def q_silver_roundtrip(spark, sf_dir):
     """S6 then S1/S2: the cleaned table written as partitioned Parquet and read back
@@ -760,7 +766,7 @@ def q_job_summary(spark, sf_dir):
 
     root = _fresh(spark, "gold")
     build_gold(
-        testdata.transactions(spark, sf_dir),
+        _landed(spark, testdata.transactions(spark, sf_dir), f"{root}-transactions"),
         root,
         testdata.customers(spark, sf_dir),
         testdata.products(spark, sf_dir),
@@ -945,7 +951,7 @@ def q_job_summary_empty(spark, sf_dir):
     from laminar.plans.layers import GOLD_DATASETS, JOB_SUMMARY, build_gold
 
     root = _fresh(spark, "gold")
-    tx = testdata.transactions(spark, sf_dir)
+    tx = _landed(spark, testdata.transactions(spark, sf_dir), f"{root}-transactions")
     for rows in (tx, tx.where("transaction_id is null")):
         build_gold(rows, root, as_of=AS_OF, run_date=RUN_DATE, gate=True)
     left = spark.read.schema("dataset_name string").option("recursiveFileLookup", "true")

@@ -326,14 +326,18 @@ def q_rfm_cuts_kll(spark, sf_dir):
     """A10 from stored, merged sketches: all customers are sketched as they were before the
     latest tenth of the transactions; then only the groups with customers in the rest are
     sketched anew. Per cut: whether its true rank is within the published error (0.05)."""
-    path = f"{r._fresh(spark, 'sketches')}/rfm"
-    tx = testdata.transactions(spark, sf_dir)
+    root = r._fresh(spark, "sketches")
+    path = f"{root}/rfm"
+    columns = ("customer_id", "transaction_id", "amount", "transaction_date")
+    # read four times: landed, the join is made once
+    tx = r._landed(spark, testdata.transactions(spark, sf_dir).select(*columns), f"{root}/transactions")
     late = tx.select(F.expr("percentile_approx(unix_micros(cast(transaction_date as timestamp)), 0.9)")).scalar()
     is_late = F.unix_micros(F.col("transaction_date").cast("timestamp")) > late
-    rfm.write_sketches(customer.customer_base(tx.where(~is_late)), path)
+    early = r._landed(spark, customer.customer_base(tx.where(~is_late)), f"{root}/early")
+    rfm.write_sketches(early, path)
     touched = tx.where(is_late).select(F.pmod(F.xxhash64("customer_id"), F.lit(rfm.SKETCH_GROUPS)).cast("int").alias("g"))
     groups = [row.g for row in touched.distinct().collect()]  # at most SKETCH_GROUPS numbers
-    base = customer.customer_base(tx)
+    base = r._landed(spark, customer.customer_base(tx), f"{root}/base")
     rfm.write_sketches(base, path, groups)
     cuts = rfm.sketched_cuts(spark.read.parquet(path))
     ranks = rfm.cut_ranks(rfm.rfm_base(tx, base), cuts)
