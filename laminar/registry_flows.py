@@ -188,7 +188,7 @@ def q_incremental_gold(spark, sf_dir):
     from pyspark.errors import StreamingQueryException
 
     root = r._fresh(spark, "incremental-gold")
-    tx = testdata.transactions(spark, sf_dir)
+    tx = r._landed(spark, testdata.transactions(spark, sf_dir), f"{root}/arriving")
     middle = tx.select(F.expr("percentile_approx(unix_micros(cast(transaction_date as timestamp)), 0.5)")).scalar()
     early = F.coalesce(F.unix_micros(F.col("transaction_date").cast("timestamp")) < middle, F.lit(False))
     names = {"silver_transactions": "transactions", "silver_customers": "customers", "silver_products": "products"}
