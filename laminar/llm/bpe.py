@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm.common import workers_import_package
+from laminar.llm.common import small_batches, workers_import_package
 
 # Fixed value: how byte-level models cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -398,6 +398,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     if "bpe" in docs.columns:
         raise ValueError("rename the column bpe first")
     model = load(docs.sparkSession, path)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(texts: pd.Series) -> pd.DataFrame:

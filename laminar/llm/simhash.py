@@ -27,10 +27,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminar.llm.common import pinned, unused, workers_import_package
+from laminar.llm.common import pinned, small_batches, unused, workers_import_package
 from laminar.llm.components import connected_components
 
 WORDS = 3
@@ -190,7 +191,10 @@ def similar(spark: SparkSession, codes: DataFrame, max_bits: int = MAX_BITS, gro
     rows = codes.select("code", F.lit(0).cast("long").alias("mask"))
     for _ in range(8):
         finer = sorted({(m, f) for m in masks for f in finer_masks(m, max_bits)})
-        table = spark.createDataFrame([(_signed(m), _signed(f)) for m, f in finer], "mask long, finer long")
+        # from Arrow: rows given as tuples would start Python workers of their own for it
+        table = spark.createDataFrame(
+            pa.table({"mask": pa.array([_signed(m) for m, _ in finer], pa.int64()), "finer": pa.array([_signed(f) for _, f in finer], pa.int64())})
+        )
         # a constant number of masks: 20 for each mask that is dealt again
         dealt = rows.join(F.broadcast(table), "mask").select(
             "code", F.col("finer").alias("mask"), F.col("code").bitwiseAND(F.col("finer")).alias("part")
@@ -220,6 +224,7 @@ def components(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) ->
     doc_id take part; a component of such rows alone has a null id. Repeated rows come out
     as often as they went in.
     """
+    small_batches(docs.sparkSession)
     prints = pinned(
         docs.select(
             "doc_id",

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import fold, pinned, workers_import_package
+from laminar.llm.common import fold, pinned, small_batches, workers_import_package
 
 MAX_FIT_ROWS = 20_000
 MAX_LEXICON = 256
@@ -243,6 +243,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     if "toxicity" in docs.columns:
         raise ValueError("rename the column toxicity first")
     workers_import_package()
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
