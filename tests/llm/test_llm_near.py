@@ -206,3 +206,16 @@ def test_nearest_edge_vectors(spark):
     assert neighbours.nearest(none, F.col("id") % 20 == 0).count() == 0
     two = neighbours.nearest(spark.createDataFrame(rows[:2], "id long, vec array<double>"), F.col("id") % 20 == 0)
     assert [(r["query_id"], r["vec_id"]) for r in two.collect()] == [(0, 1)]
+
+
+def test_local_join_names_vectors_in_proportion(spark):
+    """Five times the nodes: five times the vectors that a build round sends to its groups, and
+    a few more. (With groups of 4,096 lists it was 17 times here.)"""
+    named = []
+    for n in (5_000, 25_000):
+        nbr = F.transform(F.sequence(F.lit(1), F.lit(neighbours.DEGREE)), lambda i: F.pmod(F.xxhash64("id", i), F.lit(n)))
+        graph = spark.range(n).select("id", nbr.alias("nbr"), F.transform(nbr, lambda _: F.lit(True)).alias("fresh"))
+        lists = neighbours._lists(graph, neighbours._joins(n), 0)
+        named.append(lists.select("part", "u").distinct().count())
+    assert named[1] <= 7.5 * named[0]
+    assert named[1] <= (neighbours.DEGREE + neighbours.REVERSE) * 25_000
