@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import random
+import re
+import zlib
 from collections import Counter
 
 import cases
@@ -139,6 +141,29 @@ def test_archives_are_many_and_standard(spark):
         assert data.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and data.endswith(b"\r\n\r\n")
 
 
+def test_archives_are_packed_fast_and_shuffled_as_stored(spark, monkeypatch):
+    """No exchange carries blocks, and gzip does not run at its default level; an order may
+    have the name of a column that says where a record is."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(3000)]
+    rows = [(i, "u", " ".join(rng.choices(words, k=200))) for i in range(300)]
+    rows += [(300 + i, "u", rows[i][2]) for i in range(0, 300, 3)]
+    root, seen, write = fresh_dir(spark, "t"), [], warc.write_warc
+    records = warc.http_records(spark.createDataFrame(rows, SCHEMA), "page_id", "url", "html", F.col("page_id") % 2 + 1)
+    warc.write_arc(records, f"{root}/arc", archive_bytes=50_000)
+    monkeypatch.setattr(warc, "write_warc", lambda df, path: (seen.append(df), write(df, path)))
+    warc.convert(spark, f"{root}/arc", f"{root}/warc", {"offset": warc.page_key()})
+    assert got(warc.archived_pages(spark, f"{root}/warc")) == brute(rows)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = seen[0]._jdf.queryExecution().explainString(mode)
+    sent = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan)
+    assert any("content#" in c for c in sent) and not any("block#" in c for c in sent), sent
+    for part in ("arc", "warc"):
+        stored = [f["content"] for f in spark.read.format("binaryFile").load(f"{root}/{part}").select("content").collect()]
+        default = sum(len(gzip.compress(zlib.decompress(c, 31), 6)) for c in stored)
+        assert sum(map(len, stored)) > 1.01 * default
+
+
 def test_what_is_no_warc(spark):
     with pytest.raises(ValueError):
         list(warc.parse_warc(b"hello\r\n", "x"))
