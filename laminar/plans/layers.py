@@ -289,20 +289,43 @@ def build_gold(
     """
     timer = layers.Timer()
     # What several datasets need of the transactions is aggregated once and pinned in the
-    # shared checkpoint folder: a row per customer (G1, G5, G6), and the distinct (day,
-    # customer) and (day, product) pairs (G3, G4). With G2 and the join of G5 the
+    # shared folder: a row per customer (G1, G5, G6), and the (month, customer) and (month,
+    # product) pairs (G3, G4). The pairs can be as many as the transactions: they are Parquet,
+    # a fraction of a checkpoint's bytes, and go at the end. With G2 and the join of G5 the
     # transactions are read four times in all.
-    from laminar.session import shared_root
+    from laminar.session import fresh_dir
 
-    shared_root(tx.sparkSession)
+    pinned = fresh_dir(tx.sparkSession, "gold-pairs")
     base = customer.customer_base(tx).checkpoint(eager=True)
-    pairs = timeseries.daily_pairs(tx).checkpoint(eager=True)
-    builders = gold_builders(tx, customers, products, as_of, relative_error, base, pairs)
+    try:
+        timeseries.daily_pairs(tx).write.parquet(pinned)
+        pairs = tx.sparkSession.read.parquet(pinned)
+        builders = gold_builders(tx, customers, products, as_of, relative_error, base, pairs)
+        counts = _write_datasets(tx.sparkSession, builders, gold_root, run_ts, run_date, parallel)
+    finally:
+        layers.remove_folder(tx.sparkSession, pinned)
+    summary = job_summary(tx.sparkSession, counts, job_name, timer.seconds(), run_ts)
+    layers.write_gold(summary, gold_root, JOB_SUMMARY, run_ts, run_date)
+    if gate:
+        for name in (n for n in counts if counts[n]):  # an empty one has no key to check
+            df = tx.sparkSession.read.parquet(f"{gold_root.rstrip('/')}/{name}")
+            df = df.where(run_partition(df, run_date))  # this run's rows
+            verdicts = quality.quality_gate(
+                quality.evaluate_ruleset(df, default_rules(df, GOLD_KEYS.get(name, KEY_COLUMN)))
+            )
+            log.info("quality gold %s: %s", name, verdicts)
+    return counts
+
+
+def _write_datasets(
+    spark: SparkSession, builders: dict, gold_root: str, run_ts, run_date, parallel: int
+) -> dict[str, int]:
+    """Write each dataset, up to ``parallel`` at once; the row count of each."""
 
     def write(name: str) -> int:
         # own scheduler pool per dataset: FAIR shares executors between pools, while
         # jobs inside one pool (the default) still run first-in first-out
-        with scheduler_pool(tx.sparkSession, f"gold_{name}"):
+        with scheduler_pool(spark, f"gold_{name}"):
             n = layers.write_gold(builders[name](), gold_root, name, run_ts, run_date)
         log.info("gold %s: %d rows", name, n["record_count"])
         return n["record_count"]
@@ -310,21 +333,11 @@ def build_gold(
     if parallel > 1:
         with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="gold") as pool:
             # inheritable: the caller's job group and other local properties follow
-            inherit = inheritable_thread_target(tx.sparkSession)
+            inherit = inheritable_thread_target(spark)
             futures = {name: pool.submit(inherit(write), name) for name in builders}
             counts = {name: f.result() for name, f in futures.items()}
     else:
         counts = {name: write(name) for name in builders}
-    summary = job_summary(tx.sparkSession, counts, job_name, timer.seconds(), run_ts)
-    layers.write_gold(summary, gold_root, JOB_SUMMARY, run_ts, run_date)
-    if gate:
-        for name in (n for n in counts if counts[n]):  # an empty one has no key to check
-            df = tx.sparkSession.read.parquet(f"{gold_root.rstrip('/')}/{name}")
-            df = df.where(run_partition(df, run_date))  # this run's rows
-            verdicts = quality.quality_gate(
-                quality.evaluate_ruleset(df, default_rules(df, GOLD_KEYS.get(name, KEY_COLUMN)))
-            )
-            log.info("quality gold %s: %s", name, verdicts)
     return counts
 
 
@@ -379,16 +392,17 @@ def run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:
 
     Bronze tables are cleaned (and gated) as concurrent jobs, up to ``cfg.parallel`` at
     once, and so are the gold datasets. Shuffle partitions are raised to suit the
-    largest bronze input (``cfg.size_partitions``) and set back at the end. Any failed
-    gate raises.
+    largest bronze input (``cfg.size_partitions``) and set back at the end; the shuffle files
+    of each job go when it ends. Any failed gate raises.
     """
-    paths = [src for src in cfg.bronze_tables.values() if "/" in src or ":" in src]
-    if cfg.size_partitions and paths:
-        from laminar.session import input_bytes, sized_shuffles
+    from laminar.session import input_bytes, shuffles_removed, sized_shuffles
 
-        with sized_shuffles(spark, max(input_bytes(spark, [p]) for p in paths)):
-            return _run_layers(spark, cfg)
-    return _run_layers(spark, cfg)
+    paths = [src for src in cfg.bronze_tables.values() if "/" in src or ":" in src]
+    with shuffles_removed(spark):
+        if cfg.size_partitions and paths:
+            with sized_shuffles(spark, max(input_bytes(spark, [p]) for p in paths)):
+                return _run_layers(spark, cfg)
+        return _run_layers(spark, cfg)
 
 
 def _run_layers(spark: SparkSession, cfg: LayerConfig) -> dict:

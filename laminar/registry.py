@@ -674,6 +674,15 @@ def _fresh(spark, label):
     return fresh_dir(spark, label)
 
 
+def _land(spark, tables, root):
+    """Each table written to its folder under ``root``; the shuffles of their joins go then."""
+    from laminar.session import shuffles_removed
+
+    with shuffles_removed(spark):
+        for name, df in tables.items():
+            df.write.parquet(f"{root}/{name}")
+
+
 def _landed(spark, df, path):
     """The rows written once and read back, so that later reads repeat no join."""
     df.write.parquet(path)
@@ -891,8 +900,7 @@ def _run_whole_flow(spark, sf_dir, run_dates) -> str:
         "bronze_customers": testdata.customers(spark, sf_dir),
         "bronze_products": testdata.products(spark, sf_dir),
     }
-    for name, df in bronze.items():
-        df.write.parquet(f"{root}/bronze/{name}")
+    _land(spark, bronze, f"{root}/bronze")
     for run_date in run_dates:
         cfg = LayerConfig(
             bronze_tables={name: f"{root}/bronze/{name}" for name in bronze},
