@@ -157,8 +157,7 @@ def q_layers_all_values(spark, sf_dir):
         "bronze_customers": testdata.customers(spark, sf_dir),
         "bronze_products": testdata.products(spark, sf_dir),
     }
-    for name, df in bronze.items():
-        df.write.parquet(f"{root}/bronze/{name}")
+    r._land(spark, bronze, f"{root}/bronze")
     for day in (RUN_DATE, NEXT_DAY):
         run_layers(
             spark,
