@@ -19,9 +19,12 @@ Scale: the filter is built in segments by a hash of the context (of the pair, fo
 most 1,000 contexts with more than a thousandth of all tokens), one group of bounded
 size each; pairs are counted per task before the one shuffle. While all segments
 together have at most ``MAX_FILTER_BYTES`` they are broadcast. Beyond that the same
-segments answer the distinct lookups where they lie (a cogroup by segment) and answers are
-joined back: the same scores by another road. The head table has at most HEAD_WORDS rows;
-exact counts of all other words are joined by hash, a few per cent of the tokens.
+segments answer the lookups where they lie: the same scores by another road. Texts are kept
+in chunks of up to a million tokens (each different word once, two to four bytes a token); a
+chunk asks each group of segments for its different pairs and words, as packed keys, and gets
+a byte for each. This goes in ``ROUNDS`` parts, one after the other, so that only one part's
+questions are on disk at a time. The head table has at most HEAD_WORDS rows; exact counts of
+all other words are joined by hash, a few per cent of the tokens.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laminar.llm.common import fold, pinned, unused, workers_import_package
+from laminar.llm.common import fold, pinned, small_batches, unused, workers_import_package
+from laminar.session import fresh_dir, shuffles_removed
+from laminar.sources.layers import remove_folder
 
 HEAD_WORDS = 1 << 18
 MAX_FILTER_BYTES = 128 << 20
@@ -43,6 +48,8 @@ SEGMENT_CHARS = 2_000_000  # training text per segment: about 300,000 tokens
 STEP = 1.25  # ratio of neighbouring levels of counts
 HOT_SHARE = 1000  # a context with more than N / HOT_SHARE tokens is spread over segments
 MIXTURE = 0.5
+GROUP_SEGMENTS = 16  # segments that answer together
+ROUNDS = 8
 _FLUSH = 1 << 20
 _CACHE = 1 << 18
 _CHUNK = 1 << 18
@@ -303,17 +310,22 @@ class Model:
     def segment(self, h, keys):
         return segment_of(h, keys, self.hot, self.segments)
 
-    def words(self, words: np.ndarray, found: Filter):
-        """(count, followers, whether the count is exact) of words as contexts."""
+    def word_levels(self, words: np.ndarray, found: Filter):
+        """Levels of the words' counts (0 for head words) and of their followers."""
+        seg, rest = self.segment(words, words), self.exact(words) < 0
+        count = np.zeros(len(words), dtype=np.int64)
+        count[rest] = found.level(pair_key(words[rest], _COUNT), seg[rest])
+        return count, found.level(pair_key(words, _FOLLOWERS), seg)
+
+    def words(self, words: np.ndarray, count: np.ndarray, followers: np.ndarray):
+        """(count, followers, whether the count is exact) of words with these levels."""
         exact = self.exact(words)
-        seg = self.segment(words, words)
-        count, rest = exact.astype(np.float64), exact < 0
-        count[rest] = value_of(found.level(pair_key(words[rest], _COUNT), seg[rest]))
-        followers = value_of(found.level(pair_key(words, _FOLLOWERS), seg))
+        rest = exact < 0
+        followers = value_of(followers)
         if len(self.hot):
             at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
             followers = np.where(self.hot[at] == words, self.followers[at], followers)
-        return count, followers, ~rest
+        return np.where(rest, value_of(count), exact.astype(np.float64)), followers, ~rest
 
     def log_probability(self, pair, count_h, followers_h, count_w):
         """log10 p(w | h); works on numpy arrays."""
@@ -342,9 +354,77 @@ def _tail(index: np.ndarray, hashes: np.ndarray, exact: np.ndarray):
     return hashes[rest].view(np.int64).tolist(), n.tolist()
 
 
+def _contexts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The word before each; word 0, the end, before the first of a text."""
+    h = np.concatenate(([0], words[:-1]))
+    h[starts] = 0
+    return h
+
+
+def _packed_chunk(words: np.ndarray, hashes: np.ndarray, sizes: np.ndarray):
+    """Texts side by side as bytes: hashes of their different words (the end first), the words
+    as numbers of these, byte by byte (the upper ones are mostly zero and compress), sizes."""
+    own, words = np.unique(words, return_inverse=True)
+    planes = words.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return hashes[own].tobytes(), planes.tobytes(), sizes.astype(np.uint32).tobytes()
+
+
+class _Chunk:
+    """Texts of ``_packed_chunk``: their different pairs and words in the order in which the
+    segments are asked."""
+
+    def __init__(self, m: Model, hashes: bytes, words: bytes, sizes: bytes):
+        self.hashes = np.frombuffer(hashes, dtype=np.uint64)
+        planes = np.frombuffer(words, dtype=np.uint8).reshape(4, -1)
+        self.w = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+        sizes = np.frombuffer(sizes, dtype=np.uint32).astype(np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        self.h = _contexts(self.w, self.starts)
+        n = len(self.hashes)
+        pairs, self.back = np.unique(self.h * n + self.w, return_inverse=True)
+        before = self.hashes[pairs // n]
+        key = pair_key(before, self.hashes[pairs % n])
+        self.pair, self.pair_order, self.pair_segment = self._ordered(key, m.segment(before, key))
+        own = m.segment(self.hashes, self.hashes)
+        self.word, self.word_order, self.word_segment = self._ordered(self.hashes, own)
+
+    @staticmethod
+    def _ordered(keys: np.ndarray, segments: np.ndarray):
+        order = np.argsort(segments, kind="stable")
+        return keys[order], order, segments[order]
+
+    def questions(self):
+        """(group, pairs, pairs of each of its segments, words, words of each)."""
+        groups = np.unique(np.concatenate([self.pair_segment, self.word_segment]) // GROUP_SEGMENTS)
+        for g in groups.tolist():
+            edges = g * GROUP_SEGMENTS + np.arange(GROUP_SEGMENTS + 1)
+            out = [g]
+            for keys, segments in ((self.pair, self.pair_segment), (self.word, self.word_segment)):
+                cuts = np.searchsorted(segments, edges)
+                out += [keys[cuts[0] : cuts[-1]].tobytes(), np.diff(cuts).astype(np.uint32).tobytes()]
+            yield tuple(out)
+
+    def scores(self, m: Model, answers: pd.DataFrame) -> np.ndarray:
+        """log10 probability of each text, from the answers of all groups."""
+        answers = answers.sort_values("group")
+
+        def told(name: str, order: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(order), dtype=np.int64)
+            out[order] = unpacked(answers[name], np.uint8)
+            return out
+
+        pair = value_of(told("pair", self.pair_order))[self.back]
+        count, followers, _ = m.words(
+            self.hashes, told("count", self.word_order), told("followers", self.word_order)
+        )
+        log = m.log_probability(pair, count[self.h], followers[self.h], count[self.w])
+        return np.add.reduceat(log, self.starts)
+
+
 def _scorer(model, segments, lookups: bool):
     """Iterator UDF over texts: a row of ``_SCORED`` each; with ``lookups`` false the score is
-    left to the joins and each text's pairs are handed on instead."""
+    left to :func:`_answered_scores` and the first row of each chunk has the chunk instead."""
+    chunk = _CHUNK if lookups else _FLUSH
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = model.value
@@ -357,7 +437,7 @@ def _scorer(model, segments, lookups: bool):
             nonlocal hashes, count, followers, exact
             new = np.array([word_hash(w) for w in vocabulary.fresh], dtype=np.uint64)
             vocabulary.fresh = []
-            c, t, e = m.words(new, found)
+            c, t, e = m.words(new, *m.word_levels(new, found))
             hashes, count = np.concatenate([hashes, new]), np.concatenate([count, c])
             followers, exact = np.concatenate([followers, t]), np.concatenate([exact, e])
 
@@ -366,8 +446,7 @@ def _scorer(model, segments, lookups: bool):
             w = np.concatenate(texts)
             sizes = np.array([len(x) for x in texts])
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            h = np.concatenate(([0], w[:-1]))
-            h[starts] = 0
+            h = _contexts(w, starts)
             known_log = np.where(exact[w], np.log10(count[w] + 0.5), 0.0)
             out = pd.DataFrame(
                 {
@@ -386,12 +465,12 @@ def _scorer(model, segments, lookups: bool):
                 pair = value_of(found.level(key, m.segment(before, key)))[back]
                 log = m.log_probability(pair, count[h], followers[h], count[w])
                 out["score"] = np.add.reduceat(log, starts)
-                out["h"], out["w"] = None, None
+                out["hashes"], out["words"], out["sizes"] = None, None, None
             else:
                 out["score"] = np.nan
-                at = list(zip(starts.tolist(), (starts + sizes).tolist()))
-                out["h"] = [hashes[h[a:b]].view(np.int64).tolist() for a, b in at]
-                out["w"] = [hashes[w[a:b]].view(np.int64).tolist() for a, b in at]
+                packed_chunk = _packed_chunk(w, hashes, sizes)
+                for name, value in zip(("hashes", "words", "sizes"), packed_chunk):
+                    out[name] = [value] + [None] * (len(out) - 1)
             return out
 
         for batch in batches:
@@ -401,7 +480,7 @@ def _scorer(model, segments, lookups: bool):
                 words.append(0)
                 texts.append(np.array(words, dtype=np.int64))
                 size += len(words)
-                if size >= _CHUNK:
+                if size >= chunk:
                     done.append(scored(texts))
                     texts, size = [], 0
                     if len(vocabulary) >= _VOCABULARY:
@@ -417,7 +496,7 @@ def _scorer(model, segments, lookups: bool):
 
 _SCORED = (
     "n_tokens long, head_known long, head_log double, tail array<long>, "
-    "tail_n array<long>, score double, h array<long>, w array<long>"
+    "tail_n array<long>, score double, hashes binary, words binary, sizes binary"
 )
 _COLUMNS = [c.split()[0] for c in _SCORED.split(", ")]
 
@@ -439,66 +518,49 @@ def _head(counts: DataFrame, head_words: int):
     return rows["word"].to_numpy(dtype=np.int64).view(np.uint64), rows["n"].to_numpy(dtype=np.int64)
 
 
-def _joined_scores(rows: DataFrame, model: Model, shared, segments: DataFrame) -> DataFrame:
-    """(row, score) with the segments left where they are: distinct lookups are answered by
-    segment, answers are joined back by key."""
-    pairs = rows.select("row", F.explode(F.arrays_zip("h", "w")).alias("p")).groupBy(
-        "row", "p.h", "p.w"
-    ).agg(F.count("*").alias("n"))
-    pairs = pinned(pairs)
+def _answered_scores(chunks: DataFrame, shared, segments: DataFrame) -> DataFrame:
+    """(row, score) of the texts of ``chunks`` (row: that of the first text), with the segments
+    left where they are: each group of segments is sent the keys that chunks ask for, packed,
+    and sends back a level (a byte) for each."""
 
-    def with_segment(batches):
+    def ask(batches):
         m = shared.value
         for b in batches:
-            h, w = (b[c].to_numpy(dtype=np.int64).view(np.uint64) for c in ("h", "w"))
-            key = pair_key(h, w)
-            yield b.assign(segment=m.segment(h, key))
+            for row, *packed_chunk in b.itertuples(index=False):
+                asked = [(g, row, *rest) for g, *rest in _Chunk(m, *packed_chunk).questions()]
+                yield pd.DataFrame(asked, columns=["group", "chunk", "pair", "pair_n", "word", "word_n"])
 
-    def answer_pairs(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    def answer(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
+        if not len(asked):
+            return pd.DataFrame(columns=["chunk", "group", "pair", "count", "followers"])
         found = Filter.of(dict(zip(held["segment"], held["bits"])), m.segments)
-        h, w = (asked[c].to_numpy(dtype=np.int64).view(np.uint64) for c in ("h", "w"))
-        q = found.level(pair_key(h, w), asked["segment"].to_numpy(dtype=np.int64))
-        return asked[["h", "w"]].assign(pair=value_of(q))
+        numbers = np.tile(key[0] * GROUP_SEGMENTS + np.arange(GROUP_SEGMENTS), len(asked))
+        segment = np.repeat(numbers, unpacked(asked["pair_n"], np.uint32))
+        levels_of = {"pair": found.level(unpacked(asked["pair"], np.uint64), segment)}
+        words = unpacked(asked["word"], np.uint64)
+        levels_of["count"], levels_of["followers"] = m.word_levels(words, found)
+        out = pd.DataFrame({"chunk": asked["chunk"], "group": key[0]})
+        for name, keys in (("pair", "pair"), ("count", "word"), ("followers", "word")):
+            ends = np.cumsum([len(k) // 8 for k in asked[keys]])[:-1]
+            out[name] = [x.astype(np.uint8).tobytes() for x in np.split(levels_of[name], ends)]
+        return out
 
-    def answer_words(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    def scored(key, chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         m = shared.value
-        found = Filter.of(dict(zip(held["segment"], held["bits"])), m.segments)
-        words = asked["h"].to_numpy(dtype=np.int64).view(np.uint64)
-        c, t, _ = m.words(words, found)
-        return pd.DataFrame({"word": asked["h"], "c": c, "t": t})
-
-    held = segments.select("segment", "bits").groupBy("segment")
-    asked = pairs.select("h", "w").distinct().mapInPandas(with_segment, "h long, w long, segment long")
-    of_pair = asked.groupBy("segment").cogroup(held).applyInPandas(answer_pairs, "h long, w long, pair double")
-    every = pairs.select("h").union(pairs.select("w")).distinct()
-    # a word's own segment does not depend on the pair unless it is spread, and then no
-    # segment is asked for it
-    asked = every.select("h", F.col("h").alias("w")).mapInPandas(
-        lambda bs: (
-            b.assign(
-                segment=shared.value.segment(
-                    x := b["h"].to_numpy(dtype=np.int64).view(np.uint64), x
-                )
-            )
-            for b in bs
-        ),
-        "h long, w long, segment long",
+        found = _Chunk(m, *chunk[["hashes", "words", "sizes"]].iloc[0]).scores(m, answers)
+        return pd.DataFrame({"row": key[0] + np.arange(len(found)), "joined": found})
+
+    asked = chunks.mapInPandas(
+        ask, "group long, chunk long, pair binary, pair_n binary, word binary, word_n binary"
     )
-    of_word = pinned(
-        asked.groupBy("segment").cogroup(held).applyInPandas(answer_words, "word long, c double, t double")
+    group = F.floor(F.col("segment") / GROUP_SEGMENTS).cast("long").alias("group")
+    held = segments.select(group, "segment", "bits").groupBy("group")
+    answers = asked.groupBy("group").cogroup(held).applyInPandas(
+        answer, "chunk long, group long, pair binary, count binary, followers binary"
     )
-    as_h = of_word.select(F.col("word").alias("h"), F.col("c").alias("ch"), F.col("t").alias("th"))
-    as_w = of_word.select(F.col("word").alias("w"), F.col("c").alias("cw"))
-    own = (F.col("cw") + 0.5) / model.mass
-    seen = F.greatest(F.col("pair") - model.discount, F.lit(0.0)) + model.discount * F.col("th") * own
-    ad = F.when(F.col("ch") > 0, seen / F.greatest("ch", F.lit(1.0))).otherwise(own)
-    return (
-        pairs.join(of_pair, ["h", "w"])
-        .join(as_h, "h")
-        .join(as_w, "w")
-        .groupBy("row")
-        .agg(F.sum(F.col("n") * F.log10(MIXTURE * ad + (1 - MIXTURE) * own)).alias("joined"))
+    return chunks.groupBy("row").cogroup(answers.groupBy("chunk")).applyInPandas(
+        scored, "row long, joined double"
     )
 
 
@@ -516,6 +578,11 @@ def score(
     word is known and every base score is 0.
     """
     workers_import_package()
+    with shuffles_removed(docs.sparkSession):
+        return _score(docs, training, head_words, max_filter_bytes)
+
+
+def _score(docs: DataFrame, training: DataFrame, head_words: int, max_filter_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     train = training.select("text")
     counts = pinned(
@@ -562,10 +629,31 @@ def score(
 
     scorer = F.pandas_udf(_scorer(shared, held, fits), _SCORED)
     own = [c for c in docs.columns if c != "text"]
-    row, got = unused(docs, "row", "got")
-    rows = pinned(
-        docs.select(*own, scorer(docs["text"]).alias(got)).withColumn(row, F.monotonically_increasing_id())
-    )
+    row, got, answered = unused(docs, "row", "got", "answered")
+    rows = docs.select(*own, scorer(docs["text"]).alias(got)).withColumn(row, F.monotonically_increasing_id())
+    if fits:
+        return _with_scores(pinned(rows), own, row, got, counts, model)
+    small_batches(spark)  # a batch of texts is a chunk at most, and chunks come one by one
+    root = fresh_dir(spark, "lm")
+    try:
+        rows.write.parquet(f"{root}/rows")
+        rows = spark.read.parquet(f"{root}/rows")
+        chunks = rows.select(F.col(row).alias("row"), *[f"{got}.{c}" for c in ("hashes", "words", "sizes")])
+        chunks = chunks.where(F.col("hashes").isNotNull())
+        for k in range(ROUNDS):
+            part = chunks.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k)
+            _answered_scores(part, shared, segments).write.parquet(f"{root}/scores/round={k}")
+        joined = spark.read.schema("row long, joined double").parquet(f"{root}/scores")
+        rows = rows.join(joined.select(F.col("row").alias(row), F.col("joined").alias(answered)), row)
+        return pinned(_with_scores(rows, own, row, got, counts, model, F.col(answered)))
+    finally:
+        remove_folder(spark, root)
+
+
+def _with_scores(
+    rows: DataFrame, own: list[str], row: str, got: str, counts: DataFrame, model: Model, value=None
+) -> DataFrame:
+    """The scorer's rows as ``score`` returns them; ``value``: the score if it is not theirs."""
     tail = (
         rows.select(F.col(row).alias("row"), F.explode(F.arrays_zip(f"{got}.tail", f"{got}.tail_n")).alias("x"))
         .select("row", F.col("x.tail").alias("word"), F.col("x.tail_n").alias("k"))
@@ -577,19 +665,14 @@ def score(
         )
     )
     out = rows.join(tail.withColumnRenamed("row", row), row, "left")
-    value = F.col(f"{got}.score")
-    if not fits:
-        pairs = rows.select(F.col(row).alias("row"), F.col(f"{got}.h").alias("h"), F.col(f"{got}.w").alias("w"))
-        joined = _joined_scores(pairs, model, shared, segments)
-        out = out.join(joined.withColumnRenamed("row", row), row)
-        value = F.col("joined")
+    value = F.col(f"{got}.score") if value is None else value
     n = F.col(f"{got}.n_tokens")
     return out.select(
         *[rows[c] for c in own],
         F.struct(
             n.alias("n_tokens"),
             (F.col(f"{got}.head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
+            F.lit(model.total).cast("long").alias("train_tokens"),
             (
                 F.col(f"{got}.head_log")
                 + F.coalesce("tail_log", F.lit(0.0))
