@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+from pyspark.sql import functions as F
+
 from laminar import session
 from laminar.plans import layers as plans
 from laminar.plans.layers import LayerConfig, build_gold, run_layers
@@ -66,3 +68,13 @@ def test_pairs_go_when_gold_is_written(spark, tmp_path, monkeypatch):
     counts = build_gold(transactions(spark), str(tmp_path / "gold"), as_of=DAY, run_date=DAY)
     assert counts["customer_analytics"] == 51 and counts["product_analytics"] == 31
     assert read and not any(os.path.exists(p.removeprefix("file:")) for p in made)
+
+
+def test_rounds_of_the_neighbour_search_leave_no_shuffle_files(spark):
+    from laminar.llm import neighbours
+
+    vec = F.array(*[F.sin(F.col("id") * k + k) for k in range(1, 9)])
+    rows = spark.range(60).select("id", vec.alias("vec"))
+    kept = shuffle_files(spark)
+    found = neighbours.nearest(rows, F.col("id") % 20 == 0, 5).collect()
+    assert len(found) == 15 and len(shuffle_files(spark) - kept) <= 2
